@@ -145,3 +145,9 @@ def regexp_extract_or_null(col: Column | str, pattern: str, idx: int = 1) -> Col
     """pandas ``str.extract`` semantics: null when there is no match."""
     c = _c(col)
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, idx))
+
+
+def file_title_retitle(title: Column | str, max_len: int = 150) -> Column:
+    """Title-update variant: remove characters, drop the last character, ':' → '-', cut (no strip)."""
+    removed = F.translate(_c(title), FILE_TITLE_REMOVED, "")
+    return F.substring(F.translate(drop_last_char(removed), FILE_TITLE_COLON, FILE_TITLE_COLON_TO), 1, max_len)
