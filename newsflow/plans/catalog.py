@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from newsflow.plans import q_clean, q_tagging  # noqa: F401
+from newsflow.plans import q_clean, q_load, q_tagging  # noqa: F401
 from newsflow.plans.registry import ORACLE, QUERIES  # noqa: F401
