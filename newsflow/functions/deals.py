@@ -64,8 +64,8 @@ def _strip_unit(x: Column, unit: str) -> Column:
 def deal_value_compat(deal_size: Column | str) -> Column:
     """Exact reference behaviour: any '0' in the trimmed amount gives 0.00."""
     x = deal_trim(deal_size)
-    million = F.try_cast(_strip_unit(x, "million"), "decimal(38,6)") * F.lit(UNIT_MILLION)
-    billion = F.try_cast(_strip_unit(x, "billion"), "decimal(38,6)") * F.lit(UNIT_BILLION)
+    million = _strip_unit(x, "million").try_cast("decimal(38,6)") * F.lit(UNIT_MILLION)
+    billion = _strip_unit(x, "billion").try_cast("decimal(38,6)") * F.lit(UNIT_BILLION)
     return (
         F.when(x.contains("0"), F.lit(0).cast(VALUE_TYPE))
         .when(x.contains("million"), million.cast(VALUE_TYPE))
@@ -77,7 +77,7 @@ def deal_value(deal_size: Column | str) -> Column:
     """Corrected parse: number × unit; missing amount → 0.00; no unit → null."""
     raw = _c(deal_size)
     x = deal_trim(deal_size)
-    num = F.try_cast(F.regexp_extract(x, "([0-9]+(\\.[0-9]+)?)", 1), "decimal(38,6)")
+    num = F.regexp_extract(x, "([0-9]+(\\.[0-9]+)?)", 1).try_cast("decimal(38,6)")
     return (
         F.when(raw.isNull(), F.lit(0).cast(VALUE_TYPE))
         .when(x.contains("million"), (num * F.lit(UNIT_MILLION)).cast(VALUE_TYPE))
