@@ -73,7 +73,7 @@ def q_subject_ids(spark, sf_dir):
 @query(
     "cooccurrence_report",
     f"""WITH {SELECT_CTES}
-SELECT id, title, source, pubDate, concat(substring(description, 1, 500), '...') AS description, tag_concat, url_request
+SELECT id, title, source, pubDate, substring(description, 1, 500) || '...' AS description, tag_concat, url_request
 FROM content WHERE id IN (SELECT content_id FROM flags WHERE has_subject AND has_issue)""",
 )
 def q_cooccurrence_report(spark, sf_dir):
@@ -83,7 +83,7 @@ def q_cooccurrence_report(spark, sf_dir):
 @query(
     "recent_subject_report",
     f"""WITH {SELECT_CTES}
-SELECT id, title, source, pubDate, concat(substring(description, 1, 500), '...') AS description, tag_concat,
+SELECT id, title, source, pubDate, substring(description, 1, 500) || '...' AS description, tag_concat,
        url_request, tag_score
 FROM content
 WHERE tag_score > 1 AND pubDate > DATE '{fx.AS_OF}' - INTERVAL 90 DAY
