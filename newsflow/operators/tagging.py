@@ -96,14 +96,37 @@ def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
     return _cell(matched)
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    scored = [c for _, c in SCORED_CATEGORIES]
+def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
+    scored = [prefix + c for _, c in SCORED_CATEGORIES]
     score = sum((F.col(c).isNotNull().cast("int") for c in scored), F.lit(0))
-    return df.withColumn("tag_concat", F.nullif(F.concat_ws(",", *[F.col(c) for c in scored]), F.lit(""))).withColumn(
-        "tag_score", F.nullif(score, F.lit(0)).cast("int")
+    return df.withColumn(prefix + "tag_concat", F.nullif(F.concat_ws(",", *[F.col(c) for c in scored]), F.lit(""))).withColumn(
+        prefix + "tag_score", F.nullif(score, F.lit(0)).cast("int")
     )
 
 
+def inline_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> dict[str, list[tuple[str, str]]]:
+    """Phrase table grouped by category, size-checked before it is pulled to the driver."""
+    dictionary = prepare_dictionary(ref_tags, newsroom_only)
+    rows = dictionary.limit(MAX_INLINE_PHRASES + 1).collect()
+    if len(rows) > MAX_INLINE_PHRASES:
+        raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases; use strategy='broadcast'")
+    by_cat: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.tag_cat, r.phrase)):
+        by_cat[r.tag_cat].append((r.phrase, r.tag))
+    return dict(by_cat)
+
+
+def tag_columns(
+    df: DataFrame, desc_match: Column, by_cat: dict[str, list[tuple[str, str]]], prefix: str = ""
+) -> DataFrame:
+    """Add ``prefix``-named category columns, ``tag_concat`` and ``tag_score`` (narrow)."""
+    out = df.withColumn("_desc_match", desc_match)
+    out = out.withColumns(
+        {prefix + col: _inline_cell(F.col("_desc_match"), by_cat.get(cat, [])) for cat, col in ALL_CATEGORIES}
+    )
+    return _finish(out.drop("_desc_match"), prefix)
+
+
 def tag_articles(
     articles: DataFrame,
     ref_tags: DataFrame,
@@ -116,23 +139,17 @@ def tag_articles(
     arts = with_description_fallback(articles)
     cap_col = char_limit(arts) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
-    dictionary = prepare_dictionary(ref_tags, newsroom_only)
-
-    if strategy == "auto":
-        n = dictionary.count()  # dimension table: one small action to size it
-        strategy = "inline" if n <= MAX_INLINE_PHRASES else "broadcast"
-    if strategy == "inline":
-        rows = dictionary.limit(MAX_INLINE_PHRASES + 1).collect()
-        if len(rows) > MAX_INLINE_PHRASES:
-            raise ValueError("dictionary too large to inline; use strategy='broadcast'")
-        by_cat: dict[str, list[tuple[str, str]]] = defaultdict(list)
-        for r in sorted(rows, key=lambda r: (r.tag_cat, r.phrase)):
-            by_cat[r.tag_cat].append((r.phrase, r.tag))
-        out = arts.withColumn("_desc_match", desc_match)
-        out = out.withColumns({col: _inline_cell(F.col("_desc_match"), by_cat.get(cat, [])) for cat, col in ALL_CATEGORIES})
-        return _finish(out.drop("_desc_match"))
+    if strategy in ("auto", "inline"):
+        try:
+            by_cat = inline_dictionary(ref_tags, newsroom_only)
+        except ValueError:
+            if strategy == "inline":
+                raise
+            strategy = "broadcast"
+        else:
+            return tag_columns(arts, desc_match, by_cat)
     if strategy == "broadcast":
-        return _finish(_tag_by_join(arts, dictionary, desc_match, id_col))
+        return _finish(_tag_by_join(arts, prepare_dictionary(ref_tags, newsroom_only), desc_match, id_col))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
