@@ -31,6 +31,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.operators.partitioning import ensure_parallelism
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
 MAX_INLINE_PHRASES = 20_000
@@ -77,23 +78,27 @@ def char_limit_frame(articles: DataFrame) -> DataFrame:
     )
 
 
-def _cell(arr: Column) -> Column:
-    """Sorted distinct tags joined by ',', null when there are none."""
-    arr = F.array_sort(F.array_distinct(F.array_compact(arr)))
-    return F.when(F.size(arr) > 0, F.array_join(arr, ","))
-
-
 def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
+    """Sorted distinct tags whose phrases occur in ``desc_match``, joined by ','; null if none.
+
+    Compiled per category into scalar expressions that stay inside
+    whole-stage codegen: one ``OR`` of ``contains`` tests per distinct tag
+    (short-circuits on the first hit), tags pre-sorted on the driver, joined
+    with ``concat_ws`` (which skips the nulls of tags without a hit).
+    """
     if not entries:
         return F.lit(None).cast("string")
-    hits = [F.when(desc_match.contains(F.lit(p)), F.lit(t)) for p, t in entries]
-    if len(entries) <= 256:
-        return _cell(F.array(*hits))
-    # Large categories: one literal array scanned by a higher-order filter keeps
-    # the expression tree (and generated code) small.
-    lit_arr = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(t).alias("t")) for p, t in entries])
-    matched = F.transform(F.filter(lit_arr, lambda e: desc_match.contains(e["p"])), lambda e: e["t"])
-    return _cell(matched)
+    phrases_by_tag: dict[str, list[str]] = defaultdict(list)
+    for phrase, tag in entries:
+        phrases_by_tag[tag].append(phrase)
+    parts = []
+    for tag in sorted(phrases_by_tag):
+        hit = None
+        for phrase in sorted(phrases_by_tag[tag], key=len):
+            test = desc_match.contains(F.lit(phrase))
+            hit = test if hit is None else hit | test
+        parts.append(F.when(hit, F.lit(tag)))
+    return F.nullif(F.concat_ws(",", *parts), F.lit(""))
 
 
 def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
@@ -136,7 +141,7 @@ def tag_articles(
     newsroom_only: bool = True,
 ) -> DataFrame:
     """Append the fifteen category columns, ``tag_concat`` and ``tag_score``."""
-    arts = with_description_fallback(articles)
+    arts = with_description_fallback(ensure_parallelism(articles))
     cap_col = char_limit(arts) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
     if strategy in ("auto", "inline"):

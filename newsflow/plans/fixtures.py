@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.operators.partitioning import ensure_parallelism
 from newsflow.schemas import PROFILES, REF_TAGS
 
 # Reference tag rows (ref_seq, guid, tag_cat, tag, phrase, newsroom).
@@ -55,8 +56,14 @@ EXCLUDED_SOURCES = ["src0", "src1", "src2"]
 AS_OF = "2024-07-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table; ``spread`` stands in for a landing directory of many files.
+
+    The test tables are single row-group files (one scan task); fixtures that
+    build and parse payloads row by row spread the scan over the cores.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def _feed_keys(p: SourceProfile) -> list[str]:
 
 
 def rss_fixture(spark, sf_dir, keys: list[str]):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.table(spark, sf_dir, "documents", spread=True)
     doc = F.col("doc_id")
     t = F.substring(F.get(F.split("text", "\n"), 0), 1, 120)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 180).cast("int"))
@@ -141,7 +141,7 @@ FROM pages, unnest(regexp_extract_all(html, {S.q(H.HREF_PATTERN)}, 1)) WITH ORDI
 WHERE starts_with(t.href, '/')""",
 )
 def q_html_links(spark, sf_dir):
-    return H.links(fx.table(spark, sf_dir, "pages"))
+    return H.links(fx.table(spark, sf_dir, "pages", spread=True))
 
 
 PAGE_HEADING = r"<h1>([^<]*)</h1>"
@@ -178,7 +178,7 @@ SELECT title, nullif(description, '') AS description, DATE '{fx.AS_OF}' AS pubDa
 FROM firsts WHERE NOT contains(title, 'Letter: ')""",
 )
 def q_html_teasers(spark, sf_dir):
-    pages = fx.table(spark, sf_dir, "pages")
+    pages = fx.table(spark, sf_dir, "pages", spread=True)
     return H.teasers(pages, fx.AS_OF, heading=PAGE_HEADING, standfirst=PAGE_PARAGRAPH, drop_block=PAGE_AD_BLOCK)
 
 
@@ -201,7 +201,7 @@ SELECT page_id, card_pos, title, url, host AS source FROM f""",
 def q_html_cards(spark, sf_dir):
     from newsflow.functions import text as X
 
-    pages = fx.table(spark, sf_dir, "pages")
+    pages = fx.table(spark, sf_dir, "pages", spread=True)
     cards = pages.select(
         "page_id",
         F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("source"),
@@ -241,7 +241,7 @@ SELECT event_id, rel,
 FROM r""",
 )
 def q_relative_dates(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events")
+    ev = fx.table(spark, sf_dir, "events", spread=True)
     n = F.floor("value").cast("bigint")
     k = F.col("event_id") % 4
     rel = (

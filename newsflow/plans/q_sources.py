@@ -27,7 +27,7 @@ from newsflow.sources.json_sources import (
 
 
 def _records_payloads(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders")
+    o = fx.table(spark, sf_dir, "orders", spread=True)
     key = F.col("o_orderkey").cast("string")
     publisher = F.when(F.col("o_orderstatus") == "F", "Springer").when(F.col("o_orderstatus") == "O", "Nature").otherwise("BMC")
     pub_date = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -95,7 +95,7 @@ def q_json_records(spark, sf_dir):
 
 
 def _guardian_items(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.table(spark, sf_dir, "documents", spread=True)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 180).cast("int")).cast("string")
     item = F.struct(
         F.substring(F.get(F.split("text", "\n"), 0), 1, 120).alias("webTitle"),
@@ -125,7 +125,7 @@ SCOPUS_BEFORE = "2000-01-01"
 
 
 def _scopus_items(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders")
+    o = fx.table(spark, sf_dir, "orders", spread=True)
     item = F.struct(
         F.concat(F.lit("Paper "), F.col("o_orderkey").cast("string")).alias("dc:title"),
         F.concat(F.lit("Author "), F.col("o_custkey").cast("string")).alias("dc:creator"),
@@ -157,7 +157,7 @@ def q_scopus_flatten(spark, sf_dir):
 
 
 def _crossref_works(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders")
+    o = fx.table(spark, sf_dir, "orders", spread=True)
     y, m, d = F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
     parts = F.when(F.col("o_orderkey") % 4 == 0, F.array(F.array(y, m))).otherwise(F.array(F.array(y, m, d)))
     work = F.struct(
@@ -209,7 +209,7 @@ def _card_raw_cols():
 
 
 def card_pages(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events")
+    ev = fx.table(spark, sf_dir, "events", spread=True)
     status, link, date, brief, tags = _card_raw_cols()
 
     def cv(title, value=None, text=None):
@@ -306,7 +306,7 @@ SELECT section, day FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.section = e.section AND l.day = e.day)""",
 )
 def q_landing_gap_days(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events")
+    ev = fx.table(spark, sf_dir, "events", spread=True)
     landed = ev.select(
         F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("section"),
         F.to_date("ts").alias("day"),
