@@ -124,12 +124,17 @@ def inline_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> dict[s
 def tag_columns(
     df: DataFrame, desc_match: Column, by_cat: dict[str, list[tuple[str, str]]], prefix: str = ""
 ) -> DataFrame:
-    """Add ``prefix``-named category columns, ``tag_concat`` and ``tag_score`` (narrow)."""
-    out = df.withColumn("_desc_match", desc_match)
-    out = out.withColumns(
-        {prefix + col: _inline_cell(F.col("_desc_match"), by_cat.get(cat, [])) for cat, col in ALL_CATEGORIES}
-    )
-    return _finish(out.drop("_desc_match"), prefix)
+    """Add ``prefix``-named category columns, ``tag_concat`` and ``tag_score`` (narrow).
+
+    The category cells are emitted through a generator (``inline`` of a
+    one-element array).  A later filter on the tag columns therefore stops
+    above the ``Generate`` instead of being pushed down with the whole
+    matching expression inlined into it (once per reference, below any
+    redistribution); matching runs exactly once per row.
+    """
+    cells = F.struct(*[_inline_cell(F.col("_desc_match"), by_cat.get(cat, [])).alias(prefix + col) for cat, col in ALL_CATEGORIES])
+    out = df.withColumn("_desc_match", desc_match).select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(cells)))
+    return _finish(out, prefix)
 
 
 def tag_articles(
