@@ -170,11 +170,9 @@ def _tag_by_join(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_
     keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
     hits = keys.join(F.broadcast(dictionary), F.col("_dm").contains(F.col("phrase")), "inner")
     cats = [n for n, _ in ALL_CATEGORIES]
-    wide = (
-        hits.groupBy("_id")
-        .pivot("tag_cat", cats)
-        .agg(F.array_join(F.array_sort(F.collect_set("tag")), ","))
-        .withColumnsRenamed(dict(ALL_CATEGORIES))
+    sets = hits.groupBy("_id").pivot("tag_cat", cats).agg(F.collect_set("tag"))
+    wide = sets.select(
+        "_id", *[F.nullif(F.array_join(F.sort_array(F.col(f"`{n}`")), ","), F.lit("")).alias(c) for n, c in ALL_CATEGORIES]
     )
     return arts.join(wide, arts[id_col] == wide["_id"], "left").drop("_id")
 
