@@ -69,3 +69,10 @@ def date_from_parts(parts: Column | str) -> Column:
     p = F.get(_c(parts), 0)
     text = F.concat_ws("-", F.get(p, 0), F.coalesce(F.get(p, 1), F.lit(1)), F.coalesce(F.get(p, 2), F.lit(1)))
     return F.try_to_date(text, "y-M-d")
+
+
+def within_lookback(col: Column | str, as_of: str, days: int) -> Column:
+    """``as_of - days <= col <= as_of`` on dates: the look-back window of a daily poll."""
+    d = _c(col).cast("date")
+    end = F.lit(as_of).cast("date")
+    return (d >= F.date_sub(end, days)) & (d <= end)

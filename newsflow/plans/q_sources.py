@@ -312,3 +312,27 @@ def q_landing_gap_days(spark, sf_dir):
         F.to_date("ts").alias("day"),
     ).distinct()
     return landing_gaps(landed)
+
+
+# ---------------------------------------------------------------- look-back window
+
+LOOKBACK_AS_OF = "2024-01-20"
+LOOKBACK_SECTIONS = ["click", "view"]
+
+
+@query(
+    "lookback_window",
+    f"""SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS value
+FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '{LOOKBACK_AS_OF}' - INTERVAL 5 DAY AND DATE '{LOOKBACK_AS_OF}'
+  AND event_type IN ('click', 'view')
+GROUP BY 1, 2""",
+)
+def q_lookback_window(spark, sf_dir):
+    from newsflow.functions.dates import within_lookback
+
+    ev = fx.table(spark, sf_dir, "events")
+    sel = ev.where(within_lookback("ts", LOOKBACK_AS_OF, 5) & F.col("event_type").isin(LOOKBACK_SECTIONS))
+    return sel.groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value")
+    )

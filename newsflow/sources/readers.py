@@ -54,3 +54,11 @@ def read_deals_csv(spark: SparkSession, directory: str, prefix: str = "AxiosPro"
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
+
+
+def require_columns(df: DataFrame, columns: list[str], name: str = "table") -> DataFrame:
+    """Schema smoke check of a scanned table: it has columns and the required ones."""
+    missing = [c for c in columns if c not in df.columns]
+    if not df.columns or missing:
+        raise ValueError(f"{name}: missing columns {missing or columns}")
+    return df
