@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.partitioning import posexplode_rows
 
 # Card columns as (output, column title, position, attribute).
 CARD_FIELDS = [
@@ -23,17 +24,20 @@ TEXT_PATTERN = r"([A-Za-z].*)"
 
 
 def _field(column_values: Column, title: str, pos: int, attr: str) -> Column:
-    """Value of the column with this title; the position is only a fallback (Q20)."""
-    by_title = F.filter(column_values, lambda c: c["column"]["title"] == F.lit(title))
-    return F.when(F.size(by_title) > 0, F.get(by_title, 0)[attr]).otherwise(F.get(column_values, pos)[attr])
+    """Value of the column with this title; the position is only a fallback (Q20).
+
+    ``array_position`` over the extracted title array keeps the lookup in
+    generated code (no lambda); ``get`` is null-safe out of range.
+    """
+    idx = F.array_position(column_values["column"]["title"], F.lit(title))
+    return F.when(idx > 0, F.get(column_values, (idx - 1).cast("int"))[attr]).otherwise(F.get(column_values, pos)[attr])
 
 
 def explode_items(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per board item of every page (first board of each page)."""
     keep = keep or []
-    return pages.select(
-        *keep, F.posexplode(F.get(F.col("data.boards"), 0)["items_page"]["items"]).alias("item_pos", "item")
-    )
+    items = F.get(F.col("data.boards"), 0)["items_page"]["items"]
+    return posexplode_rows(pages, items, keep, "item_pos", "item")
 
 
 def flatten_cards(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -48,9 +52,10 @@ def flatten_cards(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
         *keep,
         "item_pos",
         "title",
-        X.regexp_extract_or_null("link", URL_PATTERN).alias("url"),
-        X.regexp_extract_or_null("date", DATE_PATTERN).cast("date").alias("pubDate"),
-        X.regexp_extract_or_null("brief", TEXT_PATTERN).alias("description"),
+        # these patterns cannot match an empty string: '' means "no match"
+        X.nullif_empty(F.regexp_extract("link", URL_PATTERN, 1)).alias("url"),
+        X.nullif_empty(F.regexp_extract("date", DATE_PATTERN, 1)).cast("date").alias("pubDate"),
+        X.nullif_empty(F.regexp_extract("brief", TEXT_PATTERN, 1)).alias("description"),
         F.coalesce(F.col("tags"), F.lit("")).alias("content_tags"),
     )
     return out.where(F.col("url").isNotNull())

@@ -18,3 +18,18 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def posexplode_rows(df: DataFrame, array_col, keep: list, pos: str = "pos", value: str = "value") -> DataFrame:
+    """``select(*keep, posexplode(array_col))`` without an inferred pre-filter.
+
+    For ``posexplode`` Catalyst infers ``size(array) > 0`` and pushes it down
+    (even below a redistribution), evaluating an expensive array expression –
+    a JSON parse, a regex scan – twice, once before the work is spread.  The
+    ``_outer`` variant followed by a filter on the generated position gives
+    exactly the same rows and leaves nothing to push.
+    """
+    from pyspark.sql import functions as F
+
+    out = df.select(*keep, F.posexplode_outer(array_col).alias(pos, value))
+    return out.where(F.col(pos).isNotNull())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import dates as D
 from newsflow.plans import fixtures as fx
 from newsflow.plans import sql_text as S
+from newsflow.operators.partitioning import posexplode_rows
 from newsflow.plans.registry import query
 from newsflow.sources import html as H
 from newsflow.sources.profiles import LOGO_IMG, PROFILES, SourceProfile, normalise
@@ -202,10 +203,12 @@ def q_html_cards(spark, sf_dir):
     from newsflow.functions import text as X
 
     pages = fx.table(spark, sf_dir, "pages", spread=True)
-    cards = pages.select(
-        "page_id",
-        F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("source"),
-        F.posexplode(F.regexp_extract_all("html", F.lit(PAGE_NAV_CARD), 1)).alias("card_pos", "card"),
+    cards = posexplode_rows(
+        pages,
+        F.regexp_extract_all("html", F.lit(PAGE_NAV_CARD), 1),
+        ["page_id", F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("source")],
+        "card_pos",
+        "card",
     )
     return cards.select(
         "page_id",

@@ -14,6 +14,7 @@ from newsflow.functions.dates import day_series
 from newsflow.operators.cards import DATE_PATTERN, TEXT_PATTERN, URL_PATTERN, card_tags, flatten_cards
 from newsflow.plans import fixtures as fx
 from newsflow.plans import sql_text as S
+from newsflow.operators.partitioning import posexplode_rows
 from newsflow.plans.registry import query
 from newsflow.sources.json_sources import (
     crossref_dates,
@@ -104,7 +105,7 @@ def _guardian_items(spark, sf_dir):
         F.struct(F.col("text").alias("bodyText")).alias("fields"),
     )
     parsed = d.select(F.from_json(F.to_json(F.array(item)), f"ARRAY<STRUCT<{SC.GUARDIAN_ITEM.replace(' STRING', ':STRING').replace(' STRUCT', ':STRUCT')}>>").alias("a"))
-    return parsed.select(F.explode("a").alias("i")).select("i.*")
+    return posexplode_rows(parsed, F.col("a"), [], "_pos", "i").select("i.*")
 
 
 @query(

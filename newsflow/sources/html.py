@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import dates as D
 from newsflow.functions import text as X
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.partitioning import posexplode_rows
 
 HREF_PATTERN = r'<a[^>]*href="([^"]*)"'
 TAG_PATTERN = r"<[^>]+>"
@@ -48,7 +49,7 @@ def text_of(col: Column) -> Column:
 
 def links(pages: DataFrame, relative_only: bool = True) -> DataFrame:
     """(page_id, link_pos, href): every ``<a href>`` of a page, relative ones by default."""
-    out = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1)).alias("link_pos", "href"))
+    out = posexplode_rows(pages, F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1), ["page_id"], "link_pos", "href")
     return out.where(F.col("href").startswith("/")) if relative_only else out
 
 
@@ -61,7 +62,7 @@ def zipped_extract(
         F.regexp_extract_all(html, F.lit(first_pattern), 1).alias("first"),
         F.regexp_extract_all(html, F.lit(second_pattern), 1).alias("second"),
     )
-    return pages.select("page_id", F.posexplode(pairs).alias("item_pos", "p")).select(
+    return posexplode_rows(pages, pairs, ["page_id"], "item_pos", "p").select(
         "page_id", "item_pos", text_of(F.col("p.first")).alias("first"), text_of(F.col("p.second")).alias("second")
     )
 
@@ -95,7 +96,7 @@ def teasers(
 def result_cards(pages: DataFrame, as_of: str, block: str = CARD_BLOCK, fields: dict | None = None) -> DataFrame:
     """Search-result pages → one article per card; dates like '2 hours ago' resolved at ``as_of``."""
     fields = fields or CARD_FIELDS
-    cards = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(block), 1)).alias("card_pos", "card"))
+    cards = posexplode_rows(pages, F.regexp_extract_all("html", F.lit(block), 1), ["page_id"], "card_pos", "card")
     cols = {k: X.regexp_extract_or_null(F.col("card"), pat) for k, pat in fields.items()}
     df = cards.select("page_id", "card_pos", *[text_of(c).alias(k) if k != "link" else c.alias(k) for k, c in cols.items()])
     df = df.select(

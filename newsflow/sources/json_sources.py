@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import text as X
 from newsflow.functions.dates import date_from_parts, feed_date
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.partitioning import posexplode_rows
 
 DOI_URL = "http://dx.doi.org/"
 GUARDIAN_SOURCE = "The Guardian"
@@ -16,7 +17,7 @@ SCOPUS_SOURCE = "Elsevier Journals"
 
 def explode_records(payloads: DataFrame, order: list[str]) -> DataFrame:
     """One row per element of ``records``; ``rec_pos`` keeps the element order."""
-    return payloads.select(*order, F.posexplode("records").alias("rec_pos", "r")).select(*order, "rec_pos", "r.*")
+    return posexplode_rows(payloads, F.col("records"), order, "rec_pos", "r").select(*order, "rec_pos", "r.*")
 
 
 def springer_articles(records: DataFrame, order: list[str], keep_null_keys: bool = False) -> DataFrame:
