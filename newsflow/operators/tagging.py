@@ -110,14 +110,25 @@ def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
 
 
 def inline_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> dict[str, list[tuple[str, str]]]:
-    """Phrase table grouped by category, size-checked before it is pulled to the driver."""
-    dictionary = prepare_dictionary(ref_tags, newsroom_only)
-    rows = dictionary.limit(MAX_INLINE_PHRASES + 1).collect()
+    """Phrase table grouped by category, size-checked before it is pulled to the driver.
+
+    The last-wins rule for a phrase listed twice in a category is applied on
+    the collected rows (the table is bounded by ``MAX_INLINE_PHRASES``).
+    """
+    r = ref_tags.where(F.col("newsroom") == F.lit("Yes")) if newsroom_only else ref_tags
+    seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(0)
+    rows = r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), seq.alias("seq")).limit(MAX_INLINE_PHRASES + 1).collect()
     if len(rows) > MAX_INLINE_PHRASES:
         raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases; use strategy='broadcast'")
+    last: dict[tuple[str, str], tuple] = {}
+    for row in rows:
+        key = (row.tag_cat, row.phrase)
+        rank = (row.seq if row.seq is not None else -1, row.tag)
+        if key not in last or rank > last[key][0]:
+            last[key] = (rank, row.tag)
     by_cat: dict[str, list[tuple[str, str]]] = defaultdict(list)
-    for r in sorted(rows, key=lambda r: (r.tag_cat, r.phrase)):
-        by_cat[r.tag_cat].append((r.phrase, r.tag))
+    for (cat, phrase), (_, tag) in sorted(last.items()):
+        by_cat[cat].append((phrase, tag))
     return dict(by_cat)
 
 

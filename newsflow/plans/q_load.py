@@ -102,7 +102,8 @@ SELECT id FROM tagged t WHERE tag_concat IS NOT NULL
 )
 def q_new_content_ids(spark, sf_dir):
     tagged = tagged_articles(spark, sf_dir).where(F.col("tag_concat").isNotNull()).select("id")
-    existing = tagged.where(F.col("id") % 3 == 0).select(F.col("id").alias("content_id"))
+    # untagged ids in the existing set never meet the tagged side: plain article ids suffice
+    existing = fx.articles(spark, sf_dir).where(F.col("id") % 3 == 0).select(F.col("id").alias("content_id"))
     return tagged.join(existing, tagged["id"] == existing["content_id"], "left_anti")
 
 

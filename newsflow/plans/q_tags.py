@@ -70,8 +70,10 @@ def _tagged_content(spark, sf_dir):
     return tagged_articles(spark, sf_dir).where(F.col("tag_concat").isNotNull())
 
 
-def _existing(tagged):
-    return tagged.where(F.col("id") % 3 == 0).select(F.col("id").alias("content_id"))
+def _existing(spark, sf_dir):
+    # ids already in the content-tag table; untagged ids among them never meet
+    # the tagged side of the anti join, so the plain article ids give the same rows
+    return fx.articles(spark, sf_dir).where(F.col("id") % 3 == 0).select(F.col("id").alias("content_id"))
 
 
 @query("tags_long", f"WITH {LONG_CTES} SELECT content_id, tag_cat, cat_rank, pos, tag FROM long")
@@ -87,7 +89,7 @@ def q_tags_with_guid(spark, sf_dir):
 
 def _transform(spark, sf_dir):
     tagged = _tagged_content(spark, sf_dir)
-    return tag_transform(tagged, _existing(tagged), fx.ref_tags(spark), fx.profiles(spark))
+    return tag_transform(tagged, _existing(spark, sf_dir), fx.ref_tags(spark), fx.profiles(spark))
 
 
 @query(
@@ -125,16 +127,18 @@ SELECT (SELECT count(DISTINCT content_id) FROM new_guided) AS n_new_content,
        (SELECT count(*) FROM rollup) AS n_profiles""",
 )
 def q_tag_metrics(spark, sf_dir):
-    rows, rollup = _transform(spark, sf_dir)
+    rows, _ = _transform(spark, sf_dir)
     programmes = active_profiles(fx.profiles(spark)).agg(F.countDistinct("cost_center").alias("n_programmes"))
+    # one pass over the content-tag rows; a content id has a roll-up row exactly
+    # when one of its rows matched a programme (excluded ones are filtered already)
     r = rows.agg(
         F.countDistinct("content_id").alias("n_new_content"),
         F.count_if(F.col("tag_guid").isNull()).alias("n_without_guid"),
         F.count_if(F.col("cost_center") == "").alias("n_without_programme"),
         F.count("*").alias("n_rows_to_import"),
+        F.countDistinct(F.when(F.col("cost_center") != "", F.col("content_id"))).alias("n_profiles"),
     )
-    p = rollup.agg(F.count("*").alias("n_profiles"))
-    one = r.unionByName(programmes, allowMissingColumns=True).unionByName(p, allowMissingColumns=True)
+    one = r.unionByName(programmes, allowMissingColumns=True)
     return one.agg(*[F.max(c).alias(c) for c in ["n_new_content", "n_without_guid", "n_programmes", "n_without_programme", "n_rows_to_import", "n_profiles"]])
 
 
