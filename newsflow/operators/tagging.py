@@ -31,11 +31,11 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsflow.operators.partitioning import ensure_parallelism
+from newsflow.operators.partitioning import ensure_parallelism, posexplode_rows
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
 MAX_INLINE_PHRASES = 20_000
-MAX_BROADCAST_PHRASES = 2_000_000
+MAX_BROADCAST_PHRASES = 200_000
 
 
 def prepare_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> DataFrame:
@@ -155,8 +155,15 @@ def tag_articles(
     strategy: str = "auto",
     id_col: str = "id",
     newsroom_only: bool = True,
+    kgram: int = 4,
 ) -> DataFrame:
-    """Append the fifteen category columns, ``tag_concat`` and ``tag_score``."""
+    """Append the fifteen category columns, ``tag_concat`` and ``tag_score``.
+
+    ``strategy``: ``inline`` (default when the dictionary has at most
+    ``MAX_INLINE_PHRASES`` entries), ``kgram`` (exact prefilter join for larger
+    dictionaries) or ``broadcast`` (nested-loop join, bounded dictionaries).
+    ``id_col`` must be unique for the join-based strategies.
+    """
     arts = with_description_fallback(ensure_parallelism(articles))
     cap_col = char_limit(arts) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
@@ -166,20 +173,66 @@ def tag_articles(
         except ValueError:
             if strategy == "inline":
                 raise
-            strategy = "broadcast"
+            strategy = "kgram"
         else:
             return tag_columns(arts, desc_match, by_cat)
+    dictionary = prepare_dictionary(ref_tags, newsroom_only)
     if strategy == "broadcast":
-        return _finish(_tag_by_join(arts, prepare_dictionary(ref_tags, newsroom_only), desc_match, id_col))
+        return _finish(_join_back(arts, _hits_by_broadcast(arts, dictionary, desc_match, id_col), id_col))
+    if strategy == "kgram":
+        return _finish(_join_back(arts, _hits_by_kgram(arts, dictionary, desc_match, id_col, kgram), id_col))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _tag_by_join(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str) -> DataFrame:
-    n = dictionary.count()
+def _hits_by_broadcast(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str) -> DataFrame:
+    """(_id, tag_cat, tag) hits from a nested-loop join against a size-checked broadcast dictionary."""
+    n = dictionary.limit(MAX_BROADCAST_PHRASES + 1).count()
     if n > MAX_BROADCAST_PHRASES:
-        raise ValueError(f"{n} phrases exceed the broadcast bound {MAX_BROADCAST_PHRASES}")
+        raise ValueError(f"more than {MAX_BROADCAST_PHRASES} phrases; use strategy='kgram'")
     keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
     hits = keys.join(F.broadcast(dictionary), F.col("_dm").contains(F.col("phrase")), "inner")
+    return hits.select("_id", "tag_cat", "tag")
+
+
+def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str, k: int) -> DataFrame:
+    """Exact hits for dictionaries of any size: k-gram prefilter equi-join, then ``contains``.
+
+    A phrase of length >= k can only occur in a text that contains its first
+    k characters, so candidate (text, phrase) pairs come from an equi-join of
+    each text's distinct k-grams with the phrases' k-character prefixes
+    (a shuffle join; hot grams are split by AQE's skew handling) and are
+    verified with ``contains`` after joining the text back by id.  Phrases
+    shorter than k are few by construction and are tested inline.
+    """
+    keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
+    long_ph = dictionary.where(F.length("phrase") >= k).withColumn("_g", F.substring("phrase", 1, k))
+    short_rows = dictionary.where(F.length("phrase") < k).limit(MAX_INLINE_PHRASES + 1).collect()
+    if len(short_rows) > MAX_INLINE_PHRASES:
+        raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases shorter than {k}; raise kgram")
+
+    n_grams = F.greatest(F.length("_dm") - k + 1, F.lit(0))
+    grams = keys.select(
+        "_id",
+        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), n_grams), lambda i: F.substring("_dm", i, k)))).alias("_g"),
+    ).where(F.length("_g") == k)
+    candidates = grams.join(long_ph, "_g").select("_id", "phrase", "tag_cat", "tag")
+    verified = (
+        candidates.join(keys, "_id")
+        .where(F.col("_dm").contains(F.col("phrase")))
+        .select("_id", "tag_cat", "tag")
+    )
+    if not short_rows:
+        return verified
+    tests = [
+        F.when(F.col("_dm").contains(F.lit(r.phrase)), F.struct(F.lit(r.tag_cat).alias("tag_cat"), F.lit(r.tag).alias("tag")))
+        for r in short_rows
+    ]
+    short_hits = posexplode_rows(keys, F.array(*tests), ["_id"], "_p", "_h").where(F.col("_h").isNotNull())
+    return verified.unionByName(short_hits.select("_id", "_h.tag_cat", "_h.tag"))
+
+
+def _join_back(arts: DataFrame, hits: DataFrame, id_col: str) -> DataFrame:
+    """Pivot (id, category, tag) hits to the category columns and attach them by id."""
     cats = [n for n, _ in ALL_CATEGORIES]
     sets = hits.groupBy("_id").pivot("tag_cat", cats).agg(F.collect_set("tag"))
     wide = sets.select(

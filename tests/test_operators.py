@@ -43,9 +43,22 @@ def test_strategies_agree(spark):
         [(1, "g1", "Sector", "A", "ab", "Yes"), (2, "g2", "Sector", "B", "cd", "Yes"), (3, "g3", "Current Issues", "C", "b", "Yes"),
          (4, "g4", "Finance", "X", "a", "No")], REF_TAGS)
     arts = spark.createDataFrame([(1, "t", "abcd", "s"), (2, "t", "zz", "s"), (3, "t", "cd b", None)], ART)
+    cols = tag_articles(arts, ref).columns
     a = sorted(map(tuple, tag_articles(arts, ref, strategy="inline").collect()))
-    b = sorted(map(tuple, tag_articles(arts, ref, strategy="broadcast").select(*tag_articles(arts, ref).columns).collect()))
-    assert a == b
+    b = sorted(map(tuple, tag_articles(arts, ref, strategy="broadcast").select(*cols).collect()))
+    c = sorted(map(tuple, tag_articles(arts, ref, strategy="kgram", kgram=2).select(*cols).collect()))
+    assert a == b == c
+
+
+def test_kgram_strategy_matches_inline_on_documents(spark):
+    from newsflow.plans import fixtures as fx
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001")
+    cols = tag_articles(arts, fx.ref_tags(spark)).columns
+    a = sorted(map(tuple, tag_articles(arts, fx.ref_tags(spark)).collect()))
+    for k in (3, 5):  # k=5 routes the 4-letter phrases through the short-phrase path
+        b = sorted(map(tuple, tag_articles(arts, fx.ref_tags(spark), strategy="kgram", kgram=k).select(*cols).collect()))
+        assert a == b
 
 
 def test_tag_score_counts_categories(spark):
