@@ -38,15 +38,19 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def assign_ids(df: DataFrame, content: DataFrame) -> DataFrame:
+def assign_ids(df: DataFrame, content: DataFrame, key: str = "title") -> DataFrame:
     """Unique new ids above the stored maximum without a global sort.
 
-    ``monotonically_increasing_id`` is unique per (partition, position) and
-    deterministic for a deterministic input, so a recomputed task after an
-    executor loss reproduces the same ids.
+    Rows are hash-partitioned by the unique ``key`` into a fixed number of
+    partitions and sorted within each, so every partition holds the same rows
+    in the same order however the shuffle blocks arrive;
+    ``monotonically_increasing_id`` (partition index, position) is then
+    reproduced exactly when a lost task is recomputed.
     """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = content.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    return df.withColumn("id", base + 1 + F.monotonically_increasing_id())
+    ordered = df.repartition(n, key).sortWithinPartitions(key)
+    return ordered.withColumn("id", base + 1 + F.monotonically_increasing_id())
 
 
 def compile_new_articles(
@@ -63,6 +67,38 @@ def compile_new_articles(
     return new_rows(cleaned, content.select("title"), ["title"], case_insensitive=True)
 
 
+def run_daily(
+    incoming: DataFrame,
+    content_path: str,
+    content_tags_path: str,
+    staging_path: str,
+    ref_tags: DataFrame,
+    profiles: DataFrame,
+    order: list[str | Column],
+) -> DailyResult:
+    """The daily job with its stage boundaries written out.
+
+    1. new articles (with ids) are written to ``staging_path`` – a written
+       table in the shared storage cuts the lineage, so the tag transform reads
+       exactly the rows and ids that were stored;
+    2. they are appended to the content table;
+    3. content tags and programme updates are derived from the staged table
+       and appended / returned.
+    Each write is a whole-stage action on a deterministic input, so a lost
+    executor only recomputes its tasks.
+    """
+    spark = incoming.sparkSession
+    content = spark.read.parquet(content_path)
+    stored_tags = spark.read.parquet(content_tags_path)
+    new = assign_ids(compile_new_articles(incoming, content, ref_tags, order, keep=list(order)), content)
+    new.drop(*[c for c in order if isinstance(c, str)]).write.mode("overwrite").parquet(staging_path)
+    staged = spark.read.parquet(staging_path)
+    staged.write.mode("append").parquet(content_path)
+    tag_rows, rollup = tag_transform(staged, stored_tags, ref_tags, profiles)
+    tag_rows.write.mode("append").parquet(content_tags_path)
+    return DailyResult(spark.read.parquet(staging_path), spark.read.parquet(content_tags_path), rollup)
+
+
 def daily_compile(
     incoming: DataFrame,
     content: DataFrame,

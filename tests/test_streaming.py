@@ -32,3 +32,26 @@ def test_stream_matches_batch(spark, tmp_path):
     )
     q2.awaitTermination(300)
     assert spark.read.parquet(out).count() == want.count()
+
+
+def test_run_daily_writes_consistent_ids(spark, tmp_path):
+    from newsflow.operators.tagging import tag_articles
+    from newsflow.plans.daily import run_daily
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001")
+    content = tag_articles(arts.where(F.col("id") % 2 == 0), fx.ref_tags(spark))
+    content.write.parquet(str(tmp_path / "content"))
+    spark.createDataFrame([], "content_id bigint, tag_cat string, tag string, tag_guid string, cost_center string").write.parquet(
+        str(tmp_path / "tags")
+    )
+    incoming = arts.where(F.col("id") % 2 == 1).withColumnRenamed("id", "src_id")
+    res = run_daily(incoming, str(tmp_path / "content"), str(tmp_path / "tags"), str(tmp_path / "staging"),
+                    fx.ref_tags(spark), fx.profiles(spark), order=["src_id"])
+    new = res.new_articles
+    n_new = new.count()
+    assert n_new > 0 and new.select("id").distinct().count() == n_new
+    assert new.agg(F.min("id")).first()[0] > content.agg(F.max("id")).first()[0]
+    tags = spark.read.parquet(str(tmp_path / "tags"))
+    assert tags.count() > 0
+    assert tags.join(new, tags.content_id == new.id, "left_anti").count() == 0  # every tag row points at a stored article
+    assert spark.read.parquet(str(tmp_path / "content")).count() == content.count() + n_new
