@@ -78,14 +78,35 @@ def char_limit_frame(articles: DataFrame) -> DataFrame:
     )
 
 
-def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
+def _sql_str(v: str) -> str:
+    """A Spark SQL string literal (backslash escapes are on by default)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _inline_cell_sql(desc_match: str, entries: list[tuple[str, str]]) -> str:
     """Sorted distinct tags whose phrases occur in ``desc_match``, joined by ','; null if none.
 
     Compiled per category into scalar expressions that stay inside
     whole-stage codegen: one ``OR`` of ``contains`` tests per distinct tag
     (short-circuits on the first hit), tags pre-sorted on the driver, joined
-    with ``concat_ws`` (which skips the nulls of tags without a hit).
+    with ``concat_ws`` (which skips the nulls of tags without a hit).  Built
+    as SQL text so the JVM parses it in one call instead of one py4j round
+    trip per node.
     """
+    if not entries:
+        return "CAST(NULL AS STRING)"
+    phrases_by_tag: dict[str, list[str]] = defaultdict(list)
+    for phrase, tag in entries:
+        phrases_by_tag[tag].append(phrase)
+    parts = []
+    for tag in sorted(phrases_by_tag):
+        hit = " OR ".join(f"contains({desc_match}, {_sql_str(p)})" for p in sorted(phrases_by_tag[tag], key=len))
+        parts.append(f"CASE WHEN {hit} THEN {_sql_str(tag)} END")
+    return f"nullif(concat_ws(',', {', '.join(parts)}), '')"
+
+
+def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
+    """Column form of ``_inline_cell_sql`` for an arbitrary ``desc_match`` column."""
     if not entries:
         return F.lit(None).cast("string")
     phrases_by_tag: dict[str, list[str]] = defaultdict(list)
@@ -102,10 +123,13 @@ def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
 
 
 def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
-    scored = [prefix + c for _, c in SCORED_CATEGORIES]
-    score = sum((F.col(c).isNotNull().cast("int") for c in scored), F.lit(0))
-    return df.withColumn(prefix + "tag_concat", F.nullif(F.concat_ws(",", *[F.col(c) for c in scored]), F.lit(""))).withColumn(
-        prefix + "tag_score", F.nullif(score, F.lit(0)).cast("int")
+    scored = [f"`{prefix}{c}`" for _, c in SCORED_CATEGORIES]
+    score = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in scored)
+    return df.withColumns(
+        {
+            prefix + "tag_concat": F.expr(f"nullif(concat_ws(',', {', '.join(scored)}), '')"),
+            prefix + "tag_score": F.expr(f"CAST(nullif({score}, 0) AS INT)"),
+        }
     )
 
 
@@ -143,7 +167,11 @@ def tag_columns(
     matching expression inlined into it (once per reference, below any
     redistribution); matching runs exactly once per row.
     """
-    cells = F.struct(*[_inline_cell(F.col("_desc_match"), by_cat.get(cat, [])).alias(prefix + col) for cat, col in ALL_CATEGORIES])
+    cells = F.expr(
+        "struct("
+        + ", ".join(f"{_inline_cell_sql('_desc_match', by_cat.get(cat, []))} AS `{prefix + col}`" for cat, col in ALL_CATEGORIES)
+        + ")"
+    )
     out = df.withColumn("_desc_match", desc_match).select(*[F.col(f"`{c}`") for c in df.columns], F.inline(F.array(cells)))
     return _finish(out, prefix)
 
@@ -164,8 +192,10 @@ def tag_articles(
     dictionaries) or ``broadcast`` (nested-loop join, bounded dictionaries).
     ``id_col`` must be unique for the join-based strategies.
     """
+    # the cap is a light length aggregate: it reads the input as scanned; only
+    # the matching (CPU-bound) side is spread over the cores
+    cap_col = char_limit(with_description_fallback(articles)) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     arts = with_description_fallback(ensure_parallelism(articles))
-    cap_col = char_limit(arts) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
     if strategy in ("auto", "inline"):
         try:

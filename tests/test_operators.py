@@ -151,3 +151,14 @@ def test_unpivot_pivot_round_trip(spark):
     a = sorted(map(tuple, t.select(F.col("id").alias("content_id"), *CATEGORY_COLUMNS).collect()))
     b = sorted(map(tuple, back.select("content_id", *CATEGORY_COLUMNS).collect()))
     assert a == b
+
+
+def test_phrases_with_quotes_and_backslashes(spark):
+    ref = spark.createDataFrame(
+        [(1, "g1", "Sector", "O'Neil \\ Co", "o'neil", "Yes"), (2, "g2", "Policy", "Path", "a\\b", "Yes"), (3, "g3", "Finance", "Pct", "50%", "Yes")],
+        REF_TAGS,
+    )
+    arts = spark.createDataFrame([(1, "t", "Met O'Neil at a\\b for 50%", "s"), (2, "t", "nothing", "s")], ART)
+    rows = {r.id: r for r in tag_articles(arts, ref, cap=100).collect()}
+    assert (rows[1].sector, rows[1].policy, rows[1].finance) == ("O'Neil \\ Co", "Path", "Pct")
+    assert rows[2].tag_concat is None
