@@ -26,6 +26,7 @@ article and joined back by id.
 
 from __future__ import annotations
 
+import weakref
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
@@ -133,12 +134,25 @@ def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
+_DICTIONARIES: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def inline_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> dict[str, list[tuple[str, str]]]:
     """Phrase table grouped by category, size-checked before it is pulled to the driver.
 
     The last-wins rule for a phrase listed twice in a category is applied on
-    the collected rows (the table is bounded by ``MAX_INLINE_PHRASES``).
+    the collected rows (the table is bounded by ``MAX_INLINE_PHRASES``).  The
+    result is a snapshot kept per DataFrame object, like a broadcast
+    variable: re-read the reference table to pick up later changes.
     """
+    memo = _DICTIONARIES.setdefault(ref_tags, {})
+    if newsroom_only not in memo:
+        memo[newsroom_only] = _collect_dictionary(ref_tags, newsroom_only)
+    return memo[newsroom_only]
+
+
+def _collect_dictionary(ref_tags: DataFrame, newsroom_only: bool) -> dict[str, list[tuple[str, str]]]:
+
     r = ref_tags.where(F.col("newsroom") == F.lit("Yes")) if newsroom_only else ref_tags
     seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(0)
     rows = r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), seq.alias("seq")).limit(MAX_INLINE_PHRASES + 1).collect()
@@ -240,11 +254,9 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
     if len(short_rows) > MAX_INLINE_PHRASES:
         raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases shorter than {k}; raise kgram")
 
-    n_grams = F.greatest(F.length("_dm") - k + 1, F.lit(0))
-    grams = keys.select(
-        "_id",
-        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), n_grams), lambda i: F.substring("_dm", i, k)))).alias("_g"),
-    ).where(F.length("_g") == k)
+    # every overlapping k-gram: a zero-width lookahead match at each position
+    all_grams = F.regexp_extract_all(F.col("_dm"), F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
+    grams = keys.select("_id", F.explode(F.array_distinct(all_grams)).alias("_g"))
     candidates = grams.join(long_ph, "_g").select("_id", "phrase", "tag_cat", "tag")
     verified = (
         candidates.join(keys, "_id")

@@ -96,7 +96,7 @@ def rollup_programmes(with_programmes: DataFrame, excluded: list[str] | None = N
     """(content_id, profiles): distinct programmes, sorted, joined by ', ' (Q6, Q7 fixed)."""
     names = F.nullif(F.col("cost_center"), F.lit(""))
     out = with_programmes.groupBy("content_id").agg(
-        F.array_join(F.array_sort(F.collect_set(names)), ", ").alias("profiles")
+        F.array_join(F.sort_array(F.collect_set(names)), ", ").alias("profiles")
     )
     out = out.where(F.col("profiles") != "")
     return out.where(~F.col("profiles").isin(excluded if excluded is not None else EXCLUDED_PROGRAMMES))

@@ -68,27 +68,35 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    title = F.substring(F.get(F.split(F.col("text"), "\n"), 0), 1, 120)
-    return d.select(
-        F.col("doc_id").alias("id"),
-        title.alias("title"),
-        F.when(F.col("doc_id") % 10 == 0, F.lit(None).cast("string"))
-        .when(F.col("doc_id") % 7 == 0, F.concat(title, F.lit(". "), F.col("text")))
-        .otherwise(F.col("text"))
-        .alias("description"),
-        F.when(F.col("doc_id") % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("source")).alias("source"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 180).cast("int")).alias("pubDate"),
-        F.col("lang").alias("creators"),
-        F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("url"),
+    title = "substring(split(text, '\\n')[0], 1, 120)"
+    return d.selectExpr(
+        "doc_id AS id",
+        f"{title} AS title",
+        f"CASE WHEN doc_id % 10 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 7 = 0 THEN concat({title}, '. ', text) ELSE text END AS description",
+        "CASE WHEN doc_id % 97 = 0 THEN CAST(NULL AS STRING) ELSE source END AS source",
+        "date_add(DATE '2024-01-01', CAST(doc_id % 180 AS INT)) AS pubDate",
+        "lang AS creators",
+        "concat('https://example.org/', CAST(doc_id AS STRING)) AS url",
     )
 
 
+_DIMENSIONS: dict = {}
+
+
+def _dimension(spark: SparkSession, name: str, rows, ddl: str) -> DataFrame:
+    """Fixed dimension tables, built once per session (the same DataFrame object)."""
+    key = (id(spark), name)
+    if key not in _DIMENSIONS:
+        _DIMENSIONS[key] = spark.createDataFrame(rows, ddl)
+    return _DIMENSIONS[key]
+
+
 def ref_tags(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REF_TAG_ROWS, REF_TAGS)
+    return _dimension(spark, "ref_tags", REF_TAG_ROWS, REF_TAGS)
 
 
 def profiles(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROFILE_ROWS, PROFILES)
+    return _dimension(spark, "profiles", PROFILE_ROWS, PROFILES)
 
 
 def _sql_str(v) -> str:

@@ -28,7 +28,7 @@ def springer_articles(records: DataFrame, order: list[str], keep_null_keys: bool
         F.col("publisher").alias("source"),
         F.concat(F.lit(DOI_URL), F.col("doi")).alias("url"),
         "title",
-        F.array_join(F.transform("creators", lambda c: c["creator"]), "; ").alias("creators"),
+        F.array_join(F.col("creators")["creator"], "; ").alias("creators"),
         "doi",
         F.col("publicationName").alias("pubName"),
         F.col("publicationDate").cast("date").alias("pubDate"),
