@@ -13,7 +13,15 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     would run on a few threads.  Only then is the input redistributed
     round-robin; a large scan (one split per 128 MB) already has enough
     partitions and is returned unchanged, so no shuffle is added at scale.
+
+    Only scan-level inputs are inspected: when the plan already contains an
+    exchange its partitioning comes from the shuffle (sized by
+    ``spark.sql.shuffle.partitions`` and AQE) and asking for its partition
+    count would make AQE run the upstream stages eagerly, so it is returned
+    as is.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

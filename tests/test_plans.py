@@ -41,3 +41,16 @@ def test_keep_first_combines_before_the_shuffle(spark):
     out.collect()
     p = plan(out)
     assert "partial_min" in p and p.index("Exchange hashpartitioning") < p.index("partial_min")
+
+
+def test_ensure_parallelism_leaves_shuffled_inputs_alone(spark):
+    from newsflow.operators.partitioning import ensure_parallelism
+
+    scan = fx.table(spark, "/root/testdata/sf0.001", "documents")
+    spread = ensure_parallelism(scan, 4)
+    assert spread.rdd.getNumPartitions() == 4
+    agg = scan.groupBy("source").count()
+    sc = spark.sparkContext
+    sc.setJobGroup("ensure-par-check", "x")
+    assert ensure_parallelism(agg, 10_000) is agg
+    assert list(sc.statusTracker().getJobIdsForGroup("ensure-par-check")) == []  # nothing executed
