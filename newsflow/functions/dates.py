@@ -33,16 +33,20 @@ def feed_date_prefix(col: Column | str, n: int = 16) -> Column:
 
 
 def relative_date(col: Column | str, as_of: _dt.datetime | str) -> Column:
-    """``"2 hours ago"`` / ``LIVE`` / a free-form date → date, relative to ``as_of``."""
+    """``"2 hours ago"`` / ``LIVE`` / a free-form date → date, relative to ``as_of``.
+
+    Arithmetic is on ``timestamp_ntz`` (wall-clock), so the session time zone
+    and its daylight-saving changes cannot move the result.
+    """
     c = _c(col)
-    ts = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
+    ts = F.lit(as_of).cast("timestamp_ntz")
     pat = "^(\\d+) (minute|hour|day|week)s? ago$"
     n = F.regexp_extract(c, pat, 1).cast("int")
     unit = F.regexp_extract(c, pat, 2)
     secs = F.when(unit == "minute", n * 60).when(unit == "hour", n * 3600).when(unit == "day", n * 86400).when(
         unit == "week", n * 604800
     )
-    rel = F.timestamp_seconds(F.unix_timestamp(ts) - secs)
+    rel = F.timestamp_add("SECOND", -secs, ts)
     free = F.coalesce(
         F.try_to_timestamp(c, F.lit("MMM d, yyyy")),
         F.try_to_timestamp(c, F.lit("d MMM yyyy")),

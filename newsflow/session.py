@@ -26,7 +26,7 @@ def get_spark(master: str | None = None, app: str = "newsflow", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("SPARK_TZ", "UTC"))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
