@@ -91,3 +91,30 @@ def test_title_filters_and_bar(spark):
     out = normalise(items, PROFILES["sunday_times"]).orderBy("url").collect()
     assert [r.title for r in out] == ["y", "z"]
     assert [r.description for r in out] == ["b", "c"]
+
+
+def test_collapse_commas(spark):
+    got = col_values(spark, X.collapse_commas("x"), [",,a,,,b,", " , a", "a"])
+    assert got == ["a,b", "a", "a"]
+
+
+def test_small_text_helpers(spark):
+    assert one(spark, X.ascii_only("x"), "Résumé – ok") == "Rsum  ok"
+    assert col_values(spark, X.piece_after_bar("x"), ["POLITICS | y ", "z", None]) == ["y", "z", None]
+    assert one(spark, X.before_first("x", "</p>"), "<p>a</p><p>b</p>") == "<p>a"
+    assert col_values(spark, X.truncate_ellipsis("x", 3), ["abcdef", None]) == ["abc...", None]
+    assert one(spark, X.strip("x"), "\t a b \n") == "a b"
+    assert one(spark, X.lstrip_chars("x", "."), "...a.") == "a."
+    assert col_values(spark, X.nullif_empty("x"), ["", "a", None]) == [None, "a", None]
+    assert col_values(spark, X.regexp_extract_or_null("x", r"(\d+)"), ["a12", "none"]) == ["12", None]
+    assert col_values(spark, X.contains_any("x", ["a", "b"]), ["xbx", "zz", None]) == [True, False, False]
+
+
+def test_newsroom_flag_null_source(spark):
+    assert col_values(spark, X.newsroom_flag("x", ["Rigzone"]), ["Rigzone", "LA Times", None]) == [0, 1, 1]
+
+
+def test_within_lookback(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 14),), (dt.date(2024, 1, 15),), (dt.date(2024, 1, 20),), (dt.date(2024, 1, 21),)], "d date")
+    got = [r[0] for r in df.select(D.within_lookback("d", "2024-01-20", 5)).collect()]
+    assert got == [False, True, True, False]
