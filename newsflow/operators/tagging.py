@@ -239,25 +239,38 @@ def _hits_by_broadcast(arts: DataFrame, dictionary: DataFrame, desc_match: Colum
 
 
 def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str, k: int) -> DataFrame:
-    """Exact hits for dictionaries of any size: k-gram prefilter equi-join, then ``contains``.
-
-    A phrase of length >= k can only occur in a text that contains its first
-    k characters, so candidate (text, phrase) pairs come from an equi-join of
-    each text's distinct k-grams with the phrases' k-character prefixes
-    (a shuffle join; hot grams are split by AQE's skew handling) and are
-    verified with ``contains`` after joining the text back by id.  Phrases
-    shorter than k are few by construction and are tested inline.
+    """Exact hits for dictionaries of any size: rarest-k-gram prefilter equi-join, then ``contains``.
+
+    A phrase of length >= k can only occur in a text that contains every one
+    of its k-grams.  Each phrase is therefore keyed on its *rarest* k-gram
+    (document frequencies from one map-side-combined aggregation over the
+    texts' distinct grams); phrases with a gram that occurs in no text are
+    dropped before any pairing.  Candidate (text, phrase) pairs come from an
+    equi-join on that gram – a shuffle join whose hot keys AQE splits – and
+    are verified with ``contains`` after the text is joined back by id.
+    Phrases shorter than k are few by construction and are tested inline.
     """
     keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
-    long_ph = dictionary.where(F.length("phrase") >= k).withColumn("_g", F.substring("phrase", 1, k))
     short_rows = dictionary.where(F.length("phrase") < k).limit(MAX_INLINE_PHRASES + 1).collect()
     if len(short_rows) > MAX_INLINE_PHRASES:
         raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases shorter than {k}; raise kgram")
 
     # every overlapping k-gram: a zero-width lookahead match at each position
-    all_grams = F.regexp_extract_all(F.col("_dm"), F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
-    grams = keys.select("_id", F.explode(F.array_distinct(all_grams)).alias("_g"))
-    candidates = grams.join(long_ph, "_g").select("_id", "phrase", "tag_cat", "tag")
+    gram_re = F.lit(f"(?s)(?=(.{{{k}}}))")
+    grams = keys.select("_id", F.explode(F.array_distinct(F.regexp_extract_all(F.col("_dm"), gram_re, 1))).alias("_g"))
+    doc_freq = grams.groupBy("_g").agg(F.count("*").alias("_df"))
+
+    long_ph = dictionary.where(F.length("phrase") >= k)
+    phrase_grams = long_ph.select(
+        "phrase", "tag_cat", "tag", F.explode(F.array_distinct(F.regexp_extract_all(F.col("phrase"), gram_re, 1))).alias("_g")
+    )
+    scored = phrase_grams.join(doc_freq, "_g", "left").select(
+        "phrase", "tag_cat", "tag", F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_g").alias("g")).alias("_r")
+    )
+    rarest = scored.groupBy("phrase", "tag_cat", "tag").agg(F.min("_r").alias("_r"))
+    index = rarest.where(F.col("_r.df") > 0).select("phrase", "tag_cat", "tag", F.col("_r.g").alias("_g"))
+
+    candidates = grams.join(index, "_g").select("_id", "phrase", "tag_cat", "tag")
     verified = (
         candidates.join(keys, "_id")
         .where(F.col("_dm").contains(F.col("phrase")))
