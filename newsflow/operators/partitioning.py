@@ -20,12 +20,14 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     count would make AQE run the upstream stages eagerly, so it is returned
     as is.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    try:
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: keep the plan as is
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df if n >= target else df.repartition(target)
 
 
 def posexplode_rows(df: DataFrame, array_col, keep: list, pos: str = "pos", value: str = "value") -> DataFrame:
