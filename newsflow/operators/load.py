@@ -48,8 +48,9 @@ def update_by_key(target: DataFrame, updates: DataFrame, key: str, columns: list
 
     A matched null overwrites (SQL semantics); unmatched rows are unchanged and
     update rows without a target are ignored.  ``updates`` must be unique on
-    ``key`` (it is reduced to one row per key with ``max_by`` order otherwise
-    undefined – callers dedup first).
+    ``key`` (dedup with ``keep_first`` first); the join is on that unique key,
+    so a hot key cannot occur.  When the updates come from the same snapshot,
+    prefer a conditional projection (see ``operators.maintenance``): no join.
     """
     u = updates.select(F.col(key).alias("_uk"), F.lit(True).alias("_matched"), *[F.col(c).alias(f"_u_{c}") for c in columns])
     joined = target.join(u, target[key] == u["_uk"], "left")
