@@ -106,23 +106,6 @@ def _inline_cell_sql(desc_match: str, entries: list[tuple[str, str]]) -> str:
     return f"nullif(concat_ws(',', {', '.join(parts)}), '')"
 
 
-def _inline_cell(desc_match: Column, entries: list[tuple[str, str]]) -> Column:
-    """Column form of ``_inline_cell_sql`` for an arbitrary ``desc_match`` column."""
-    if not entries:
-        return F.lit(None).cast("string")
-    phrases_by_tag: dict[str, list[str]] = defaultdict(list)
-    for phrase, tag in entries:
-        phrases_by_tag[tag].append(phrase)
-    parts = []
-    for tag in sorted(phrases_by_tag):
-        hit = None
-        for phrase in sorted(phrases_by_tag[tag], key=len):
-            test = desc_match.contains(F.lit(phrase))
-            hit = test if hit is None else hit | test
-        parts.append(F.when(hit, F.lit(tag)))
-    return F.nullif(F.concat_ws(",", *parts), F.lit(""))
-
-
 def _finish(df: DataFrame, prefix: str = "") -> DataFrame:
     scored = [f"`{prefix}{c}`" for _, c in SCORED_CATEGORIES]
     score = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in scored)

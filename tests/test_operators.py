@@ -162,3 +162,37 @@ def test_phrases_with_quotes_and_backslashes(spark):
     rows = {r.id: r for r in tag_articles(arts, ref, cap=100).collect()}
     assert (rows[1].sector, rows[1].policy, rows[1].finance) == ("O'Neil \\ Co", "Path", "Pct")
     assert rows[2].tag_concat is None
+
+
+def test_select_programme_matches_queries(spark):
+    import __spark_entry__ as E
+    from newsflow.plans import q_select as Q
+    from newsflow.plans.selection import select_programme
+    from newsflow.schemas import ALL_CATEGORY_COLUMNS
+
+    sf = "/root/testdata/sf0.001"
+    content = Q._content(spark, sf)
+    full = tag_articles(fx_articles(spark, sf), fx_ref(spark)).where(F.col("tag_concat").isNotNull() | F.col("current_issues").isNotNull())
+    ct = to_long(full, categories=ALL_CATEGORY_COLUMNS).select("content_id", "tag")
+    sel = select_programme(content, ct, fx_ref(spark), fx_prof(spark), Q.PROGRAMME, "2024-07-01")
+    q = E.queries()
+    assert sorted(map(tuple, sel.cooccurrence_report.collect())) == sorted(map(tuple, q["cooccurrence_report"](spark, sf).collect()))
+    assert sorted(map(tuple, sel.recent_subject_report.collect())) == sorted(map(tuple, q["recent_subject_report"](spark, sf).collect()))
+
+
+def fx_articles(spark, sf):
+    from newsflow.plans import fixtures as fx
+
+    return fx.articles(spark, sf)
+
+
+def fx_ref(spark):
+    from newsflow.plans import fixtures as fx
+
+    return fx.ref_tags(spark)
+
+
+def fx_prof(spark):
+    from newsflow.plans import fixtures as fx
+
+    return fx.profiles(spark)
