@@ -53,9 +53,13 @@ def clean_articles(
     request_prefix: str = DEFAULT_REQUEST_PREFIX,
     excluded_sources: list[str] | None = None,
     keep: list[str] | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
     """Title filter, file title, title dedup, description trim, limits, request URL, newsroom flag.
 
+    With ``dedup=False`` the raw title is kept in ``_raw_title`` so the caller
+    can deduplicate later (the dedup commutes with the row-wise steps).
+
     ``order`` decides which copy of a duplicated title survives (ingestion order
     in production: source rank then sequence).  Steps run in the reference's
     order: the file title is cut from the raw title, dedup precedes the title
@@ -67,7 +71,10 @@ def clean_articles(
             df = df.withColumn(c, F.lit(None).cast("string"))
     df = df.where(F.col("title").isNotNull())
     df = with_file_title(df)
-    df = keep_first(df, ["title"], order or ["title"])
+    if dedup:
+        df = keep_first(df, ["title"], order or ["title"])
+    else:
+        df = df.withColumn("_raw_title", F.col("title"))
     df = df.withColumn("description", X.trim_description("title", "description"))
     df = apply_field_limits(df)
     return df.withColumns(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.clean import clean_articles
+from newsflow.operators.dedup import keep_first
 from newsflow.operators.load import new_rows
 from newsflow.operators.tagging import tag_articles
 from newsflow.operators.tags_long import tag_transform
@@ -61,10 +62,19 @@ def compile_new_articles(
     excluded_sources: list[str] | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Stages 3–7: tag the day's union, clean it, keep titles not stored yet (case-insensitive)."""
+    """Stages 3–7: tag the day's union, clean it, keep titles not stored yet (case-insensitive).
+
+    The title dedup runs *after* the anti join: all copies of a raw title
+    share one cleaned title and so the same fate in the anti join, so the two
+    steps commute.  The anti join hash-partitions the articles by
+    ``lower(title)``; the dedup groups by ``(lower(title), raw title)``, a
+    distribution that partitioning already satisfies – whole article rows
+    cross the network once instead of twice.
+    """
     tagged = tag_articles(incoming, ref_tags)
-    cleaned = clean_articles(tagged, order=order, keep=keep, excluded_sources=excluded_sources)
-    return new_rows(cleaned, content.select("title"), ["title"], case_insensitive=True)
+    cleaned = clean_articles(tagged, order=order, keep=keep, excluded_sources=excluded_sources, dedup=False)
+    fresh = new_rows(cleaned, content.select("title"), ["title"], case_insensitive=True)
+    return keep_first(fresh, [F.lower("title"), "_raw_title"], order).drop("_raw_title")
 
 
 def run_daily(

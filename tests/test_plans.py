@@ -54,3 +54,28 @@ def test_ensure_parallelism_leaves_shuffled_inputs_alone(spark):
     sc.setJobGroup("ensure-par-check", "x")
     assert ensure_parallelism(agg, 10_000) is agg
     assert list(sc.statusTracker().getJobIdsForGroup("ensure-par-check")) == []  # nothing executed
+
+
+def test_daily_compile_shuffles_articles_once(spark):
+    import re
+
+    import __spark_entry__ as E
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")  # the shape of a large run: no side is broadcastable
+        df = E.queries()["daily_compile"](spark, "/root/testdata/sf0.001")
+        df.collect()
+        main = plan(df).split("Subquery")[0]
+        exchanges = re.findall(r"Exchange hashpartitioning\(([^,)]*)", main)
+        # the incoming articles cross the network once: partitioned by lower(title) for the
+        # anti join; the (lower(title), raw title) dedup reuses that partitioning
+        assert any(e.startswith("lower(title") for e in exchanges)
+        assert not any(e.startswith("_k0") for e in exchanges)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
