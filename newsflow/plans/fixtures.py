@@ -6,6 +6,8 @@ common-table expression, so a query and its oracle start from the same rows.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,15 +82,15 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DIMENSIONS: dict = {}
+_DIMENSIONS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
 def _dimension(spark: SparkSession, name: str, rows, ddl: str) -> DataFrame:
     """Fixed dimension tables, built once per session (the same DataFrame object)."""
-    key = (id(spark), name)
-    if key not in _DIMENSIONS:
-        _DIMENSIONS[key] = spark.createDataFrame(rows, ddl)
-    return _DIMENSIONS[key]
+    per_session = _DIMENSIONS.setdefault(spark, {})
+    if name not in per_session:
+        per_session[name] = spark.createDataFrame(rows, ddl)
+    return per_session[name]
 
 
 def ref_tags(spark: SparkSession) -> DataFrame:
