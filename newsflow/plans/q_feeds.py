@@ -30,7 +30,7 @@ def rss_fixture(spark, sf_dir, keys: list[str]):
     doc = F.col("doc_id")
     t = F.substring(F.get(F.split("text", "\n"), 0), 1, 120)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 180).cast("int"))
-    body = F.substring("text", 1, 200)
+    body = F.col("text")
     sid = doc.cast("string")
     return d.select(
         doc.alias("doc_id"),
@@ -59,7 +59,7 @@ def rss_fixture(spark, sf_dir, keys: list[str]):
 def _rss_fixture_sql(keys: list[str]) -> str:
     t = "substring(string_split(text, chr(10))[1], 1, 120)"
     day = "CAST(DATE '2024-01-01' + CAST(doc_id % 180 AS INTEGER) AS DATE)"
-    body = "substring(text, 1, 200)"
+    body = "text"
     sid = "CAST(doc_id AS VARCHAR)"
     key_list = "[" + ", ".join(S.q(k) for k in keys) + "]"
     return f"""items AS (
