@@ -9,7 +9,6 @@ from __future__ import annotations
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newsflow.operators.partitioning import ensure_parallelism
 from newsflow.schemas import PROFILES, REF_TAGS

@@ -10,9 +10,7 @@ from newsflow.operators.tags_long import (
     EXCLUDED_PROGRAMMES,
     active_profiles,
     attach_guid,
-    attach_programmes,
     import_profiles,
-    rollup_programmes,
     tag_transform,
     to_long,
 )

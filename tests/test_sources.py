@@ -4,7 +4,6 @@ import datetime as dt
 import json
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from newsflow.operators.cards import card_tags, flatten_cards
 from newsflow.operators.deals import new_deals, parse_deals
