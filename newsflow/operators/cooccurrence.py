@@ -37,7 +37,7 @@ def classify_programme(profiles: DataFrame, ref_tags: DataFrame, programme: str)
 
 def content_flags(content_tags: DataFrame, ref_tags: DataFrame, profiles: DataFrame, programme: str) -> DataFrame:
     """(content_id, has_subject, has_issue) for content touching the programme."""
-    g = guid_lookup(ref_tags).select(F.col("tag").alias("_t"), "guid").distinct()
+    g = broadcast_if_small(guid_lookup(ref_tags).select(F.col("tag").alias("_t"), "guid").distinct())
     ct = content_tags.select("content_id", "tag")
     with_guid = ct.join(g, ct["tag"] == g["_t"], "left").select("content_id", "guid")
     k = broadcast_if_small(classify_programme(profiles, ref_tags, programme))

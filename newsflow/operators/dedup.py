@@ -38,7 +38,11 @@ def keep_first(
             any_null = any_null | F.col(n).isNull()
         nulls = work.where(any_null).select("_r")
         work = work.where(~any_null)
-    best = work.groupBy(*key_names).agg(F.min("_r").alias("_r")).select("_r")
+    # plain-column keys come back from the grouping attributes (not from the
+    # struct) so the output keeps the shuffle's hash partitioning on them
+    plain = {k: n for k, n in zip(keys, key_names) if isinstance(k, str) and not k.startswith("`") and k in cols}
+    best = work.groupBy(*key_names).agg(F.min("_r").alias("_r"))
+    out = best.select(*[F.col(plain[c]).alias(c) if c in plain else F.col(f"_r.`{c}`").alias(c) for c in cols])
     if keep_null_keys:
-        best = best.unionByName(nulls)
-    return best.select(*[F.col(f"_r.`{c}`").alias(c) for c in cols])
+        out = out.unionByName(nulls.select(*[F.col(f"_r.`{c}`").alias(c) for c in cols]))
+    return out

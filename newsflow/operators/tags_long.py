@@ -1,52 +1,46 @@
 """Wide tag columns → long, GUID-enriched content tags rolled up to programmes.
 
-Plan shape: the wide table is unpivoted and exploded with narrow operators
-(no shuffle); the GUID and programme lookups are equi-joins against small
-dimension tables (AQE broadcasts them when their measured size allows); the
-(content_id, guid) dedup and the programme roll-up are hash aggregations with
-map-side combine, so a hot tag or a hot programme is reduced before the
-shuffle.
+Plan shape: the wide table is melted and exploded with generators (no
+shuffle, partitioning kept); the GUID and programme lookups are equi-joins
+against dimension tables broadcast behind a row-count check; the
+(content_id, guid) dedup and the programme roll-up are keyed by content id,
+so both reuse one hash partitioning by id (a content id carries a bounded
+number of tags, so no key is hot).
 """
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.joins import broadcast_if_small
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
 # Programmes removed before matching and from the roll-up.
 EXCLUDED_PROGRAMMES = ["RMI", "Oil Refining"]
 
 
-def _category_name(col_name):
-    mapping = F.create_map(*chain.from_iterable((F.lit(c), F.lit(n)) for n, c in ALL_CATEGORIES))
-    return mapping[col_name]
-
-
 def to_long(wide: DataFrame, id_col: str = "id", categories: list[str] | None = None) -> DataFrame:
     """(id, cat columns…) → (content_id, tag_cat, cat_rank, pos, tag); empties dropped.
 
     ``tag_cat`` is the category the tag was found in, ``cat_rank`` its column
     position and ``pos`` the tag's position in the comma list – together the
     row order of the original melt, used as the "keep first" order downstream.
+    The melt is a generator over an array of (category, rank, cell) structs –
+    unlike ``unpivot`` (an ``Expand``) it keeps the input's partitioning on the
+    id, so later steps keyed by content id need no new shuffle.
     """
     cols = categories or [c for _, c in SCORED_CATEGORIES]
-    rank = F.create_map(*chain.from_iterable((F.lit(c), F.lit(i)) for i, c in enumerate(cols)))
+    names = dict((c, n) for n, c in ALL_CATEGORIES)
+    cells = F.array(
+        *[F.struct(F.lit(names[c]).alias("tag_cat"), F.lit(i).alias("cat_rank"), F.col(c).alias("tags")) for i, c in enumerate(cols)]
+    )
     melted = (
-        wide.select(F.col(id_col).alias("content_id"), *cols)
-        .unpivot(["content_id"], cols, "src_col", "tags")
+        wide.select(F.col(id_col).alias("content_id"), F.inline(cells))
         .where(F.col("tags").isNotNull() & (F.col("tags") != ""))
     )
-    exploded = melted.select(
-        "content_id",
-        _category_name(F.col("src_col")).alias("tag_cat"),
-        rank[F.col("src_col")].alias("cat_rank"),
-        F.posexplode(F.split("tags", ",")).alias("pos", "tag"),
-    )
+    exploded = melted.select("content_id", "tag_cat", "cat_rank", F.posexplode(F.split("tags", ",")).alias("pos", "tag"))
     return exploded.where(F.col("tag").isNotNull() & (F.col("tag") != ""))
 
 
@@ -61,7 +55,7 @@ def attach_guid(long: DataFrame, ref_tags: DataFrame) -> DataFrame:
     The category comes from the reference table; unmatched tags keep a null
     guid and all of one content's unmatched tags collapse to one row (Q4).
     """
-    ref = guid_lookup(ref_tags).withColumnRenamed("tag", "_rtag").withColumnRenamed("tag_cat", "_rcat")
+    ref = broadcast_if_small(guid_lookup(ref_tags).withColumnRenamed("tag", "_rtag").withColumnRenamed("tag_cat", "_rcat"))
     joined = long.join(ref, long["tag"] == ref["_rtag"], "left").select(
         "content_id", "tag", F.col("_rcat").alias("tag_cat"), "guid", "pos", "cat_rank"
     )
@@ -84,7 +78,7 @@ def attach_programmes(content_tags: DataFrame, profiles: DataFrame, match_null_k
     left outer join; with ``match_null_keys`` a null guid matches a profile
     row with a null guid (pandas merge semantics).
     """
-    p = profiles.select(F.col("tag_guid").alias("_pguid"), "cost_center")
+    p = broadcast_if_small(profiles.select(F.col("tag_guid").alias("_pguid"), "cost_center"))
     cond = content_tags["tag_guid"].eqNullSafe(p["_pguid"]) if match_null_keys else content_tags["tag_guid"] == p["_pguid"]
     joined = content_tags.join(p, cond, "left")
     return joined.select(

@@ -79,3 +79,25 @@ def test_daily_compile_shuffles_articles_once(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_tag_normaliser_shuffles_once(spark):
+    import re
+
+    import __spark_entry__ as E
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # large-run shape: only the size-checked dimension tables are broadcast
+        df = E.queries()["programme_rollup"](spark, "/root/testdata/sf0.001")
+        df.collect()
+        main = plan(df).split("Subquery")[0]
+        exchanges = re.findall(r"Exchange hashpartitioning\(([^,)]*)", main)
+        # the anti join's id partitioning carries the long rows, the (content_id, guid)
+        # dedup and the per-content roll-up: one shuffle on the large side
+        assert len(exchanges) == 1 and exchanges[0].startswith("id#"), exchanges
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
