@@ -31,7 +31,8 @@ TEASER_SOURCE = "Financial Times"
 TEASER_URL = "https://www.ft.com/news-feed"
 
 # Search-result card page classes.
-CARD_BLOCK = r'<div class="SoaBEf"[^>]*>((?:[^<]|<(?!/article>))*)</article>'
+# a card runs from its marker class to the next card's marker (or the page end)
+CARD_BLOCK = r'(?s)class="SoaBEf"((?:(?!class="SoaBEf").)*)'
 CARD_FIELDS = {
     "link": r'<a[^>]*href="([^"]*)"',
     "title": r'class="MBeuO"[^>]*>([^<]*)<',

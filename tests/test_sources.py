@@ -114,8 +114,9 @@ def test_teasers_zip_within_page(spark):
 
 
 def test_result_cards(spark):
-    card = ('<div class="SoaBEf"><a href="https://n.org/{i}"></a><div class="MBeuO">Title {i}</div>'
-            '<div class="GI74Re">Snip &amp; more</div><div class="LfVVr">{d}</div><div class="NUnG9d"><span>Src</span></div></article>')
+    card = ('<div class="SoaBEf"><div><a href="https://n.org/{i}"><div class="MBeuO">Title {i}</div>\n'
+            '<div class="GI74Re">Snip &amp; more</div><div><span class="LfVVr">{d}</span></div></a>'
+            '<div class="NUnG9d"><span>Src</span></div></div></div>')
     html = card.format(i=1, d="2 hours ago") + card.format(i=2, d="LIVE") + card.format(i=1, d="1 day ago")
     pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
     got = sorted((r.title, r.url, r.pubDate, r.description, r.source) for r in H.result_cards(pages, "2024-03-05 01:00:00").collect())
