@@ -55,3 +55,25 @@ def test_run_daily_writes_consistent_ids(spark, tmp_path):
     assert tags.count() > 0
     assert tags.join(new, tags.content_id == new.id, "left_anti").count() == 0  # every tag row points at a stored article
     assert spark.read.parquet(str(tmp_path / "content")).count() == content.count() + n_new
+
+
+def test_stream_dedups_titles_within_watermark(spark, tmp_path):
+    import json
+
+    from newsflow.streaming.landing import dedup_titles_within
+
+    landing = tmp_path / "json"
+    landing.mkdir()
+    rows = [{"id": 1, "title": "Grid news", "description": "a", "source": "s"},
+            {"id": 2, "title": "GRID NEWS", "description": "b", "source": "s"},
+            {"id": 3, "title": "Other", "description": "c", "source": "s"}]
+    for i, r in enumerate(rows):
+        (landing / f"f{i}.json").write_text(json.dumps(r))
+    schema = "id long, title string, description string, source string"
+    stream = dedup_titles_within(landing_stream(spark, str(landing), schema, fmt="json"), "1 hour")
+    out = str(tmp_path / "out")
+    content = spark.createDataFrame([], "title string")
+    q = start_daily_stream(spark, stream, content, fx.ref_tags(spark), out, order=["id"], keep=["id"], checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination(300)
+    titles = sorted(r.title.lower() for r in spark.read.parquet(out).collect())
+    assert titles == ["grid news", "other"]
