@@ -7,6 +7,8 @@ positional pairing happens inside each page with ``arrays_zip`` (Q15).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,23 @@ TAG_PATTERN = r"<[^>]+>"
 # The HTML entities decoded in extracted text.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
+def balanced_div(class_name: str, depth: int = 4, capture: bool = True) -> str:
+    """Regex for a ``<div>`` whose class list contains ``class_name``, with nested
+    ``<div>`` elements balanced up to ``depth`` levels (possessive, no backtracking).
+    With ``capture`` the element's inner HTML is group 1."""
+    text = r"(?:[^<]|<(?!/?div\b))"
+    inner = text
+    for _ in range(depth):
+        inner = rf"(?:{text}|<div\b[^>]*>(?:{inner})*+</div>)"
+    body = f"((?:{inner})*+)" if capture else f"(?:{inner})*+"
+    token = rf'class="(?:[^"]*\s)?{re.escape(class_name)}(?:\s[^"]*)?"'  # a whole class token
+    return rf"<div\b[^>]*{token}[^>]*>{body}</div>"
+
+
 # Teaser page (class names, filters, constants).
-TEASER_HEADING = r'class="o-teaser__heading"[^>]*>((?:[^<]|<(?!/div>))*)</div>'
-TEASER_STANDFIRST = r'class="o-teaser__standfirst"[^>]*>((?:[^<]|<(?!/div>))*)</div>'
-TEASER_LIVE_BLOCK = r'<div class="o-teaser--live-blog-package">(?:[^<]|<(?!/div>))*</div>'
+TEASER_HEADING = balanced_div("o-teaser__heading")
+TEASER_STANDFIRST = balanced_div("o-teaser__standfirst")
+TEASER_LIVE_BLOCK = balanced_div("o-teaser--live-blog-package", capture=False)
 TEASER_EXCLUDE = ["FT Crossword", "Quiz"]
 TEASER_TITLE_EXCLUDE = "Letter: "
 TEASER_BLANKED_TITLES = [" Premium content", " Premium Content"]

@@ -113,6 +113,20 @@ def test_teasers_zip_within_page(spark):
     assert got == [("a", "1"), ("b", None)]
 
 
+def test_teasers_nested_live_block(spark):
+    live = ('<div class="o-teaser o-teaser--live-blog-package"><div class="o-teaser__heading">Live</div>'
+            '<div class="o-teaser__standfirst"><div><p>live text</p></div></div><ul><li>x</li></ul></div>')
+    html = (
+        '<div class="o-teaser__heading js-h"><a href="/a">A &amp; B</a></div>' + live
+        + '<div class="o-teaser__standfirst"><div class="inner">one</div> more</div>'
+        + '<div class="o-teaser__heading">C</div><div class="o-teaser__standfirst">two</div>'
+        + '<div class="o-teaser__heading-link">not a heading</div>'
+    )
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = sorted((r.title, r.description) for r in H.teasers(pages, "2024-03-05").collect())
+    assert got == [("A & B", "one more"), ("C", "two")]
+
+
 def test_result_cards(spark):
     card = ('<div class="SoaBEf"><div><a href="https://n.org/{i}"><div class="MBeuO">Title {i}</div>\n'
             '<div class="GI74Re">Snip &amp; more</div><div><span class="LfVVr">{d}</span></div></a>'
