@@ -42,3 +42,26 @@ def test_refresh_cards(spark, tmp_path):
         jobs.refresh_cards(spark, str(tmp_path / "pages"), ref, str(tmp_path / "cards"), str(tmp_path / "card_tags"))
     assert spark.read.parquet(str(tmp_path / "cards")).count() == 1
     assert [(r.title, r.tag, r.tag_guid) for r in spark.read.parquet(str(tmp_path / "card_tags")).collect()] == [("Card", "Carbon", "g1")]
+
+
+def test_research_job_matches_queries(spark, tmp_path):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+
+    from newsflow.operators.tagging import tag_articles
+    from newsflow.operators.tags_long import to_long
+    from newsflow.plans import fixtures as fx
+    from newsflow.plans import q_select as Q
+    from newsflow.schemas import ALL_CATEGORY_COLUMNS
+
+    sf = "/root/testdata/sf0.001"
+    Q._content(spark, sf).write.parquet(str(tmp_path / "content"))
+    tagged = tag_articles(fx.articles(spark, sf), fx.ref_tags(spark)).where(
+        F.col("tag_concat").isNotNull() | F.col("current_issues").isNotNull()
+    )
+    to_long(tagged, categories=ALL_CATEGORY_COLUMNS).write.parquet(str(tmp_path / "tags"))
+    sel = jobs.research(spark, str(tmp_path / "content"), str(tmp_path / "tags"), fx.ref_tags(spark), fx.profiles(spark),
+                        Q.PROGRAMME, "2024-07-01", out_path=str(tmp_path / "reports"))
+    q = E.queries()
+    assert sorted(map(tuple, sel.recent_subject_report.collect())) == sorted(map(tuple, q["recent_subject_report"](spark, sf).collect()))
+    assert spark.read.parquet(str(tmp_path / "reports" / "cooccurrence")).count() == q["cooccurrence_report"](spark, sf).count()
