@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.functions.dates import day_series
+
 
 def _key(df: DataFrame, k: str | Column) -> Column:
     return df[k] if isinstance(k, str) else k
@@ -104,6 +106,28 @@ def range_counts(current: DataFrame, restored: DataFrame, column: str, boundary)
     )
 
 
+def landing_gaps(landed: DataFrame) -> DataFrame:
+    """(section, day) pairs inside each section's own day range that have not landed.
+
+    The expected keys are generated per section from its min/max day, so no
+    cross product of days × sections is ever built.
+    """
+    ranges = landed.groupBy("section").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+    expected = ranges.select("section", F.explode(day_series("d0", "d1")).alias("day"))
+    return expected.join(landed, ["section", "day"], "left_anti")
+
+
+def window_landing_gaps(landed: DataFrame, sections: DataFrame, as_of: str, days: int) -> DataFrame:
+    """(section, day) keys of a fixed look-back window not landed yet – what a poll must fetch.
+
+    ``sections`` is the (small) list of sections to poll; each section row
+    generates its own ``days + 1`` window days (a generator, not a join).
+    """
+    end = F.lit(as_of).cast("date")
+    expected = sections.select("section", F.explode(day_series(F.date_sub(end, days), end)).alias("day"))
+    return expected.join(landed.select("section", "day").distinct(), ["section", "day"], "left_anti")
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Write a table snapshot; callers write to a new path and switch readers after."""
     w = df.write.mode(mode)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow import schemas as SC
-from newsflow.functions.dates import day_series
+from newsflow.operators.load import landing_gaps
 from newsflow.operators.cards import DATE_PATTERN, TEXT_PATTERN, URL_PATTERN, card_tags, flatten_cards
 from newsflow.plans import fixtures as fx
 from newsflow.plans import sql_text as S
@@ -286,17 +286,6 @@ def q_card_tags(spark, sf_dir):
 # ---------------------------------------------------------------- landing gaps (K8)
 
 
-def landing_gaps(landed):
-    """(section, day) pairs inside each section's own day range that have not landed.
-
-    The expected keys are generated per section from its min/max day, so no
-    cross product of days × sections is ever built.
-    """
-    ranges = landed.groupBy("section").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
-    expected = ranges.select("section", F.explode(day_series("d0", "d1")).alias("day"))
-    return expected.join(landed, ["section", "day"], "left_anti")
-
-
 @query(
     "landing_gap_days",
     """WITH landed AS (

@@ -53,3 +53,17 @@ def test_require_columns(spark):
         assert "title" in str(e)
     else:
         raise AssertionError("expected a ValueError")
+
+
+def test_window_landing_gaps(spark):
+    import datetime as dt
+
+    from newsflow.operators.load import landing_gaps, window_landing_gaps
+
+    landed = spark.createDataFrame(
+        [("world", dt.date(2024, 3, 1)), ("world", dt.date(2024, 3, 3)), ("business", dt.date(2024, 3, 5))], "section string, day date"
+    )
+    sections = spark.createDataFrame([("world",), ("business",), ("environment",)], "section string")
+    gaps = {(r.section, r.day.day) for r in window_landing_gaps(landed, sections, "2024-03-05", 2).collect()}
+    assert gaps == {("world", 4), ("world", 5), ("business", 3), ("business", 4)} | {("environment", d) for d in (3, 4, 5)}
+    assert [(r.section, r.day.day) for r in landing_gaps(landed).collect()] == [("world", 2)]
