@@ -326,3 +326,14 @@ def q_lookback_window(spark, sf_dir):
     return sel.groupBy("event_type", F.to_date("ts").alias("day")).agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("value")
     )
+
+
+# ---------------------------------------------------------------- sampling (O3)
+
+
+@query("sample_works")  # rows-only: a seeded random sample has no engine-independent oracle
+def q_sample_works(spark, sf_dir):
+    """Five random CrossRef works (the sample is the feature; top-5 per partition, then merged)."""
+    from newsflow.operators.metrics import sample_rows
+
+    return sample_rows(crossref_dates(_crossref_works(spark, sf_dir)), 5, seed=42)
