@@ -196,3 +196,25 @@ def fx_prof(spark):
     from newsflow.plans import fixtures as fx
 
     return fx.profiles(spark)
+
+
+def test_selector_null_guid_profile_counts_as_subject(spark):
+    # Q8: the programme's null-guid profile row gets a null category, counts as a
+    # subject tag and matches content tags that resolved to no guid
+    ref = spark.createDataFrame([(1, "g2", "Current Issues", "I", "i", "Yes")], REF_TAGS)
+    prof = spark.createDataFrame([("P", None), ("P", "g2")], "cost_center string, tag_guid string")
+    ct = spark.createDataFrame([(1, "Unknown"), (1, "I"), (2, "Unknown"), (3, "I")], "content_id bigint, tag string")
+    flags = content_flags(ct, ref, prof, "P")
+    assert [r.content_id for r in cooccurrence_ids(flags).collect()] == [1]
+    assert sorted(r.content_id for r in subject_ids(flags).collect()) == [1, 2]
+
+
+def test_same_tag_in_two_categories_fans_out(spark):
+    # Q5: one tag name under two categories has two guids → one row per guid survives D3
+    ref = spark.createDataFrame(
+        [(1, "g1", "Sector", "Grid", "grid", "Yes"), (2, "g1", "Sector", "Grid", "power grid", "Yes"), (3, "g2", "Technology", "Grid", "grids", "Yes")],
+        REF_TAGS,
+    )
+    longs = spark.createDataFrame([(1, "Sector", 0, 0, "Grid")], "content_id bigint, tag_cat string, cat_rank int, pos int, tag string")
+    got = sorted((r.tag_cat, r.tag_guid) for r in attach_guid(longs, ref).collect())
+    assert got == [("Sector", "g1"), ("Technology", "g2")]
