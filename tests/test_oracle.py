@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tools_check import type_mismatches
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -57,5 +58,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
+    orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
-    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, res.fetchall())
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert type_mismatches(df.dtypes, duck_types) == []
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, orows)
