@@ -15,13 +15,14 @@ Semantics
 
 Plan
 ----
-The phrase table is a dimension table.  Its size is checked; when it is small
-(``max_inline`` entries) it is compiled into the projection itself – one
-``contains`` per phrase, all inside whole-stage codegen – so tagging is a
-narrow map over the articles: no shuffle, no join, partitioning preserved.
-Larger dictionaries (up to ``max_broadcast`` rows) are matched with a broadcast
-nested-loop join on ``contains`` on ``(id, desc_match)`` only, aggregated per
-article and joined back by id.
+The phrase table is a dimension table.  Its size is checked; up to
+``MAX_INLINE_PHRASES`` entries it is compiled into the projection itself –
+per tag one short-circuiting ``OR`` of ``contains`` tests, all inside
+whole-stage codegen – so tagging is a narrow map over the articles: no
+shuffle, no join, partitioning preserved.  Larger dictionaries use an exact
+rarest-k-gram prefilter join (``strategy="kgram"``); a size-checked broadcast
+nested-loop join (``strategy="broadcast"``) is available in between.  The
+join-based strategies aggregate hits per article and join them back by id.
 """
 
 from __future__ import annotations
@@ -40,14 +41,15 @@ MAX_BROADCAST_PHRASES = 200_000
 
 
 def prepare_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> DataFrame:
-    """(tag_cat, phrase, tag) with lower-cased phrases; last duplicate wins."""
+    """(tag_cat, phrase, tag) with lower-cased phrases; the last duplicate (highest
+    ``ref_seq``, then tag) wins – the same rule ``inline_dictionary`` applies."""
     r = ref_tags
     if newsroom_only:
         r = r.where(F.col("newsroom") == F.lit("Yes"))
-    order = F.col("ref_seq").desc() if "ref_seq" in r.columns else F.col("tag").desc()
-    w = Window.partitionBy("tag_cat", "phrase").orderBy(order)
+    seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(None).cast("int")
+    w = Window.partitionBy("tag_cat", "phrase").orderBy(F.col("_seq").desc_nulls_last(), F.col("tag").desc())
     return (
-        r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), *(["ref_seq"] if "ref_seq" in r.columns else []))
+        r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), seq.alias("_seq"))
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)
         .select("tag_cat", "phrase", "tag")
@@ -58,17 +60,8 @@ def with_description_fallback(articles: DataFrame) -> DataFrame:
     return articles.withColumn("description", F.coalesce(F.col("description"), F.col("title")))
 
 
-def char_limit(articles: DataFrame) -> Column:
-    """Text cap as a lazy scalar subquery over ``articles`` (after the fallback)."""
-    per_source = (
-        articles.where(F.col("source").isNotNull())
-        .groupBy("source")
-        .agg(F.avg(F.length("description")).alias("m"))
-    )
-    return per_source.agg(F.bround(F.avg("m"), 0).cast("int").alias("char_limit")).scalar()
-
-
 def char_limit_frame(articles: DataFrame) -> DataFrame:
+    """One row: the text cap and the number of (non-null) sources it averages over."""
     per_source = (
         articles.where(F.col("source").isNotNull())
         .groupBy("source")
@@ -79,6 +72,11 @@ def char_limit_frame(articles: DataFrame) -> DataFrame:
     )
 
 
+def char_limit(articles: DataFrame) -> Column:
+    """Text cap as a lazy scalar subquery over ``articles`` (after the fallback)."""
+    return char_limit_frame(articles).select("char_limit").scalar()
+
+
 def _sql_str(v: str) -> str:
     """A Spark SQL string literal (backslash escapes are on by default)."""
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
