@@ -59,6 +59,20 @@ RSS_ITEM = T.StructType(
     ]
 )
 
+ATOM_ENTRY = T.StructType(
+    [
+        T.StructField("title", T.StringType()),
+        T.StructField(
+            "link",
+            T.ArrayType(T.StructType([T.StructField("_href", T.StringType()), T.StructField("_rel", T.StringType())])),
+        ),
+        T.StructField("author", T.StructType([T.StructField("name", T.StringType())])),
+        T.StructField("published", T.StringType()),
+        T.StructField("updated", T.StringType()),
+        T.StructField("summary", T.StringType()),
+    ]
+)
+
 DEALS_RAW = T.StructType(
     [
         T.StructField("Publish Date", T.StringType()),

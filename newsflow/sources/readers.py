@@ -47,6 +47,32 @@ def read_rss(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_atom(spark: SparkSession, path: str) -> DataFrame:
+    """Atom feeds: ``<entry>`` rows mapped onto the RSS item columns.
+
+    The link is the ``rel="alternate"`` (or first) ``href``; the author is
+    ``author/name``; ``published`` falls back to ``updated``.
+    """
+    raw = (
+        spark.read.format("xml")
+        .option("rowTag", "entry")
+        .schema(SC.ATOM_ENTRY)
+        .load(path)
+        .withColumn("feed", F.col("_metadata.file_path"))
+    )
+    alternate = F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+    href = F.coalesce(F.get(alternate, 0)["_href"], F.get(F.col("link"), 0)["_href"])
+    return raw.select(
+        "title",
+        href.alias("link"),
+        F.col("author.name").alias("author"),
+        F.coalesce("published", "updated").alias("pubDate"),
+        "updated",
+        F.col("summary").alias("description"),
+        "feed",
+    )
+
+
 def read_deals_csv(spark: SparkSession, directory: str, prefix: str = "AxiosPro") -> DataFrame:
     """All ``<prefix>*.csv`` deal exports of a directory, unioned by the reader."""
     return spark.read.csv(f"{directory}/{prefix}*.csv", header=True, schema=SC.DEALS_RAW)

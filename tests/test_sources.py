@@ -142,3 +142,19 @@ def test_links_relative_only(spark):
     pages = spark.createDataFrame([(1, "u", '<a href="/a">x</a><a class="c" href="https://e.org/b">y</a><a href="/c">z</a>')], "page_id long, url string, html string")
     assert [r.href for r in H.links(pages).orderBy("link_pos").collect()] == ["/a", "/c"]
     assert H.links(pages, relative_only=False).count() == 3
+
+
+def test_atom_feed_scan(spark, tmp_path):
+    atom = """<?xml version="1.0" encoding="utf-8"?>
+<feed xmlns="http://www.w3.org/2005/Atom"><title>SSIR</title>
+<entry><title>Impact</title><link rel="alternate" href="https://s.org/a"/><link rel="enclosure" href="https://s.org/a.mp3"/>
+<author><name>Ann</name></author><updated>2024-03-05T10:00:00Z</updated><summary>Text</summary></entry>
+<entry><title>Second</title><link href="https://s.org/b"/><published>2024-03-01T09:00:00Z</published>
+<updated>2024-03-04T09:00:00Z</updated><summary>More</summary></entry>
+</feed>"""
+    (tmp_path / "ssir.xml").write_text(atom)
+    items = rss_items(R.read_atom(spark, str(tmp_path)))
+    out = {r.title: r for r in normalise(items, PROFILES["ssir"]).collect()}
+    assert out["Impact"].url == "https://s.org/a" and out["Impact"].pubDate == dt.date(2024, 3, 5)
+    assert out["Second"].url == "https://s.org/b" and out["Second"].pubDate == dt.date(2024, 3, 4)  # SSIR dates by `updated`
+    assert out["Impact"].source == "Stanford Social Innovation Review" and out["Impact"].description == "Text"
