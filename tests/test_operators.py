@@ -218,3 +218,18 @@ def test_same_tag_in_two_categories_fans_out(spark):
     longs = spark.createDataFrame([(1, "Sector", 0, 0, "Grid")], "content_id bigint, tag_cat string, cat_rank int, pos int, tag string")
     got = sorted((r.tag_cat, r.tag_guid) for r in attach_guid(longs, ref).collect())
     assert got == [("Sector", "g1"), ("Technology", "g2")]
+
+
+def test_auto_switches_to_kgram_and_many_short_phrases(spark, monkeypatch):
+    import newsflow.operators.tagging as T
+    from newsflow.plans import fixtures as fx
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001")
+    ref = fx.ref_tags(spark)
+    want = sorted(map(tuple, tag_articles(arts, ref).collect()))
+    cols = tag_articles(arts, ref).columns
+    monkeypatch.setattr(T, "MAX_INLINE_PHRASES", 1)
+    monkeypatch.setattr(T, "_DICTIONARIES", __import__("weakref").WeakKeyDictionary())
+    auto = sorted(map(tuple, T.tag_articles(arts, ref).select(*cols).collect()))  # too big to inline → kgram
+    short = sorted(map(tuple, T.tag_articles(arts, ref, strategy="kgram", kgram=5).select(*cols).collect()))  # >1 short → broadcast
+    assert auto == want and short == want
