@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
 from newsflow.operators.clean import DEFAULT_REQUEST_PREFIX, FILE_TITLE_MAX_MANUAL
-from newsflow.operators.load import new_rows
+from newsflow.operators.load import new_rows, update_by_key
 from newsflow.operators.tagging import char_limit, inline_dictionary, tag_articles, tag_columns, with_description_fallback
 from newsflow.schemas import ALL_CATEGORY_COLUMNS
 
@@ -33,10 +33,18 @@ def retag(content: DataFrame, ref_tags: DataFrame, since: str, columns: list[str
     """
     cols = columns or RETAG_COLUMNS
     mask = F.col("tag_score").isNotNull() & (F.col("pubDate") > F.lit(since).cast("date"))
+    try:
+        by_cat = inline_dictionary(ref_tags)
+    except ValueError:
+        # dictionary beyond the inline bound: tag the slice with the join-based
+        # strategy and apply it as a keyed update by id
+        sel = content.where(mask).select("id", "title", "source", "description")
+        fresh = tag_articles(sel, ref_tags, strategy="kgram").where(F.col("tag_concat").isNotNull())
+        return update_by_key(content, fresh.select("id", *cols), "id", cols)
     cap = char_limit(with_description_fallback(content.where(mask)))
     desc = F.coalesce(F.col("description"), F.col("title"))
     desc_match = F.when(mask, F.lower(F.substring(desc, F.lit(1), cap)))
-    fresh = tag_columns(content, desc_match, inline_dictionary(ref_tags), prefix="_n_")
+    fresh = tag_columns(content, desc_match, by_cat, prefix="_n_")
     hit = mask & F.col("_n_tag_concat").isNotNull()
     out = fresh.withColumns({c: F.when(hit, F.col("_n_" + c)).otherwise(F.col(c)) for c in cols})
     return out.select(*content.columns)

@@ -233,3 +233,17 @@ def test_auto_switches_to_kgram_and_many_short_phrases(spark, monkeypatch):
     auto = sorted(map(tuple, T.tag_articles(arts, ref).select(*cols).collect()))  # too big to inline → kgram
     short = sorted(map(tuple, T.tag_articles(arts, ref, strategy="kgram", kgram=5).select(*cols).collect()))  # >1 short → broadcast
     assert auto == want and short == want
+
+
+def test_retag_falls_back_for_large_dictionaries(spark, monkeypatch):
+    import newsflow.operators.tagging as T
+    from newsflow.operators.maintenance import RETAG_COLUMNS, retag
+    from newsflow.plans import fixtures as fx
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001")
+    old = tag_articles(arts, fx.ref_tags(spark).where("ref_seq <= 12"))
+    want = sorted(map(tuple, retag(old, fx.ref_tags(spark), "2024-03-01").select("id", *RETAG_COLUMNS).collect()))
+    monkeypatch.setattr(T, "MAX_INLINE_PHRASES", 1)
+    monkeypatch.setattr(T, "_DICTIONARIES", __import__("weakref").WeakKeyDictionary())
+    got = sorted(map(tuple, retag(old, fx.ref_tags(spark), "2024-03-01").select("id", *RETAG_COLUMNS).collect()))
+    assert got == want
