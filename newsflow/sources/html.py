@@ -26,7 +26,7 @@ def balanced_div(class_name: str, depth: int = 4, capture: bool = True) -> str:
     """Regex for a ``<div>`` whose class list contains ``class_name``, with nested
     ``<div>`` elements balanced up to ``depth`` levels (possessive, no backtracking).
     With ``capture`` the element's inner HTML is group 1."""
-    text = r"(?:[^<]|<(?!/?div\b))"
+    text = r"(?:[^<]++|<(?!/?div\b))"  # runs of text in one step, tags one at a time
     inner = text
     for _ in range(depth):
         inner = rf"(?:{text}|<div\b[^>]*>(?:{inner})*+</div>)"
