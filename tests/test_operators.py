@@ -247,3 +247,20 @@ def test_retag_falls_back_for_large_dictionaries(spark, monkeypatch):
     monkeypatch.setattr(T, "_DICTIONARIES", __import__("weakref").WeakKeyDictionary())
     got = sorted(map(tuple, retag(old, fx.ref_tags(spark), "2024-03-01").select("id", *RETAG_COLUMNS).collect()))
     assert got == want
+
+
+def test_anti_join_hot_key_without_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        incoming = spark.range(3000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("title")
+        )
+        existing = spark.createDataFrame([("hot",), ("t1",)], "title string")
+        out = new_rows(incoming, existing, ["title"], case_insensitive=True)
+        assert out.count() == 3000 - 1000 - 1 and out.where("title = 'HOT'").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
