@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() whitespace restricted to the characters the feeds carry.
-WS_CLASS = "[ \\t\\n\\r\\f\\x0B]"
+# Python's str.strip() whitespace (str.isspace), in \x{...} form that Java
+# regex and RE2 both read.
+WS_RANGES = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+WS_CLASS = f"[{WS_RANGES}]"
 
 # Characters removed from file titles, and the colon replacement.
 FILE_TITLE_REMOVED = '/<>*"?|'
@@ -124,7 +126,7 @@ def replace_all(col: Column | str, pairs: list[tuple[str, str]]) -> Column:
 def collapse_commas(col: Column | str) -> Column:
     """``,{2,}`` → ``,`` then strip leading/trailing commas and whitespace."""
     c = F.regexp_replace(_c(col), ",{2,}", ",")
-    return F.regexp_replace(c, f"^[,{WS_CLASS[1:-1]}]+|[,{WS_CLASS[1:-1]}]+$", "")
+    return F.regexp_replace(c, f"^[,{WS_RANGES}]+|[,{WS_RANGES}]+$", "")
 
 
 def newsroom_flag(source: Column | str, excluded: list[str]) -> Column:

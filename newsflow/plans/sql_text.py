@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WS = r"[ \t\n\r\f\x0B]"
+from newsflow.functions.text import WS_CLASS as WS  # same class text for RE2
 
 
 def q(s: str) -> str:

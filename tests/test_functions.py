@@ -118,3 +118,9 @@ def test_within_lookback(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 14),), (dt.date(2024, 1, 15),), (dt.date(2024, 1, 20),), (dt.date(2024, 1, 21),)], "d date")
     got = [r[0] for r in df.select(D.within_lookback("d", "2024-01-20", 5)).collect()]
     assert got == [False, True, True, False]
+
+
+def test_strip_matches_python_unicode_whitespace(spark):
+    values = ["   a b 　 ", "\x1c\x85x ", "\t\n\x0b\x0c\r y  ", "no-space"]
+    assert col_values(spark, X.strip("x"), values) == [v.strip() for v in values]
+    assert col_values(spark, X.lstrip("x"), values) == [v.lstrip() for v in values]
