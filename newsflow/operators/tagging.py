@@ -33,6 +33,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.operators.joins import broadcast_if_small
 from newsflow.operators.partitioning import ensure_parallelism, posexplode_rows
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
@@ -241,13 +242,17 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
 
     # every overlapping k-gram: a zero-width lookahead match at each position
     gram_re = F.lit(f"(?s)(?=(.{{{k}}}))")
-    grams = keys.select("_id", F.explode(F.array_distinct(F.regexp_extract_all(F.col("_dm"), gram_re, 1))).alias("_g"))
-    doc_freq = grams.groupBy("_g").agg(F.count("*").alias("_df"))
-
     long_ph = dictionary.where(F.length("phrase") >= k)
     phrase_grams = long_ph.select(
         "phrase", "tag_cat", "tag", F.explode(F.array_distinct(F.regexp_extract_all(F.col("phrase"), gram_re, 1))).alias("_g")
     )
+    # only grams that occur in some phrase can matter: filter the texts' grams
+    # with a (size-checked, broadcast) semi join before anything is shuffled
+    vocabulary = broadcast_if_small(phrase_grams.select("_g").distinct())
+    all_grams = keys.select("_id", F.explode(F.array_distinct(F.regexp_extract_all(F.col("_dm"), gram_re, 1))).alias("_g"))
+    grams = all_grams.join(vocabulary, "_g", "left_semi")
+    doc_freq = grams.groupBy("_g").agg(F.count("*").alias("_df"))
+
     scored = phrase_grams.join(doc_freq, "_g", "left").select(
         "phrase", "tag_cat", "tag", F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_g").alias("g")).alias("_r")
     )
