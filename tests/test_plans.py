@@ -101,3 +101,21 @@ def test_tag_normaliser_shuffles_once(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_kgram_filters_grams_before_shuffling(spark):
+    import re
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        t = tag_articles(fx.articles(spark, "/root/testdata/sf0.001"), fx.ref_tags(spark), strategy="kgram")
+        t.collect()
+        p = plan(t).split("Subquery")[0]
+        # the vocabulary semi join is a broadcast (explicit, size-checked) – not a shuffle of every text gram
+        assert re.search(r"BroadcastHashJoin \[_g#\d+\], \[_g#\d+\], LeftSemi", p)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
