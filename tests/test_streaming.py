@@ -77,3 +77,13 @@ def test_stream_dedups_titles_within_watermark(spark, tmp_path):
     q.awaitTermination(300)
     titles = sorted(r.title.lower() for r in spark.read.parquet(out).collect())
     assert titles == ["grid news", "other"]
+
+
+def test_assign_ids_independent_of_input_partitioning(spark):
+    from newsflow.plans.daily import assign_ids
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001").dropDuplicates(["title"]).drop("id")
+    content = spark.createDataFrame([(41,)], "id long")
+    a = {r.title: r.id for r in assign_ids(arts.repartition(3), content).collect()}
+    b = {r.title: r.id for r in assign_ids(arts.repartition(7).orderBy(F.rand(5)), content).collect()}
+    assert a == b and len(set(a.values())) == len(a) and min(a.values()) > 41
