@@ -33,7 +33,7 @@ def feed_date_prefix(col: Column | str, n: int = 16) -> Column:
 
 
 def relative_date(col: Column | str, as_of: _dt.datetime | str) -> Column:
-    """``"2 hours ago"`` / ``LIVE`` / a free-form date → date, relative to ``as_of``.
+    """``"2 hours ago"`` / ``LIVE`` / ``today`` / ``yesterday`` / a free-form date → date, relative to ``as_of``.
 
     Arithmetic is on ``timestamp_ntz`` (wall-clock), so the session time zone
     and its daylight-saving changes cannot move the result.
@@ -52,8 +52,11 @@ def relative_date(col: Column | str, as_of: _dt.datetime | str) -> Column:
         F.try_to_timestamp(c, F.lit("d MMM yyyy")),
         F.try_to_timestamp(c, F.lit("yyyy-MM-dd")),
     )
+    word = F.lower(F.trim(c))
     return (
         F.when(F.upper(c) == "LIVE", ts.cast("date"))
+        .when(word == "today", ts.cast("date"))
+        .when(word == "yesterday", F.date_sub(ts.cast("date"), 1))
         .when(c.rlike(pat), rel.cast("date"))
         .otherwise(free.cast("date"))
     )

@@ -67,8 +67,10 @@ def test_prefix16_date(spark):
 
 
 def test_relative_date(spark):
-    got = col_values(spark, D.relative_date("x", "2024-03-05 01:00:00"), ["2 hours ago", "LIVE", "Mar 1, 2024", "3 days ago"])
-    assert got == [dt.date(2024, 3, 4), dt.date(2024, 3, 5), dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+    got = col_values(spark, D.relative_date("x", "2024-03-05 01:00:00"),
+                     ["2 hours ago", "LIVE", "Mar 1, 2024", "3 days ago", "Yesterday", "today", "1 week ago"])
+    assert got == [dt.date(2024, 3, 4), dt.date(2024, 3, 5), dt.date(2024, 3, 1), dt.date(2024, 3, 2),
+                   dt.date(2024, 3, 4), dt.date(2024, 3, 5), dt.date(2024, 2, 27)]
 
 
 def test_date_from_parts(spark):
