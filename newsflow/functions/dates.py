@@ -22,7 +22,8 @@ def feed_date(col: Column | str) -> Column:
     purpose: the feed's own day is kept). ISO strings take their date part.
     """
     c = _c(col)
-    rfc = F.try_to_timestamp(F.regexp_extract(c, RFC822_DAY, 1), F.lit("d MMM yyyy"))
+    # month names parse case-sensitively in Java: normalise "MAR"/"mar" to "Mar"
+    rfc = F.try_to_timestamp(F.initcap(F.lower(F.regexp_extract(c, RFC822_DAY, 1))), F.lit("d MMM yyyy"))
     iso = F.try_to_timestamp(F.regexp_extract(c, ISO_DAY, 1), F.lit("yyyy-MM-dd"))
     return F.coalesce(rfc, iso).cast("date")
 

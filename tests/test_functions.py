@@ -58,8 +58,8 @@ def test_deal_value_compat_and_corrected(spark):
 
 
 def test_feed_date_as_written(spark):
-    got = col_values(spark, D.feed_date("x"), ["Tue, 05 Mar 2024 23:59:00 -0800", "garbage", "2024-03-05T23:00:00Z"])
-    assert got == [dt.date(2024, 3, 5), None, dt.date(2024, 3, 5)]
+    got = col_values(spark, D.feed_date("x"), ["Tue, 05 Mar 2024 23:59:00 -0800", "garbage", "2024-03-05T23:00:00Z", "TUE, 5 MAR 2024 01:00 GMT"])
+    assert got == [dt.date(2024, 3, 5), None, dt.date(2024, 3, 5), dt.date(2024, 3, 5)]
 
 
 def test_prefix16_date(spark):
