@@ -28,6 +28,17 @@ def feed_date(col: Column | str) -> Column:
     return F.coalesce(rfc, iso).cast("date")
 
 
+def any_date(col: Column | str) -> Column:
+    """Feed dates plus the spreadsheet forms (``3/6/2024``, ``March 6, 2024``, ``Mar 6, 2024``)."""
+    c = F.trim(_c(col))
+    return F.coalesce(
+        feed_date(c),
+        F.try_to_date(c, "M/d/yyyy"),
+        F.try_to_date(F.initcap(F.lower(c)), "MMMM d, yyyy"),
+        F.try_to_date(F.initcap(F.lower(c)), "MMM d, yyyy"),
+    )
+
+
 def feed_date_prefix(col: Column | str, n: int = 16) -> Column:
     """Date from the first ``n`` characters only (Washington-Post style feeds)."""
     return feed_date(F.substring(_c(col), 1, n))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from newsflow.functions import deals as DF
-from newsflow.functions.dates import feed_date
+from newsflow.functions.dates import any_date
 from newsflow.operators.load import new_rows
 from newsflow.schemas import DEALS_RENAME
 
@@ -17,7 +17,7 @@ def parse_deals(raw: DataFrame, compat: bool = False) -> DataFrame:
     """Rename the CSV headers, parse the date, derive currency and value."""
     df = raw.withColumnsRenamed({k: v for k, v in DEALS_RENAME.items() if k in raw.columns})
     if dict(df.dtypes).get("pubDate") == "string":
-        df = df.withColumn("pubDate", feed_date("pubDate"))
+        df = df.withColumn("pubDate", any_date("pubDate"))
     value = DF.deal_value_compat("deal_size") if compat else DF.deal_value("deal_size")
     return df.withColumns({"deal_currency": DF.deal_currency("deal_size"), "deal_value": value})
 

@@ -126,3 +126,8 @@ def test_strip_matches_python_unicode_whitespace(spark):
     values = ["   a b 　 ", "\x1c\x85x ", "\t\n\x0b\x0c\r y  ", "no-space"]
     assert col_values(spark, X.strip("x"), values) == [v.strip() for v in values]
     assert col_values(spark, X.lstrip("x"), values) == [v.lstrip() for v in values]
+
+
+def test_any_date_forms(spark):
+    got = col_values(spark, D.any_date("x"), ["3/6/2024", "March 6, 2024", "mar 6, 2024", "2024-03-06", "Wed, 06 Mar 2024 10:00:00 GMT", "soon"])
+    assert got == [dt.date(2024, 3, 6)] * 5 + [None]

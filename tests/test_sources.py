@@ -88,13 +88,14 @@ def test_card_pages(spark, tmp_path):
 def test_deals_csv(spark, tmp_path):
     header = "Publish Date,Company Name,Investors,Deal Size,Type,Series/Round\n"
     (tmp_path / "AxiosPro_1.csv").write_text(header + '2024-03-05,Acme,"A, B",$5 million,VC,A\n2024-03-05,Beta,C,€10 million,VC,B\n')
-    (tmp_path / "AxiosPro_2.csv").write_text(header + "2024-03-06,Gamma,D,,PE,\n")
+    (tmp_path / "AxiosPro_2.csv").write_text(header + "3/6/2024,Gamma,D,,PE,\n")
     (tmp_path / "Other.csv").write_text(header + "2024-03-06,Skip,D,$1 million,PE,\n")
     raw = R.read_deals_csv(spark, str(tmp_path))
     deals = {r.company: r for r in parse_deals(raw).collect()}
     assert set(deals) == {"Acme", "Beta", "Gamma"}
     assert deals["Acme"].deal_currency == "USD" and deals["Acme"].deal_value == Decimal("5000000.00")
     assert deals["Beta"].deal_currency == "EUR" and deals["Gamma"].deal_currency == "None"
+    assert deals["Gamma"].pubDate == dt.date(2024, 3, 6)
     assert parse_deals(raw, compat=True).where("company = 'Beta'").first().deal_value == Decimal("0.00")
     existing = parse_deals(raw).where("company <> 'Beta'")
     assert [r.company for r in new_deals(parse_deals(raw), existing).collect()] == ["Beta"]
