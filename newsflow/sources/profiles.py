@@ -147,12 +147,14 @@ def normalise(items: DataFrame, profile: SourceProfile, order: list[str] | None
 def rss_items(raw: DataFrame) -> DataFrame:
     """Columns of the XML reader → the item columns ``normalise`` expects.
 
-    The feed key is the landed file's name without extension.
+    The author falls back to ``dc:creator``; the feed key is the landed
+    file's name without extension.
     """
+    author = F.coalesce(F.col("author"), F.col("`dc:creator`")) if "dc:creator" in raw.columns else F.col("author")
     return raw.select(
         "title",
         "link",
-        "author",
+        author.alias("author"),
         F.col("pubDate").alias("published"),
         "updated",
         F.col("description").alias("summary"),

@@ -159,3 +159,12 @@ def test_atom_feed_scan(spark, tmp_path):
     assert out["Impact"].url == "https://s.org/a" and out["Impact"].pubDate == dt.date(2024, 3, 5)
     assert out["Second"].url == "https://s.org/b" and out["Second"].pubDate == dt.date(2024, 3, 4)  # SSIR dates by `updated`
     assert out["Impact"].source == "Stanford Social Innovation Review" and out["Impact"].description == "Text"
+
+
+def test_rss_dc_creator_author(spark, tmp_path):
+    feed = ('<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'
+            '<item><title>T</title><link>u</link><dc:creator>Dana</dc:creator><pubDate>Tue, 05 Mar 2024 10:00:00 GMT</pubDate>'
+            '<description>d</description></item></channel></rss>')
+    (tmp_path / "lat.xml").write_text(feed)
+    out = normalise(rss_items(R.read_rss(spark, str(tmp_path))), PROFILES["la_times"]).first()
+    assert out.creators == "Dana"
