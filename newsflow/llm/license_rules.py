@@ -47,7 +47,7 @@ TEXTS = [
     ("gpl", r"(?:gnu{s})?general{s}public{s}licen[cs]e", 0.9, 35, ("general", "licen")),
     ("lgpl", r"(?:gnu{s})?(?:lesser|library){s}general{s}public{s}licen[cs]e", 0.9, 14, ("general", "licen")),
     ("agpl", r"(?:gnu{s})?affero{s}general{s}public{s}licen[cs]e", 0.9, 14, ("affero",)),
-    ("apache-2.0", r"apache{s}licen[cs]e{v}2(?:\.0)?", 0.95, 15, ("apache", "licen")),
+    ("apache-2.0", r"apache{s}licen[cs]e{v}2(?:\.0)?", 0.95, 25, ("apache", "licen")),
     ("cc0-1.0", r"(?:creative{s}commons{s}(?:cc0|zero)|cc0(?:{v}1\.0)?)", 0.9, 20, ("cc0",)),
     ("public-domain", r"(?:released{s}into{s}|dedicated{s}to{s}|in{s})the{s}public{s}domain", 0.8, 30, ("public domain",)),
     ("unlicense", r"this{s}is{s}free{s}and{s}unencumbered{s}software|the{s}unlicense", 0.95, 15, ("un",)),
