@@ -104,28 +104,39 @@ def text_regions(texts: list[bytes], min_bytes: int, gram: int):
 def _region_batches(batches, min_bytes, gram):
     for b in batches:
         row, anchor, content, start, end = text_regions(b.column("bytes").to_pylist(), min_bytes, gram)
+        anchor &= -2
+        # of the rows of one anchor in this batch the first meets those of other batches; the others are known to be
+        # repeated and are dealt anywhere, so that an anchor with very many rows fills no partition
+        _, first, group, n = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
+        known = n[group] > 1
+        other = known.copy()
+        other[first] = False
         row = pa.array(row)
-        yield pa.RecordBatch.from_pydict({"key": b.column("key").take(row), "key2": b.column("key2").take(row), "anchor": pa.array(anchor), "content": pa.array(content),
+        key = b.column("key").take(row)
+        spread = (key.to_numpy() + start).view(np.uint64) * np.uint64(_BASE)
+        slot = np.where(other, spread.view(np.int64), anchor) & -2 | known
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(slot), "key": key, "key2": b.column("key2").take(row), "anchor": pa.array(anchor), "content": pa.array(content),
                                           "start": pa.array(start.astype(np.int32)), "end": pa.array(end.astype(np.int32))})
 
 
 def _repeated_batches(batches):
-    """The rows, sorted by anchor, whose anchor occurs in another row, too."""
+    """The rows, sorted by slot, that are known to be repeated or share their slot with another row."""
     held, before = None, None  # the last row isn't decided before the next is seen
     for b in batches:
         if not b.num_rows:
             continue
         table = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-        anchor = table.column("anchor").to_numpy()
-        same = anchor[1:] == anchor[:-1]
-        first = before is not None and before == anchor[0]
-        keep = np.append(first, same)
+        slot = table.column("slot").to_numpy()
+        place, last = slot >> 1, len(slot) - 1
+        same = place[1:] == place[:-1]
+        keep = np.append(before is not None and before == place[0], same) | (slot & 1 == 1)
         keep[:-1] |= same
-        held = table.slice(len(anchor) - 1)
-        before = anchor[-2] if len(anchor) > 1 else before
-        yield table.slice(0, len(anchor) - 1).filter(pa.array(keep[:-1]))
-    if held is not None and before is not None and held.column("anchor")[0].as_py() == before:
-        yield held
+        held, before = table.slice(last), place[-2] if last else before
+        yield table.slice(0, last).filter(pa.array(keep[:-1])).drop_columns("slot")
+    if held is not None:
+        slot = held.column("slot")[0].as_py()
+        if slot & 1 or before is not None and slot >> 1 == before:
+            yield held.drop_columns("slot")
 
 
 # ---- Burrows-Wheeler transform ---------------------------------------------------------------------------------------
@@ -302,8 +313,8 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(key, key2, from, to): byte intervals of documents covered by repeated strings; they may overlap."""
     keyed = _keyed(docs, id_col, text_col)
     region = "key long, key2 long, anchor long, content long, start int, end int"
-    regions = map_batches(keyed.select("key", "key2", "bytes").where(F.octet_length("bytes") >= min_bytes), partial(_region_batches, min_bytes=min_bytes, gram=gram), region)
-    rows = cut(map_batches(regions.repartition("anchor").sortWithinPartitions("anchor"), _repeated_batches, region))
+    regions = map_batches(keyed.select("key", "key2", "bytes").where(F.octet_length("bytes") >= min_bytes), partial(_region_batches, min_bytes=min_bytes, gram=gram), f"slot long, {region}")
+    rows = cut(map_batches(regions.repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot"), _repeated_batches, region))
 
     example = F.min(F.struct("key", "key2", "start", "end"))
     contents = rows.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), example.alias("x"))
