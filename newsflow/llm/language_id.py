@@ -32,7 +32,7 @@ from newsflow.llm.common import cut, map_batches
 UNDETERMINED = "und"
 ORDER = 4
 SAMPLE_ROWS = 400
-MAX_CONTEXTS = 24_000
+MAX_CONTEXTS = 12_000
 _PIECE = 1 << 20
 
 
@@ -55,9 +55,12 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     """
     rows = docs.where(where & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col), F.col(text_col).cast("string")).alias("h"))
-    share = rows.groupBy("lang").agg((F.lit(4.0 * sample_rows) / F.count(F.lit(1))).alias("share"))
+    counts = rows.groupBy("lang").count().collect()  # one row a language, as in the model
+    if not counts:
+        return rows.select("lang", "text")
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(4.0 * sample_rows / r["count"]))])
     spread = (F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    some = rows.join(share, "lang").where(spread < F.col("share"))
+    some = rows.where(spread < F.element_at(share, F.col("lang")))
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(spread, "h", "text")))
     return ranked.where(F.col("rank") <= sample_rows).select("lang", "text")
 
@@ -90,7 +93,7 @@ def train(sample: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXT
     counts = cut(map_batches(rows, partial(_count_batches, order=order), "lang string, depth int, context long, symbol int, n long")
                  .groupBy("lang", "depth", "context", "symbol").agg(F.sum("n").alias("n")))
     frequent = counts.groupBy("depth", "context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "depth", "context").limit(max_contexts)
-    kept = counts.join(frequent, ["depth", "context"], "left_semi").toPandas()  # at most max_contexts x 256 x languages rows
+    kept = counts.join(frequent, ["depth", "context"], "left_semi").toArrow().to_pandas()  # at most max_contexts x 256 x languages rows
     return compile_model(kept, order)
 
 
@@ -112,19 +115,20 @@ def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
                 suffix.append(known[short])
     suffix = np.array(suffix)
     depth_of = np.array([d for d, _ in known])
-    n = np.zeros((len(known), a, n_lang))
-    if len(counts):
-        rows = np.array([known.get(k, -1) for k in zip(counts["depth"].tolist(), counts["context"].tolist(), strict=True)])
-        lang = np.searchsorted(np.array(languages), counts["lang"].to_numpy(str))
-        ok = rows >= 0
-        n[rows[ok], symbols[counts["symbol"].to_numpy(np.int64)[ok]], lang[ok]] = counts["n"].to_numpy(float)[ok]
-    total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
-    p = np.full(n.shape, 1 / 256)
-    for d in range(order + 1):
-        at = np.nonzero(depth_of == d)[0]
-        below = p[suffix[at]] if d else p[at]
-        seen_here = np.maximum(total[at] + kinds[at], 1)
-        p[at] = np.where(kinds[at] == 0, below, np.where(n[at] > 0, n[at] / seen_here, kinds[at] / seen_here * below))
+    rows = np.array([known.get(k, -1) for k in zip(counts["depth"].tolist(), counts["context"].tolist(), strict=True)], np.int64)
+    cost = np.empty((len(known), a, n_lang), np.float32)
+    for k, lang in enumerate(languages):
+        n = np.zeros((len(known), a), np.float32)
+        ok = (rows >= 0) & (counts["lang"] == lang).to_numpy()
+        n[rows[ok], symbols[counts["symbol"].to_numpy(np.int64)[ok]]] = counts["n"].to_numpy(np.float32)[ok]
+        total, kinds = n.sum(axis=1, keepdims=True, dtype=np.float64), (n > 0).sum(axis=1, keepdims=True)
+        p = np.full(n.shape, 1 / 256)
+        for d in range(order + 1):
+            at = np.nonzero(depth_of == d)[0]
+            below = p[suffix[at]] if d else p[at]
+            seen_here = np.maximum(total[at] + kinds[at], 1)
+            p[at] = np.where(kinds[at] == 0, below, np.where(n[at] > 0, n[at] / seen_here, kinds[at] / seen_here * below))
+        cost[:, :, k] = -np.log2(p)
     # by depth: a successor that isn't a known context is that of the suffix
     step = np.zeros((len(known), a), np.int32)
     children = {}
@@ -136,7 +140,7 @@ def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
             step[i] = step[suffix[i]]
         for s, child in children.get(i, []):
             step[i, s] = child
-    return PpmModel(languages, symbols, step, (-np.log2(p)).astype(np.float32), order)
+    return PpmModel(languages, symbols, step, cost, order)
 
 
 def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
