@@ -52,13 +52,14 @@ def relative_date(col: Column | str, as_of: _dt.datetime | str) -> Column:
     """
     c = _c(col)
     ts = F.lit(as_of).cast("timestamp_ntz")
-    pat = "^(\\d+) (minute|hour|day|week)s? ago$"
+    pat = "^(\\d+) (second|minute|hour|day|week|month|year)s? ago$"
     n = F.regexp_extract(c, pat, 1).cast("int")
     unit = F.regexp_extract(c, pat, 2)
-    secs = F.when(unit == "minute", n * 60).when(unit == "hour", n * 3600).when(unit == "day", n * 86400).when(
+    secs = F.when(unit == "second", n).when(unit == "minute", n * 60).when(unit == "hour", n * 3600).when(unit == "day", n * 86400).when(
         unit == "week", n * 604800
     )
-    rel = F.timestamp_add("SECOND", -secs, ts)
+    months = F.when(unit == "month", n).when(unit == "year", n * 12)
+    rel = F.coalesce(F.timestamp_add("MONTH", -months, ts), F.timestamp_add("SECOND", -secs, ts))
     free = F.coalesce(
         F.try_to_timestamp(c, F.lit("MMM d, yyyy")),
         F.try_to_timestamp(c, F.lit("d MMM yyyy")),

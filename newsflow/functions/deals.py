@@ -77,7 +77,7 @@ def deal_value(deal_size: Column | str) -> Column:
     """Corrected parse: number × unit; missing amount → 0.00; no unit → null."""
     raw = _c(deal_size)
     x = deal_trim(deal_size)
-    num = F.regexp_extract(x, "([0-9]+(\\.[0-9]+)?)", 1).try_cast("decimal(38,6)")
+    num = F.regexp_extract(F.replace(x, F.lit(","), F.lit("")), "([0-9]+(\\.[0-9]+)?)", 1).try_cast("decimal(38,6)")
     return (
         F.when(raw.isNull(), F.lit(0).cast(VALUE_TYPE))
         .when(x.contains("million"), (num * F.lit(UNIT_MILLION)).cast(VALUE_TYPE))

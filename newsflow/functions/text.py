@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # regex and RE2 both read.
 WS_RANGES = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 WS_CLASS = f"[{WS_RANGES}]"
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Characters removed from file titles, and the colon replacement.
 FILE_TITLE_REMOVED = '/<>*"?|'
@@ -26,11 +27,11 @@ def _c(col: Column | str) -> Column:
 
 def strip(col: Column | str) -> Column:
     """Strip leading and trailing whitespace (Spark ``trim`` only strips blanks)."""
-    return F.regexp_replace(_c(col), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def lstrip(col: Column | str) -> Column:
-    return F.regexp_replace(_c(col), f"^{WS_CLASS}+", "")
+    return F.ltrim(_c(col), F.lit(WS_CHARS))
 
 
 def lstrip_chars(col: Column | str, chars: str) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
 from newsflow.operators.dedup import keep_first
-from newsflow.operators.joins import broadcast_if_small
 from newsflow.operators.partitioning import posexplode_rows
 
 # Card columns as (output, column title, position, attribute).
@@ -19,7 +18,7 @@ CARD_FIELDS = [
     ("tags", "Choose Tags", 4, "text"),
 ]
 # Extraction patterns for URL, ISO date and text from the first letter.
-URL_PATTERN = r"(http[s]?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(\\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+)"
+URL_PATTERN = r"(https?://[A-Za-z0-9$-_@.&+!*\\(),]+)"
 DATE_PATTERN = r"(\d{4}-\d{2}-\d{2})"
 TEXT_PATTERN = r"([A-Za-z].*)"
 
@@ -55,7 +54,7 @@ def flatten_cards(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "title",
         # these patterns cannot match an empty string: '' means "no match"
         X.nullif_empty(F.regexp_extract("link", URL_PATTERN, 1)).alias("url"),
-        X.nullif_empty(F.regexp_extract("date", DATE_PATTERN, 1)).cast("date").alias("pubDate"),
+        X.nullif_empty(F.regexp_extract("date", DATE_PATTERN, 1)).try_cast("date").alias("pubDate"),
         X.nullif_empty(F.regexp_extract("brief", TEXT_PATTERN, 1)).alias("description"),
         F.coalesce(F.col("tags"), F.lit("")).alias("content_tags"),
     )
@@ -66,7 +65,7 @@ def card_tags(cards: DataFrame, ref_tags: DataFrame, order: list[str]) -> DataFr
     """Split card tags, strip, attach guid, keep first per (title, guid)."""
     split = cards.select(*order, "title", F.posexplode(F.split("content_tags", ",")).alias("tag_pos", "tag"))
     tags = split.where(F.col("tag").isNotNull() & (F.col("tag") != "")).withColumn("tag", X.strip("tag"))
-    ref = broadcast_if_small(ref_tags.select(F.col("tag").alias("_rtag"), "guid").distinct())
+    ref = ref_tags.select(F.col("tag").alias("_rtag"), "guid").distinct()
     joined = tags.join(ref, tags["tag"] == ref["_rtag"], "left").select(
         *order, "tag_pos", "title", "tag", F.col("guid").alias("tag_guid")
     )

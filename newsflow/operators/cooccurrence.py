@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
-from newsflow.operators.joins import broadcast_if_small
 from newsflow.operators.tags_long import guid_lookup
 
 # Categories that decide the roles of a programme's tags.
@@ -37,10 +36,10 @@ def classify_programme(profiles: DataFrame, ref_tags: DataFrame, programme: str)
 
 def content_flags(content_tags: DataFrame, ref_tags: DataFrame, profiles: DataFrame, programme: str) -> DataFrame:
     """(content_id, has_subject, has_issue) for content touching the programme."""
-    g = broadcast_if_small(guid_lookup(ref_tags).select(F.col("tag").alias("_t"), "guid").distinct())
+    g = guid_lookup(ref_tags).select(F.col("tag").alias("_t"), "guid").distinct()
     ct = content_tags.select("content_id", "tag")
     with_guid = ct.join(g, ct["tag"] == g["_t"], "left").select("content_id", "guid")
-    k = broadcast_if_small(classify_programme(profiles, ref_tags, programme))
+    k = classify_programme(profiles, ref_tags, programme)
     matched = with_guid.join(k, with_guid["guid"].eqNullSafe(k["tag_guid"]), "inner")
     return matched.groupBy("content_id").agg(
         F.bool_or("is_subject").alias("has_subject"), F.bool_or("is_issue").alias("has_issue")

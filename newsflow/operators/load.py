@@ -32,11 +32,12 @@ def new_rows(
 ) -> DataFrame:
     """Rows of ``incoming`` whose key is not yet in ``existing`` (left anti join).
 
+    The stored side isn't made distinct: an anti join doesn't need it, and AQE can then split a hot key.
     ``case_insensitive`` compares ``lower()`` of every key on both sides;
     ``null_safe`` lets null keys match null keys (pandas ``isin`` on strings).
     """
     norm = (lambda c: F.lower(c)) if case_insensitive else (lambda c: c)
-    ex = existing.select(*[norm(F.col(c)).alias(f"_x{i}") for i, c in enumerate(on)]).distinct()
+    ex = existing.select(*[norm(F.col(c)).alias(f"_x{i}") for i, c in enumerate(on)])
     cond = None
     for i, c in enumerate(on):
         left, right = norm(incoming[c]), ex[f"_x{i}"]

@@ -23,6 +23,7 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def sample_rows(df: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
-    """A random sample of ``n`` rows: per-partition top-n by a seeded random key, then merged."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:
+    """A random sample of ``n`` rows: the smallest hashes of (seed, key), so it doesn't depend on partitions."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return df.orderBy(order, key).limit(n)

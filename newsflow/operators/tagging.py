@@ -22,7 +22,7 @@ whole-stage codegen – so tagging is a narrow map over the articles: no
 shuffle, no join, partitioning preserved.  Larger dictionaries use an exact
 rarest-k-gram prefilter join (``strategy="kgram"``); a size-checked broadcast
 nested-loop join (``strategy="broadcast"``) is available in between.  The
-join-based strategies aggregate hits per article and join them back by id.
+join-based strategies aggregate hits per distinct text and join them back by its hash.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.operators.joins import broadcast_if_small
-from newsflow.operators.partitioning import ensure_parallelism, posexplode_rows
+from newsflow.operators.partitioning import posexplode_rows
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
 # Inline matching costs (texts × phrases); measured at sf0.1 it beats the k-gram
@@ -42,12 +42,13 @@ from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 # far larger inline expressions also strain the driver when compiled.
 MAX_INLINE_PHRASES = 600
 MAX_BROADCAST_PHRASES = 200_000
+MAX_VOCABULARY = 200_000
 
 
 def prepare_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> DataFrame:
     """(tag_cat, phrase, tag) with lower-cased phrases; the last duplicate (highest
     ``ref_seq``, then tag) wins – the same rule ``inline_dictionary`` applies."""
-    r = ref_tags
+    r = ref_tags.where(F.col("phrase").isNotNull())
     if newsroom_only:
         r = r.where(F.col("newsroom") == F.lit("Yes"))
     seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(None).cast("int")
@@ -138,7 +139,8 @@ def inline_dictionary(ref_tags: DataFrame, newsroom_only: bool = True) -> dict[s
 
 def _collect_dictionary(ref_tags: DataFrame, newsroom_only: bool) -> dict[str, list[tuple[str, str]]]:
 
-    r = ref_tags.where(F.col("newsroom") == F.lit("Yes")) if newsroom_only else ref_tags
+    r = ref_tags.where(F.col("phrase").isNotNull())
+    r = r.where(F.col("newsroom") == F.lit("Yes")) if newsroom_only else r
     seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(0)
     rows = r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), seq.alias("seq")).limit(MAX_INLINE_PHRASES + 1).collect()
     if len(rows) > MAX_INLINE_PHRASES:
@@ -180,7 +182,6 @@ def tag_articles(
     ref_tags: DataFrame,
     cap: int | Column | None = None,
     strategy: str = "auto",
-    id_col: str = "id",
     newsroom_only: bool = True,
     kgram: int = 4,
 ) -> DataFrame:
@@ -189,12 +190,12 @@ def tag_articles(
     ``strategy``: ``inline`` (chosen by ``auto`` when the dictionary has at
     most ``MAX_INLINE_PHRASES`` entries), ``kgram`` (exact prefilter join,
     chosen beyond) or ``broadcast`` (nested-loop join, bounded dictionaries).
-    ``id_col`` must be unique for the join-based strategies.
+    All give the same rows: the join-based ones find the tags of each distinct
+    text and join them back by a hash of the text, so no row id is needed and
+    copies of a text are matched once.  Null phrases match nothing.
     """
-    # the cap is a light length aggregate: it reads the input as scanned; only
-    # the matching (CPU-bound) side is spread over the cores
     cap_col = char_limit(with_description_fallback(articles)) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
-    arts = with_description_fallback(ensure_parallelism(articles))
+    arts = with_description_fallback(articles)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
     if strategy in ("auto", "inline"):
         try:
@@ -207,23 +208,31 @@ def tag_articles(
             return tag_columns(arts, desc_match, by_cat)
     dictionary = prepare_dictionary(ref_tags, newsroom_only)
     if strategy == "broadcast":
-        return _finish(_join_back(arts, _hits_by_broadcast(arts, dictionary, desc_match, id_col), id_col))
+        return _finish(_join_back(arts, _hits_by_broadcast(_distinct_texts(arts, desc_match), dictionary), desc_match))
     if strategy == "kgram":
-        return _finish(_join_back(arts, _hits_by_kgram(arts, dictionary, desc_match, id_col, kgram), id_col))
+        return _finish(_join_back(arts, _hits_by_kgram(_distinct_texts(arts, desc_match), dictionary, kgram), desc_match))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _hits_by_broadcast(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str) -> DataFrame:
+def _text_key(desc_match: Column) -> Column:
+    return F.md5(desc_match.cast("binary"))
+
+
+def _distinct_texts(arts: DataFrame, desc_match: Column) -> DataFrame:
+    """(_id, _dm): every text once, under the hash that joins its tags back."""
+    return arts.select(_text_key(desc_match).alias("_id"), desc_match.alias("_dm")).where(F.col("_dm").isNotNull()).distinct()
+
+
+def _hits_by_broadcast(keys: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(_id, tag_cat, tag) hits from a nested-loop join against a size-checked broadcast dictionary."""
     n = dictionary.limit(MAX_BROADCAST_PHRASES + 1).count()
     if n > MAX_BROADCAST_PHRASES:
         raise ValueError(f"more than {MAX_BROADCAST_PHRASES} phrases; use strategy='kgram'")
-    keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
     hits = keys.join(F.broadcast(dictionary), F.col("_dm").contains(F.col("phrase")), "inner")
     return hits.select("_id", "tag_cat", "tag")
 
 
-def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, id_col: str, k: int) -> DataFrame:
+def _hits_by_kgram(keys: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
     """Exact hits for dictionaries of any size: rarest-k-gram prefilter equi-join, then ``contains``.
 
     A phrase of length >= k can only occur in a text that contains every one
@@ -233,10 +242,9 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
     dropped before any pairing.  Candidate (text, phrase) pairs come from an
     equi-join on that gram – a shuffle join whose hot keys AQE splits – and
     are verified with ``contains`` after the text is joined back by id.
-    Phrases shorter than k are tested inline (or, if there are more than
-    ``MAX_INLINE_PHRASES`` of them, by a size-checked broadcast join).
+    Phrases shorter than k are tested inline, or, if there are more than
+    ``MAX_INLINE_PHRASES`` of them, joined with the grams of their own length.
     """
-    keys = arts.select(F.col(id_col).alias("_id"), desc_match.alias("_dm"))
     short_dict = dictionary.where(F.length("phrase") < k)
     short_rows = short_dict.limit(MAX_INLINE_PHRASES + 1).collect()
 
@@ -246,9 +254,10 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
     phrase_grams = long_ph.select(
         "phrase", "tag_cat", "tag", F.explode(F.array_distinct(F.regexp_extract_all(F.col("phrase"), gram_re, 1))).alias("_g")
     )
-    # only grams that occur in some phrase can matter: filter the texts' grams
-    # with a (size-checked, broadcast) semi join before anything is shuffled
-    vocabulary = broadcast_if_small(phrase_grams.select("_g").distinct())
+    # only grams that occur in some phrase can matter: a semi join drops the
+    # others before anything is shuffled; its rows are k characters each, so
+    # the bound on rows is one on bytes (about 64 each)
+    vocabulary = broadcast_if_small(phrase_grams.select("_g").distinct(), MAX_VOCABULARY)
     all_grams = keys.select("_id", F.explode(F.array_distinct(F.regexp_extract_all(F.col("_dm"), gram_re, 1))).alias("_g"))
     grams = all_grams.join(vocabulary, "_g", "left_semi")
     doc_freq = grams.groupBy("_g").agg(F.count("*").alias("_df"))
@@ -268,8 +277,12 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
     if not short_rows:
         return verified
     if len(short_rows) > MAX_INLINE_PHRASES:
-        # many phrases shorter than k: a size-checked broadcast nested-loop join
-        return verified.unionByName(_hits_by_broadcast(arts, short_dict, desc_match, id_col))
+        for n in range(1, k):
+            own = F.array_distinct(F.regexp_extract_all(F.col("_dm"), F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
+            same = keys.select("_id", F.explode(own).alias("_g")).join(short_dict.where(F.length("phrase") == n), F.col("_g") == F.col("phrase"))
+            verified = verified.unionByName(same.select("_id", "tag_cat", "tag"))
+        everywhere = short_dict.where(F.length("phrase") == 0)  # one row a category at most
+        return verified.unionByName(keys.select("_id").join(F.broadcast(everywhere.limit(len(ALL_CATEGORIES))), F.lit(True)).select("_id", "tag_cat", "tag"))
     tests = [
         F.when(F.col("_dm").contains(F.lit(r.phrase)), F.struct(F.lit(r.tag_cat).alias("tag_cat"), F.lit(r.tag).alias("tag")))
         for r in short_rows
@@ -278,19 +291,20 @@ def _hits_by_kgram(arts: DataFrame, dictionary: DataFrame, desc_match: Column, i
     return verified.unionByName(short_hits.select("_id", "_h.tag_cat", "_h.tag"))
 
 
-def _join_back(arts: DataFrame, hits: DataFrame, id_col: str) -> DataFrame:
-    """Pivot (id, category, tag) hits to the category columns and attach them by id."""
+def _join_back(arts: DataFrame, hits: DataFrame, desc_match: Column) -> DataFrame:
+    """Pivot (text, category, tag) hits to the category columns and attach them by the hash of the text."""
     cats = [n for n, _ in ALL_CATEGORIES]
     sets = hits.groupBy("_id").pivot("tag_cat", cats).agg(F.collect_set("tag"))
     wide = sets.select(
         "_id", *[F.nullif(F.array_join(F.sort_array(F.col(f"`{n}`")), ","), F.lit("")).alias(c) for n, c in ALL_CATEGORIES]
     )
-    return arts.join(wide, arts[id_col] == wide["_id"], "left").drop("_id")
+    keyed = arts.withColumn("_text_key", _text_key(desc_match))
+    return keyed.join(wide, keyed["_text_key"] == wide["_id"], "left").drop("_id", "_text_key")
 
 
 def tag_category_hits(articles: DataFrame, ref_tags: DataFrame, id_col: str = "id") -> DataFrame:
     """Long form of the tagger: one row per (article, category, tag) hit."""
-    tagged = tag_articles(articles, ref_tags, id_col=id_col)
+    tagged = tag_articles(articles, ref_tags)
     longs = [
         F.struct(F.lit(cat).alias("tag_cat"), F.col(col).alias("tags"))
         for cat, col in ALL_CATEGORIES

@@ -10,16 +10,14 @@ number of tags, so no key is hot).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.dedup import keep_first
-from newsflow.operators.joins import broadcast_if_small
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
 
-# Programmes removed before matching and from the roll-up.
-EXCLUDED_PROGRAMMES = ["RMI", "Oil Refining"]
-
 
 def to_long(wide: DataFrame, id_col: str = "id", categories: list[str] | None = None) -> DataFrame:
     """(id, cat columns…) → (content_id, tag_cat, cat_rank, pos, tag); empties dropped.
@@ -55,7 +53,7 @@ def attach_guid(long: DataFrame, ref_tags: DataFrame) -> DataFrame:
     The category comes from the reference table; unmatched tags keep a null
     guid and all of one content's unmatched tags collapse to one row (Q4).
     """
-    ref = broadcast_if_small(guid_lookup(ref_tags).withColumnRenamed("tag", "_rtag").withColumnRenamed("tag_cat", "_rcat"))
+    ref = guid_lookup(ref_tags).withColumnRenamed("tag", "_rtag").withColumnRenamed("tag_cat", "_rcat")
     joined = long.join(ref, long["tag"] == ref["_rtag"], "left").select(
         "content_id", "tag", F.col("_rcat").alias("tag_cat"), "guid", "pos", "cat_rank"
     )
@@ -63,10 +61,10 @@ def attach_guid(long: DataFrame, ref_tags: DataFrame) -> DataFrame:
     return first.select("content_id", "tag_cat", "tag", F.col("guid").alias("tag_guid"), "pos", "cat_rank")
 
 
-def active_profiles(profiles: DataFrame, excluded: list[str] | None = None) -> DataFrame:
+def active_profiles(profiles: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Profiles minus excluded programmes; a null programme is kept (pandas ``!=``)."""
     out = profiles
-    for name in excluded if excluded is not None else EXCLUDED_PROGRAMMES:
+    for name in excluded:
         out = out.where(~F.col("cost_center").eqNullSafe(F.lit(name)))
     return out
 
@@ -78,7 +76,7 @@ def attach_programmes(content_tags: DataFrame, profiles: DataFrame, match_null_k
     left outer join; with ``match_null_keys`` a null guid matches a profile
     row with a null guid (pandas merge semantics).
     """
-    p = broadcast_if_small(profiles.select(F.col("tag_guid").alias("_pguid"), "cost_center"))
+    p = profiles.select(F.col("tag_guid").alias("_pguid"), "cost_center")
     cond = content_tags["tag_guid"].eqNullSafe(p["_pguid"]) if match_null_keys else content_tags["tag_guid"] == p["_pguid"]
     joined = content_tags.join(p, cond, "left")
     return joined.select(
@@ -86,14 +84,14 @@ def attach_programmes(content_tags: DataFrame, profiles: DataFrame, match_null_k
     )
 
 
-def rollup_programmes(with_programmes: DataFrame, excluded: list[str] | None = None) -> DataFrame:
+def rollup_programmes(with_programmes: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """(content_id, profiles): distinct programmes, sorted, joined by ', ' (Q6, Q7 fixed)."""
     names = F.nullif(F.col("cost_center"), F.lit(""))
     out = with_programmes.groupBy("content_id").agg(
         F.array_join(F.sort_array(F.collect_set(names)), ", ").alias("profiles")
     )
     out = out.where(F.col("profiles") != "")
-    return out.where(~F.col("profiles").isin(excluded if excluded is not None else EXCLUDED_PROGRAMMES))
+    return out.where(~F.col("profiles").isin(list(excluded)))
 
 
 def import_profiles(sheet: DataFrame, ref_tags: DataFrame, order: list[str]) -> DataFrame:
@@ -116,15 +114,16 @@ def tag_transform(
     existing_content_tags: DataFrame,
     ref_tags: DataFrame,
     profiles: DataFrame,
+    excluded: Sequence[str],
     id_col: str = "id",
 ) -> tuple[DataFrame, DataFrame]:
     """New tagged content → (content tag rows to append, (content_id, profiles) updates)."""
     tagged = content.where(F.col("tag_concat").isNotNull())
     new = tagged.join(
-        existing_content_tags.select(F.col("content_id").alias("_cid")).distinct(),
+        existing_content_tags.select(F.col("content_id").alias("_cid")),
         tagged[id_col] == F.col("_cid"),
         "left_anti",
     )
     with_guid = attach_guid(to_long(new, id_col), ref_tags)
-    rows = attach_programmes(with_guid, active_profiles(profiles))
-    return rows, rollup_programmes(rows)
+    rows = attach_programmes(with_guid, active_profiles(profiles, excluded))
+    return rows, rollup_programmes(rows, excluded)

@@ -8,6 +8,7 @@ cleaning and the wide→long reshape are narrow.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from newsflow.operators.dedup import keep_first
 from newsflow.operators.load import new_rows
 from newsflow.operators.tagging import tag_articles
 from newsflow.operators.tags_long import tag_transform
-from newsflow.schemas import ARTICLE_COLUMNS
+from newsflow.schemas import ARTICLE, ARTICLE_COLUMNS
 
 
 @dataclass
@@ -35,7 +36,7 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
         out = out.unionByName(f, allowMissingColumns=True)
     for c in ARTICLE_COLUMNS:
         if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("string"))
+            out = out.withColumn(c, F.lit(None).cast(ARTICLE[c].dataType))
     return out
 
 
@@ -50,7 +51,7 @@ def assign_ids(df: DataFrame, content: DataFrame, key: str = "title") -> DataFra
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = content.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    ordered = df.repartition(n, key).sortWithinPartitions(key)
+    ordered = df.repartition(n, key).sortWithinPartitions(key, *[c for c in df.columns if c != key])  # cut titles can tie
     return ordered.withColumn("id", base + 1 + F.monotonically_increasing_id())
 
 
@@ -85,6 +86,7 @@ def run_daily(
     ref_tags: DataFrame,
     profiles: DataFrame,
     order: list[str | Column],
+    excluded_programmes: Sequence[str] = (),
 ) -> DailyResult:
     """The daily job with its stage boundaries written out.
 
@@ -92,8 +94,10 @@ def run_daily(
        table in the shared storage cuts the lineage, so the tag transform reads
        exactly the rows and ids that were stored;
     2. they are appended to the content table;
-    3. content tags and programme updates are derived from the staged table
-       and appended / returned.
+    3. content tags and programme updates are derived for every tagged article
+       of the content table that has no content tags yet (an anti join on ids),
+       and appended / returned.  A run that stopped after step 2 is therefore
+       made up for by the next one.
     Each write is a whole-stage action on a deterministic input, so a lost
     executor only recomputes its tasks.
     """
@@ -104,21 +108,7 @@ def run_daily(
     new.drop(*[c for c in order if isinstance(c, str)]).write.mode("overwrite").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
     staged.write.mode("append").parquet(content_path)
-    tag_rows, rollup = tag_transform(staged, stored_tags, ref_tags, profiles)
+    tag_rows, rollup = tag_transform(spark.read.parquet(content_path), stored_tags, ref_tags, profiles, excluded_programmes)
+    rollup.write.mode("overwrite").parquet(f"{staging_path}-profiles")  # before the tags: they decide what is new
     tag_rows.write.mode("append").parquet(content_tags_path)
-    return DailyResult(spark.read.parquet(staging_path), spark.read.parquet(content_tags_path), rollup)
-
-
-def daily_compile(
-    incoming: DataFrame,
-    content: DataFrame,
-    content_tags: DataFrame,
-    ref_tags: DataFrame,
-    profiles: DataFrame,
-    order: list[str | Column],
-) -> DailyResult:
-    """Stages 3–9: new articles with ids and programmes, their content-tag rows."""
-    new = assign_ids(compile_new_articles(incoming, content, ref_tags, order, keep=list(order)), content)
-    tag_rows, rollup = tag_transform(new, content_tags, ref_tags, profiles)
-    with_profiles = new.join(rollup.withColumnRenamed("content_id", "id"), "id", "left")
-    return DailyResult(with_profiles, tag_rows, rollup)
+    return DailyResult(spark.read.parquet(staging_path), spark.read.parquet(content_tags_path), spark.read.parquet(f"{staging_path}-profiles"))

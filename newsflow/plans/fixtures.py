@@ -48,11 +48,12 @@ PROFILE_ROWS = [
     ("Oil Refining", "g04"),
     ("Oil Refining", "g18"),
     ("Oil Refining", "g01"),
-    ("RMI", "g09"),
+    ("House", "g09"),
     ("Global South", "g07"),
     ("Orphans", None),
 ]
 
+EXCLUDED_PROGRAMMES = ["House", "Oil Refining"]
 EXCLUDED_SOURCES = ["src0", "src1", "src2"]
 AS_OF = "2024-07-01"
 

@@ -21,10 +21,8 @@ from newsflow.sources.profiles import PROFILES, normalise, rss_items
 
 
 def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        return spark.createDataFrame([], ddl)
+    """The stored table, or an empty one on the first run; any other read error rises."""
+    return spark.read.parquet(path) if R.path_exists(spark, path) else spark.createDataFrame([], ddl)
 
 
 def extract_feeds(spark: SparkSession, landed: dict[str, str], extract_path: str) -> DataFrame:

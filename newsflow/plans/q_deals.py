@@ -24,7 +24,7 @@ DEALS_SQL = f"""deals_raw AS (
            WHEN 2 THEN concat('€', {_N_SQL}, ' million')
            WHEN 3 THEN concat('£', {_N_SQL}, ' billion')
            WHEN 4 THEN concat('CDN$', {_N_SQL}, ' million')
-           WHEN 5 THEN concat('AUS$', {_N_SQL}, ' million')
+           WHEN 5 THEN concat('AUS$', {_N_SQL}, ',250.5 million')
            WHEN 6 THEN concat('¥', {_N_SQL}, ' billion')
            WHEN 7 THEN concat('US$', {_N_SQL}, ' million')
            ELSE '$undisclosed' END AS deal_size,
@@ -43,7 +43,7 @@ def deals_raw(spark, sf_dir):
         .when(k == 2, F.concat(F.lit("€"), n, F.lit(" million")))
         .when(k == 3, F.concat(F.lit("£"), n, F.lit(" billion")))
         .when(k == 4, F.concat(F.lit("CDN$"), n, F.lit(" million")))
-        .when(k == 5, F.concat(F.lit("AUS$"), n, F.lit(" million")))
+        .when(k == 5, F.concat(F.lit("AUS$"), n, F.lit(",250.5 million")))
         .when(k == 6, F.concat(F.lit("¥"), n, F.lit(" billion")))
         .when(k == 7, F.concat(F.lit("US$"), n, F.lit(" million")))
         .otherwise(F.lit("$undisclosed"))
@@ -82,7 +82,7 @@ _COMPAT = (
     f"WHEN contains(x, 'million') THEN CAST(TRY_CAST({_unit_strip('x', 'million')} AS DECIMAL(38,6)) * 1000000 AS DECIMAL(20,2)) "
     f"WHEN contains(x, 'billion') THEN CAST(TRY_CAST({_unit_strip('x', 'billion')} AS DECIMAL(38,6)) * 1000000000 AS DECIMAL(20,2)) END"
 )
-_NUM = "TRY_CAST(regexp_extract(x, '([0-9]+(\\.[0-9]+)?)', 1) AS DECIMAL(38,6))"
+_NUM = "TRY_CAST(regexp_extract(replace(x, ',', ''), '([0-9]+(\\.[0-9]+)?)', 1) AS DECIMAL(38,6))"
 _VALUE = (
     "CASE WHEN deal_size IS NULL THEN CAST(0 AS DECIMAL(20,2)) "
     f"WHEN contains(x, 'million') THEN CAST({_NUM} * 1000000 AS DECIMAL(20,2)) "

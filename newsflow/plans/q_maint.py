@@ -88,7 +88,7 @@ def q_request_url_refresh(spark, sf_dir):
 
 def _manual_sheet(spark, sf_dir):
     a = fx.articles(spark, sf_dir)
-    sheet = a.where(F.col("id") % 4 == 1).withColumn(
+    sheet = a.where(F.col("id") % 2 == 1).withColumn(
         "request_email", F.concat(F.lit("user"), (F.col("id") % 7).cast("string"), F.lit("@example.org"))
     )
     content = a.where(F.col("id") % 2 == 0)
@@ -100,7 +100,7 @@ def _manual_sheet(spark, sf_dir):
     f"""WITH {ARTICLES_SQL}, {REF_TAGS_SQL},
 sheet AS (
   SELECT *, 'user' || CAST(id % 7 AS VARCHAR) || '@example.org' AS request_email
-  FROM articles WHERE id % 4 = 1 AND description IS NOT NULL),
+  FROM articles WHERE id % 2 = 1 AND description IS NOT NULL),
 content AS (SELECT title FROM articles WHERE id % 2 = 0),
 {tagger_ctes('m_', 'sheet', 'ref_tags')},
 prepared AS (

@@ -15,7 +15,7 @@ from newsflow.operators.cards import DATE_PATTERN, TEXT_PATTERN, URL_PATTERN, ca
 from newsflow.plans import fixtures as fx
 from newsflow.plans import sql_text as S
 from newsflow.operators.partitioning import posexplode_rows
-from newsflow.plans.registry import query
+from newsflow.plans.registry import ORACLE, query
 from newsflow.sources.json_sources import (
     crossref_dates,
     explode_records,
@@ -331,9 +331,9 @@ def q_lookback_window(spark, sf_dir):
 # ---------------------------------------------------------------- sampling (O3)
 
 
-@query("sample_works")  # rows-only: a seeded random sample has no engine-independent oracle
+@query("sample_works", f"WITH works AS ({ORACLE['crossref_dates']}) SELECT * FROM works ORDER BY md5('42:' || url), url LIMIT 5")
 def q_sample_works(spark, sf_dir):
     """Five random CrossRef works (the sample is the feature; top-5 per partition, then merged)."""
     from newsflow.operators.metrics import sample_rows
 
-    return sample_rows(crossref_dates(_crossref_works(spark, sf_dir)), 5, seed=42)
+    return sample_rows(crossref_dates(_crossref_works(spark, sf_dir)), "url", 5, seed=42)

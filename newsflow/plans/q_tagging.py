@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsflow.operators.tagging import char_limit_frame, tag_articles, tag_category_hits, with_description_fallback
 from newsflow.plans import fixtures as fx
 from newsflow.plans.registry import query
-from newsflow.plans.sql_tagging import CATEGORY_LIST, TAGGED_CTES
+from newsflow.plans.sql_tagging import CATEGORY_LIST, TAGGED_CTES, tagger_ctes
 from newsflow.schemas import ALL_CATEGORIES, ALL_CATEGORY_COLUMNS
 
 
@@ -84,3 +84,28 @@ FROM tagged GROUP BY source""",
 )
 def q_category_coverage_by_source(spark, sf_dir):
     return category_coverage_by_source(tagged_articles(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- a dictionary beyond the inline bound
+
+_MANY = f"""{fx.ARTICLES_SQL},
+words AS (SELECT list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT unnest(list_concat(list_filter(w, lambda x: length(x) >= 3), list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS phrase FROM words),
+many AS (SELECT 0 AS ref_seq, 'Sector' AS tag_cat, phrase AS tag, phrase, 'Yes' AS newsroom FROM phrases),
+{tagger_ctes('m_', 'articles', 'many')}"""
+
+
+def many_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of three letters or more and every pair of neighbouring words of the benchmark items."""
+    words = F.array_remove(F.split(F.lower("text"), "[^a-z]+"), "")
+    rows = fx.table(spark, sf_dir, "benchmark").select(words.alias("w"))
+    pairs = F.transform(F.slice("w", 2, F.size("w")), lambda x, i: F.concat_ws(" ", F.get(F.col("w"), i), x))
+    phrase = rows.select(F.explode(F.concat(F.filter("w", lambda x: F.length(x) >= 3), pairs)).alias("phrase")).distinct()
+    return phrase.select(F.lit(0).alias("ref_seq"), F.md5("phrase").alias("guid"), F.lit("Sector").alias("tag_cat"), F.col("phrase").alias("tag"), "phrase", F.lit("Yes").alias("newsroom"))
+
+
+@query("tag_articles_many_phrases", f"WITH {_MANY} SELECT id, tag_concat, tag_score FROM m_tagged")
+def q_tag_articles_many_phrases(spark, sf_dir):
+    arts = fx.articles(spark, sf_dir)
+    return tag_articles(arts, many_phrases(spark, sf_dir)).select("id", "tag_concat", "tag_score")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from newsflow.operators.load import update_by_key
 from newsflow.operators.tagging import tag_category_hits
 from newsflow.operators.tags_long import (
-    EXCLUDED_PROGRAMMES,
     active_profiles,
     attach_guid,
     import_profiles,
@@ -24,7 +23,7 @@ from newsflow.schemas import SCORED_CATEGORIES
 _COLS = ", ".join(c for _, c in SCORED_CATEGORIES)
 _NAME_CASE = "CASE src_col " + " ".join(f"WHEN '{c}' THEN {S.q(n)}" for n, c in SCORED_CATEGORIES) + " END"
 _RANK_CASE = "CASE src_col " + " ".join(f"WHEN '{c}' THEN {i}" for i, (_, c) in enumerate(SCORED_CATEGORIES)) + " END"
-_EXCL = " AND ".join(f"cost_center IS DISTINCT FROM {S.q(p)}" for p in EXCLUDED_PROGRAMMES)
+_EXCL = " AND ".join(f"cost_center IS DISTINCT FROM {S.q(p)}" for p in fx.EXCLUDED_PROGRAMMES)
 
 LONG_CTES = f"""{TAGGED_CTES},
 existing AS (SELECT id AS content_id FROM tagged WHERE tag_concat IS NOT NULL AND id % 3 = 0),
@@ -61,7 +60,7 @@ rollup AS (
   SELECT content_id, profiles FROM (
     SELECT content_id, string_agg(DISTINCT cost_center, ', ' ORDER BY cost_center) AS profiles
     FROM with_prog WHERE cost_center <> '' GROUP BY content_id)
-  WHERE profiles <> '' AND profiles NOT IN ({", ".join(S.q(p) for p in EXCLUDED_PROGRAMMES)}))"""
+  WHERE profiles <> '' AND profiles NOT IN ({", ".join(S.q(p) for p in fx.EXCLUDED_PROGRAMMES)}))"""
 
 
 def _tagged_content(spark, sf_dir):
@@ -87,7 +86,7 @@ def q_tags_with_guid(spark, sf_dir):
 
 def _transform(spark, sf_dir):
     tagged = _tagged_content(spark, sf_dir)
-    return tag_transform(tagged, _existing(spark, sf_dir), fx.ref_tags(spark), fx.profiles(spark))
+    return tag_transform(tagged, _existing(spark, sf_dir), fx.ref_tags(spark), fx.profiles(spark), fx.EXCLUDED_PROGRAMMES)
 
 
 @query(
@@ -126,7 +125,7 @@ SELECT (SELECT count(DISTINCT content_id) FROM new_guided) AS n_new_content,
 )
 def q_tag_metrics(spark, sf_dir):
     rows, _ = _transform(spark, sf_dir)
-    programmes = active_profiles(fx.profiles(spark)).agg(F.countDistinct("cost_center").alias("n_programmes"))
+    programmes = active_profiles(fx.profiles(spark), fx.EXCLUDED_PROGRAMMES).agg(F.countDistinct("cost_center").alias("n_programmes"))
     # one pass over the content-tag rows; a content id has a roll-up row exactly
     # when one of its rows matched a programme (excluded ones are filtered already)
     r = rows.agg(

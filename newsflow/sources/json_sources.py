@@ -31,7 +31,7 @@ def springer_articles(records: DataFrame, order: list[str], keep_null_keys: bool
         F.array_join(F.col("creators")["creator"], "; ").alias("creators"),
         "doi",
         F.col("publicationName").alias("pubName"),
-        F.col("publicationDate").cast("date").alias("pubDate"),
+        F.col("publicationDate").try_cast("date").alias("pubDate"),
         X.ascii_only("abstract").alias("description"),
     )
 
@@ -58,7 +58,7 @@ def scopus_articles(items: DataFrame, order: list[str], before: str) -> DataFram
         F.col("`dc:creator`").alias("creators"),
         F.col("`prism:doi`").alias("doi"),
         F.col("`prism:publicationName`").alias("pubName"),
-        F.col("`prism:coverDate`").cast("date").alias("pubDate"),
+        F.col("`prism:coverDate`").try_cast("date").alias("pubDate"),
         F.col("`dc:title`").alias("description"),
     )
 

@@ -88,3 +88,10 @@ def require_columns(df: DataFrame, columns: list[str], name: str = "table") -> D
     if not df.columns or missing:
         raise ValueError(f"{name}: missing columns {missing or columns}")
     return df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds anything, asked of the file system that it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0

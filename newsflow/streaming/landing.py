@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.plans.daily import compile_new_articles
 from newsflow.session import checkpoint_dir
+from newsflow.sources.readers import path_exists
 
 
 def landing_stream(
@@ -63,11 +64,10 @@ def start_daily_stream(
     titles = content.select("title")
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        try:
+        stored = titles
+        if path_exists(spark, output_path):
             earlier = spark.read.parquet(output_path).where(F.col("epoch") < epoch_id).select("title")
             stored = titles.unionByName(earlier)
-        except Exception:  # noqa: BLE001 - no earlier epoch yet
-            stored = titles
         new = compile_new_articles(batch, stored, ref_tags, order=order, keep=keep)
         new.write.mode("overwrite").parquet(f"{output_path}/epoch={epoch_id}")
         if on_epoch is not None:

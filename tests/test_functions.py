@@ -131,3 +131,38 @@ def test_strip_matches_python_unicode_whitespace(spark):
 def test_any_date_forms(spark):
     got = col_values(spark, D.any_date("x"), ["3/6/2024", "March 6, 2024", "mar 6, 2024", "2024-03-06", "Wed, 06 Mar 2024 10:00:00 GMT", "soon"])
     assert got == [dt.date(2024, 3, 6)] * 5 + [None]
+
+
+def test_relative_dates_of_all_units(spark):
+    from newsflow.functions.dates import relative_date
+
+    rows = [("30 seconds ago", "2024-03-31"), ("1 month ago", "2024-02-29"), ("2 months ago", "2024-01-31"), ("1 year ago", "2023-03-31"), ("3 weeks ago", "2024-03-10"), ("some day", "None")]
+    got = spark.createDataFrame(rows, "rel string, want string").select("want", relative_date("rel", "2024-03-31 12:00:00").cast("string").alias("got")).collect()
+    assert all(str(r.got) == r.want for r in got)
+
+
+def test_long_url_bad_dates_and_blanks(spark):
+    from newsflow.functions import text as X
+    from newsflow.operators.cards import URL_PATTERN
+    from pyspark.sql import functions as F
+
+    url = "https://example.org/" + "a%20b" * 4000
+    r = spark.createDataFrame([(url + " end", " \u3000x" + " " * 50_000 + "y\n ")], "u string, s string").select(F.regexp_extract("u", URL_PATTERN, 1).alias("u"), X.strip("s").alias("s"), F.lit("2024-02-31").try_cast("date").alias("d")).first()
+    assert r.u == url and r.s == "x" + " " * 50_000 + "y" and r.d is None
+
+
+def test_thousands_in_deal_sizes(spark):
+    from newsflow.functions.deals import deal_value
+
+    rows = [("$1,200 million", 1_200_000_000), ("$1,250.5 million", 1_250_500_000), ("$2 billion", 2_000_000_000)]
+    assert all(r.v == r.want for r in spark.createDataFrame(rows, "s string, want long").select("want", deal_value("s").alias("v")).collect())
+
+
+def test_tagger_without_id_and_with_null_phrase(spark):
+    from newsflow.operators.tagging import tag_articles
+
+    arts = spark.createDataFrame([("s", "t1", "solar power up"), ("s", "t1", "solar power up"), ("s", "t2", "ab wind")], "source string, title string, description string")
+    for n in (3, 700):
+        ref = spark.createDataFrame([(i, "g", "Sector", f"T{i}", f"phrase {i}", "Yes") for i in range(n)] + [(n, "g", "Sector", "Solar", "SOLAR", "Yes"), (n, "g", "Sector", "AB", "ab", "Yes"), (n, "g", "Sector", "Null", None, "Yes")],
+                                    "ref_seq int, guid string, tag_cat string, tag string, phrase string, newsroom string")
+        assert sorted((r.title, r.tag_concat) for r in tag_articles(arts, ref).collect()) == [("t1", "Solar"), ("t1", "Solar"), ("t2", "AB")]

@@ -98,19 +98,19 @@ def test_null_guid_collapse_and_profile_match(spark):
     ref = spark.createDataFrame([(1, "g1", "Sector", "other", "x", "Yes")], REF_TAGS)
     g = attach_guid(longs, ref)
     assert g.count() == 1 and g.first()["tag"] == "p"  # Q4
-    prof = spark.createDataFrame([("Orphans", None), ("RMI", "g1")], "cost_center string, tag_guid string")
+    prof = spark.createDataFrame([("Orphans", None), ("House", "g1")], "cost_center string, tag_guid string")
     assert attach_programmes(g, prof, match_null_keys=True).first()["cost_center"] == "Orphans"
     assert attach_programmes(g, prof, match_null_keys=False).first()["cost_center"] == ""
 
 
 def test_profile_filter_keeps_null(spark):
-    prof = spark.createDataFrame([(None, "a"), ("RMI", "b"), ("x", "c")], "cost_center string, tag_guid string")
-    assert sorted((r.tag_guid for r in active_profiles(prof, ["RMI"]).collect())) == ["a", "c"]
+    prof = spark.createDataFrame([(None, "a"), ("House", "b"), ("x", "c")], "cost_center string, tag_guid string")
+    assert sorted((r.tag_guid for r in active_profiles(prof, ["House"]).collect())) == ["a", "c"]
 
 
 def test_rollup_skips_nulls(spark):
     rows = spark.createDataFrame([(1, "Finance"), (1, ""), (1, "Finance"), (1, "Markets"), (2, "")], "content_id bigint, cost_center string")
-    out = {r.content_id: r.profiles for r in rollup_programmes(rows).collect()}
+    out = {r.content_id: r.profiles for r in rollup_programmes(rows, []).collect()}
     assert out == {1: "Finance, Markets"}
 
 

@@ -35,11 +35,14 @@ def con():
     return c
 
 
-ROWS_ONLY = {"sample_works"}  # seeded random sample: not reproducible by another engine
+ROWS_ONLY: set[str] = set()
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    from newsflow.plans.catalog import ORACLE, QUERIES
+
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_rows_only_queries_run(spark):

@@ -40,8 +40,9 @@ def test_observed_metrics_same_pass(spark):
 def test_preview_and_sample(spark):
     df = spark.range(1000)
     assert preview(df).count() == 5
-    s1 = [r.id for r in sample_rows(df, 5, seed=7).collect()]
+    s1 = [r.id for r in sample_rows(df, "id", 5, seed=7).collect()]
     assert len(set(s1)) == 5
+    assert s1 == [r.id for r in sample_rows(df.repartition(7), "id", 5, seed=7).collect()]
 
 
 def test_require_columns(spark):

@@ -53,8 +53,33 @@ def test_run_daily_writes_consistent_ids(spark, tmp_path):
     assert new.agg(F.min("id")).first()[0] > content.agg(F.max("id")).first()[0]
     tags = spark.read.parquet(str(tmp_path / "tags"))
     assert tags.count() > 0
-    assert tags.join(new, tags.content_id == new.id, "left_anti").count() == 0  # every tag row points at a stored article
-    assert spark.read.parquet(str(tmp_path / "content")).count() == content.count() + n_new
+    stored = spark.read.parquet(str(tmp_path / "content"))
+    assert tags.join(stored, tags.content_id == stored.id, "left_anti").count() == 0  # every tag row points at a stored article
+    assert stored.where("tag_concat is not null").join(tags, stored.id == tags.content_id, "left_anti").count() == 0
+    assert stored.count() == content.count() + n_new
+    assert res.profile_updates.count() > 0
+
+
+def test_run_daily_makes_up_for_a_stop_before_the_tags(spark, tmp_path):
+    """Stopped after the content append: the next run finds no new title but writes the missing tag rows."""
+    from newsflow.operators.tagging import tag_articles
+    from newsflow.plans.daily import run_daily
+
+    arts = fx.articles(spark, "/root/testdata/sf0.001")
+    ddl = "content_id bigint, tag_cat string, tag string, tag_guid string, cost_center string"
+    tables = {}
+    for name in ("whole", "stopped"):
+        path = lambda t, name=name: str(tmp_path / name / t)
+        tag_articles(arts.where(F.col("id") % 2 == 0), fx.ref_tags(spark)).write.parquet(path("content"))
+        spark.createDataFrame([], ddl).write.parquet(path("tags"))
+        incoming = arts.where(F.col("id") % 2 == 1).withColumnRenamed("id", "src_id")
+        args = (incoming, path("content"), path("tags"), path("staging"), fx.ref_tags(spark), fx.profiles(spark))
+        run_daily(*args, order=["src_id"])
+        if name == "stopped":
+            spark.createDataFrame([], ddl).write.mode("overwrite").parquet(path("tags"))
+            run_daily(*args, order=["src_id"])
+        tables[name] = sorted(map(str, spark.read.parquet(path("tags")).collect()))
+    assert tables["whole"] == tables["stopped"] != []
 
 
 def test_stream_dedups_titles_within_watermark(spark, tmp_path):
