@@ -180,7 +180,7 @@ FROM firsts WHERE NOT contains(title, 'Letter: ')""",
 )
 def q_html_teasers(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages", spread=True)
-    return H.teasers(pages, fx.AS_OF, heading=PAGE_HEADING, standfirst=PAGE_PARAGRAPH, drop_block=PAGE_AD_BLOCK)
+    return H.teasers(pages, fx.AS_OF, heading=PAGE_HEADING, standfirst=PAGE_PARAGRAPH, drop_block=PAGE_AD_BLOCK, extract=H.zipped_extract)
 
 
 PAGE_NAV_CARD = r"<li>(<a [^>]*>[^<]*</a>)</li>"

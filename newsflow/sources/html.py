@@ -1,13 +1,18 @@
-"""HTML extraction with regular expressions over a ``pages(page_id, url, html)`` table.
-
-Patterns use ``[^<]*`` / ``[^"]*`` classes rather than ``.`` so that Java and
-RE2 agree on pages containing line breaks.  Extraction is per page (narrow);
-positional pairing happens inside each page with ``arrays_zip`` (Q15).
+"""HTML extraction over a ``pages(page_id, url, html)`` table.
+
+A page is split in front of every ``<`` into pieces, each a tag and the text
+after it.  An element runs from its opening tag to the piece where the tags of
+its name balance, however deep they are nested, or to the end of the page if
+they never do.  Patterns use ``[^<]*`` / ``[^"]*`` classes rather than ``.`` so
+that Java and RE2 agree on pages containing line breaks.  Extraction is per
+page (narrow); positional pairing happens inside each page with ``arrays_zip``
+(Q15).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,23 +27,13 @@ TAG_PATTERN = r"<[^>]+>"
 # The HTML entities decoded in extracted text.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
-def balanced_div(class_name: str, depth: int = 4, capture: bool = True) -> str:
-    """Regex for a ``<div>`` whose class list contains ``class_name``, with nested
-    ``<div>`` elements balanced up to ``depth`` levels (possessive, no backtracking).
-    With ``capture`` the element's inner HTML is group 1."""
-    text = r"(?:[^<]++|<(?!/?div\b))"  # runs of text in one step, tags one at a time
-    inner = text
-    for _ in range(depth):
-        inner = rf"(?:{text}|<div\b[^>]*>(?:{inner})*+</div>)"
-    body = f"((?:{inner})*+)" if capture else f"(?:{inner})*+"
-    token = rf'class="(?:[^"]*\s)?{re.escape(class_name)}(?:\s[^"]*)?"'  # a whole class token
-    return rf"<div\b[^>]*{token}[^>]*>{body}</div>"
-
+# Elements without an end tag.
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
 # Teaser page (class names, filters, constants).
-TEASER_HEADING = balanced_div("o-teaser__heading")
-TEASER_STANDFIRST = balanced_div("o-teaser__standfirst")
-TEASER_LIVE_BLOCK = balanced_div("o-teaser--live-blog-package", capture=False)
+TEASER_HEADING = "o-teaser__heading"
+TEASER_STANDFIRST = "o-teaser__standfirst"
+TEASER_LIVE_BLOCK = "o-teaser--live-blog-package"
 TEASER_EXCLUDE = ["FT Crossword", "Quiz"]
 TEASER_TITLE_EXCLUDE = "Letter: "
 TEASER_BLANKED_TITLES = [" Premium content", " Premium Content"]
@@ -48,13 +43,60 @@ TEASER_URL = "https://www.ft.com/news-feed"
 # Search-result card page classes.
 # a card runs from its marker class to the next card's marker (or the page end)
 CARD_BLOCK = r'(?s)class="SoaBEf"((?:(?!class="SoaBEf").)*)'
-CARD_FIELDS = {
-    "link": r'<a[^>]*href="([^"]*)"',
-    "title": r'class="MBeuO"[^>]*>([^<]*)<',
-    "snippet": r'class="GI74Re"[^>]*>([^<]*)<',
-    "date": r'class="LfVVr"[^>]*>([^<]*)<',
-    "source": r'class="NUnG9d"[^>]*><span>([^<]*)<',
-}
+CARD_FIELDS = {"title": "MBeuO", "snippet": "GI74Re", "date": "LfVVr", "source": "NUnG9d"}
+
+
+def pieces(html: Column) -> Column:
+    """The page split in front of every ``<``: (s, name, step) with step 1 for an opening and -1 for a closing tag.
+
+    Make it a column of its own before passing it on, so that a page is split once.
+    """
+
+    def piece(s: Column) -> Column:
+        name = F.lower(F.regexp_extract(s, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+        alone = (name == "") | name.isin(VOID) | s.rlike(r"^<[^>]*/>")
+        return F.struct(s.alias("s"), name.alias("name"), F.when(alone, 0).when(s.startswith("</"), -1).otherwise(1).alias("step"))
+
+    return F.transform(F.split(html, "(?=<)"), piece)
+
+
+def spans(p: Column, class_name: str) -> Column:
+    """(start, end) of every element with the class token: the pieces of its opening and its closing tag."""
+    token = rf"""^<[^>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?{re.escape(class_name)}(?:\s[^"'>]*)?["']"""
+    opening = F.transform(p, lambda x, k: F.when((x["step"] == 1) & x["s"].rlike(token), k))
+
+    def end(start: Column) -> Column:
+        name = F.get(p, start)["name"]
+        zero = F.struct(F.lit(0).alias("depth"), start.alias("at"), F.lit(-1).alias("end"))
+
+        def step(a: Column, x: Column) -> Column:
+            depth = F.when(x["name"] == name, a["depth"] + x["step"]).otherwise(a["depth"])
+            found = F.when((a["end"] < 0) & (depth == 0), a["at"]).otherwise(a["end"])
+            return F.struct(depth.alias("depth"), (a["at"] + 1).alias("at"), found.alias("end"))
+
+        return F.aggregate(F.slice(p, start + 1, F.size(p)), zero, step, lambda a: F.when(a["end"] < 0, a["at"]).otherwise(a["end"]))
+
+    return F.transform(F.array_compact(opening), lambda start: F.struct(start.alias("start"), end(start).alias("end")))
+
+
+def elements(p: Column, class_name: str) -> Column:
+    """The inner HTML of every element with the class token, in page order."""
+
+    def inner(e: Column) -> Column:
+        run = F.slice(p, e["start"] + 1, e["end"] - e["start"])
+        return F.regexp_replace(F.array_join(F.transform(run, lambda x: x["s"]), ""), "^<[^>]*>", "")
+
+    return F.transform(spans(p, class_name), inner)
+
+
+def without(p: Column, cut: Column) -> Column:
+    """The pieces outside the given spans; the text behind a span stays."""
+
+    def last(x: Column, k: Column) -> Column:
+        rest = F.struct(F.regexp_replace(x["s"], "^<[^>]*>", "").alias("s"), F.lit("").alias("name"), F.lit(0).alias("step"))
+        return F.when(F.exists(cut, lambda e: e["end"] == k), rest).otherwise(x)
+
+    return F.filter(F.transform(p, last), lambda x, k: ~F.exists(cut, lambda e: (k >= e["start"]) & (k < e["end"])))
 
 
 def text_of(col: Column) -> Column:
@@ -72,12 +114,24 @@ def links(pages: DataFrame, relative_only: bool = True) -> DataFrame:
 def zipped_extract(
     pages: DataFrame, first_pattern: str, second_pattern: str, drop_block: str | None = None
 ) -> DataFrame:
-    """(page_id, item_pos, first, second): two repeated elements paired by position per page."""
+    """(page_id, item_pos, first, second): the matches of two patterns paired by position per page."""
     html = F.regexp_replace("html", drop_block, "") if drop_block else F.col("html")
     pairs = F.arrays_zip(
         F.regexp_extract_all(html, F.lit(first_pattern), 1).alias("first"),
         F.regexp_extract_all(html, F.lit(second_pattern), 1).alias("second"),
     )
+    return _paired(pages, pairs)
+
+
+def zipped_elements(pages: DataFrame, first_class: str, second_class: str, drop_class: str | None = None) -> DataFrame:
+    """(page_id, item_pos, first, second): the elements of two classes paired by position per page."""
+    df = pages.select("page_id", pieces(F.col("html")).alias("_p"))
+    if drop_class:
+        df = df.withColumn("_cut", spans(F.col("_p"), drop_class)).select("page_id", without(F.col("_p"), F.col("_cut")).alias("_p"))
+    return _paired(df, F.arrays_zip(elements(F.col("_p"), first_class).alias("first"), elements(F.col("_p"), second_class).alias("second")))
+
+
+def _paired(pages: DataFrame, pairs: Column) -> DataFrame:
     return posexplode_rows(pages, pairs, ["page_id"], "item_pos", "p").select(
         "page_id", "item_pos", text_of(F.col("p.first")).alias("first"), text_of(F.col("p.second")).alias("second")
     )
@@ -89,9 +143,13 @@ def teasers(
     heading: str = TEASER_HEADING,
     standfirst: str = TEASER_STANDFIRST,
     drop_block: str | None = TEASER_LIVE_BLOCK,
+    extract: Callable[..., DataFrame] = zipped_elements,
 ) -> DataFrame:
-    """Teaser listing pages → articles (title, description, pubDate, source, url)."""
-    z = zipped_extract(pages, heading, standfirst, drop_block)
+    """Teaser listing pages → articles (title, description, pubDate, source, url).
+
+    ``heading``, ``standfirst`` and ``drop_block`` are classes, or patterns with ``extract=zipped_extract``.
+    """
+    z = extract(pages, heading, standfirst, drop_block)
     title = F.col("first")
     for blank in TEASER_BLANKED_TITLES:
         title = F.when(title == F.lit(blank), F.lit("")).otherwise(title)
@@ -111,11 +169,10 @@ def teasers(
 
 def result_cards(pages: DataFrame, as_of: str, block: str = CARD_BLOCK, fields: dict | None = None) -> DataFrame:
     """Search-result pages → one article per card; dates like '2 hours ago' resolved at ``as_of``."""
-    fields = fields or CARD_FIELDS
     cards = posexplode_rows(pages, F.regexp_extract_all("html", F.lit(block), 1), ["page_id"], "card_pos", "card")
-    cols = {k: X.regexp_extract_or_null(F.col("card"), pat) for k, pat in fields.items()}
-    df = cards.select("page_id", "card_pos", *[text_of(c).alias(k) if k != "link" else c.alias(k) for k, c in cols.items()])
-    df = df.select(
+    cards = cards.select("page_id", "card_pos", X.regexp_extract_or_null(F.col("card"), HREF_PATTERN).alias("link"), pieces(F.col("card")).alias("_p"))
+    texts = [text_of(F.get(elements(F.col("_p"), c), F.lit(0))).alias(k) for k, c in (fields or CARD_FIELDS).items()]
+    df = cards.select("page_id", "card_pos", "link", *texts).select(
         "page_id",
         "card_pos",
         "title",

@@ -128,6 +128,25 @@ def test_teasers_nested_live_block(spark):
     assert got == [("A & B", "one more"), ("C", "two")]
 
 
+def test_teasers_any_tag_any_depth(spark):
+    deep = "<div>" * 9 + "deep" + "</div>" * 9
+    live = f'<section class="o-teaser--live-blog-package">{"<div>" * 7}<section><h2 class="o-teaser__heading">Live</h2></section>{"</div>" * 7}</section>'
+    html = (
+        f'<h2 class="x o-teaser__heading">Solar <em>up</em> 5%<br></h2>{live}behind<p class=\'o-teaser__standfirst\'>one<img src="a"> two</p>'
+        f'<div class="o-teaser__heading">{deep}</div><p class="o-teaser__standfirst">never closed <b>at all'
+    )
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", ""), (4, "u", "no tags")], "page_id long, url string, html string")
+    got = sorted((r.title, r.description) for r in H.teasers(pages, "2024-03-05").collect())
+    assert got == [("Solar up 5%", "one two"), ("deep", "never closed at all")]
+
+
+def test_result_card_text_is_whole(spark):
+    html = '<div class="SoaBEf"><a href="/1"><div class="MBeuO">Solar <em>up</em> 5%</div></a><div class="GI74Re">a<div>b</div>c</div></div>'
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    r = H.result_cards(pages, "2024-03-05 01:00:00").first()
+    assert (r.title, r.description, r.source) == ("Solar up 5%", "abc", None)
+
+
 def test_result_cards(spark):
     card = ('<div class="SoaBEf"><div><a href="https://n.org/{i}"><div class="MBeuO">Title {i}</div>\n'
             '<div class="GI74Re">Snip &amp; more</div><div><span class="LfVVr">{d}</span></div></a>'
