@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
@@ -37,10 +37,15 @@ def with_file_title(df: DataFrame, max_len: int = FILE_TITLE_MAX) -> DataFrame:
     return df.withColumn("file_title", X.file_title("title", max_len))
 
 
+def stored_title(title: str) -> Column:
+    """A raw title as the content table stores it."""
+    return X.strip(X.truncate(title, TITLE_MAX))
+
+
 def apply_field_limits(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "title": X.strip(X.truncate("title", TITLE_MAX)),
+            "title": stored_title("title"),
             "description": X.truncate("description", DESCRIPTION_MAX),
             "creators": X.truncate("creators", CREATORS_MAX),
         }

@@ -1,9 +1,9 @@
-"""The daily compile as one lazy plan: union → tag → clean → new rows → content tags.
+"""The daily compile as one lazy plan: union → new titles → one row a title → tag → clean → content tags.
 
-Exchanges appear only where the semantics need them: the title dedup and the
-anti-join against the stored titles (both keyed on title), the (content_id,
-guid) dedup and the programme roll-up (keyed on content id).  Tagging,
-cleaning and the wide→long reshape are narrow.
+Exchanges appear only where the semantics need them: the anti-join against the
+stored titles and the title dedup, the (content_id, guid) dedup and the
+programme roll-up (keyed on content id).  Tagging, cleaning and the wide→long
+reshape are narrow, and only new articles are tagged.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.operators.clean import clean_articles
+from newsflow.operators.clean import clean_articles, stored_title
 from newsflow.operators.dedup import keep_first
 from newsflow.operators.load import new_rows
-from newsflow.operators.tagging import tag_articles
+from newsflow.operators.tagging import char_limit, tag_articles, with_description_fallback
 from newsflow.operators.tags_long import tag_transform
 from newsflow.schemas import ARTICLE, ARTICLE_COLUMNS
 
@@ -62,20 +62,23 @@ def compile_new_articles(
     order: list[str | Column],
     excluded_sources: list[str] | None = None,
     keep: list[str] | None = None,
+    cap: int | Column | None = None,
 ) -> DataFrame:
-    """Stages 3–7: tag the day's union, clean it, keep titles not stored yet (case-insensitive).
-
-    The title dedup runs *after* the anti join: all copies of a raw title
-    share one cleaned title and so the same fate in the anti join, so the two
-    steps commute.  The anti join hash-partitions the articles by
-    ``lower(title)``; the dedup groups by ``(lower(title), raw title)``, a
-    distribution that partitioning already satisfies – whole article rows
-    cross the network once instead of twice.
+    """Stages 3–7: of the day's union, the titles not stored yet (case-insensitive), tagged and cleaned.
+
+    The text cap is that of the whole union unless given.  All copies of a raw
+    title share one cleaned title and so the same fate in the anti join, so the
+    join comes first, then the dedup, and only what survives is tagged.  The
+    dedup groups by the raw title, not by the key of the join: its own
+    exchange, behind a map-side combine, leaves AQE free to split a hot title
+    in the join.
     """
-    tagged = tag_articles(incoming, ref_tags)
-    cleaned = clean_articles(tagged, order=order, keep=keep, excluded_sources=excluded_sources, dedup=False)
-    fresh = new_rows(cleaned, content.select("title"), ["title"], case_insensitive=True)
-    return keep_first(fresh, [F.lower("title"), "_raw_title"], order).drop("_raw_title")
+    rows = with_description_fallback(incoming).where(F.col("title").isNotNull())
+    cap = char_limit(with_description_fallback(incoming)) if cap is None else cap
+    stored = content.select(F.col("title").alias("_stored_title"))
+    fresh = new_rows(rows.withColumn("_stored_title", stored_title("title")), stored, ["_stored_title"], case_insensitive=True)
+    tagged = tag_articles(keep_first(fresh.drop("_stored_title"), ["title"], order), ref_tags, cap=cap)
+    return clean_articles(tagged, keep=keep, excluded_sources=excluded_sources, dedup=False).drop("_raw_title")
 
 
 def run_daily(

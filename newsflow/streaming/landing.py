@@ -58,8 +58,13 @@ def start_daily_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
     on_epoch: Callable[[int, DataFrame], None] | None = None,
+    cap: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; new articles of epoch ``n`` land in ``output_path/epoch=n``."""
+    """Start the stream; new articles of epoch ``n`` land in ``output_path/epoch=n``.
+
+    ``cap`` fixes the tagger's text cap for the life of the stream; without it every
+    micro-batch has its own, so what an article is tagged with depends on the trigger.
+    """
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/newsflow-daily"
     titles = content.select("title")
 
@@ -68,7 +73,7 @@ def start_daily_stream(
         if path_exists(spark, output_path):
             earlier = spark.read.parquet(output_path).where(F.col("epoch") < epoch_id).select("title")
             stored = titles.unionByName(earlier)
-        new = compile_new_articles(batch, stored, ref_tags, order=order, keep=keep)
+        new = compile_new_articles(batch, stored, ref_tags, order=order, keep=keep, cap=cap)
         new.write.mode("overwrite").parquet(f"{output_path}/epoch={epoch_id}")
         if on_epoch is not None:
             on_epoch(epoch_id, new)

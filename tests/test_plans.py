@@ -56,40 +56,42 @@ def test_ensure_parallelism_leaves_shuffled_inputs_alone(spark):
     assert list(sc.statusTracker().getJobIdsForGroup("ensure-par-check")) == []  # nothing executed
 
 
-def test_daily_compile_shuffles_articles_once(spark):
-    import re
+#: No side can be broadcast, and small partitions count as skewed: the shape of a large run.
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
 
-    import __spark_entry__ as E
+def test_daily_compile_splits_a_hot_title_and_tags_only_new_articles(spark):
+    """80 % of the rows have one title: its partition is split in the anti join, and matching stands above the dedup."""
+    from newsflow.plans.daily import compile_new_articles
 
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    old = {k: spark.conf.get(k, None) for k in SKEW}
     try:
-        for k in old:
-            spark.conf.set(k, "-1")  # the shape of a large run: no side is broadcastable
-        df = E.queries()["daily_compile"](spark, "/root/testdata/sf0.001")
-        df.collect()
-        main = plan(df).split("Subquery")[0]
-        exchanges = re.findall(r"Exchange hashpartitioning\(([^,)]*)", main)
-        # the incoming articles cross the network once: partitioned by lower(title) for the
-        # anti join; the (lower(title), raw title) dedup reuses that partitioning
-        assert any(e.startswith("lower(title") for e in exchanges)
-        assert not any(e.startswith("_k0") for e in exchanges)
+        for k, v in SKEW.items():
+            spark.conf.set(k, v)
+        body = F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit(" solar"))
+        incoming = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 5 > 0, " Hot ").otherwise(F.col("id").cast("string")).alias("title"), body.alias("description"), F.lit("s").alias("source"), F.col("id").alias("seq"))
+        stored = spark.range(0, 20_000, 1, 4).select(F.col("id").cast("string").alias("title"))
+        df = compile_new_articles(incoming, stored, fx.ref_tags(spark), order=["seq"])
+        rows = df.collect()
+        assert len(rows) == 12_000 - 4_000 + 1
+        assert [r.description for r in rows if r.title == "Hot"] == [spark.range(1, 2).select(body.alias("b")).first().b]
+        p = plan(df)
+        assert "skew=true" in p
+        assert p.index("Generate inline") < p.index("LeftAnti")  # printed from the top down
     finally:
         for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_hot_title_is_split_in_the_anti_join(spark):
     """80 % of the rows have one title: AQE splits its partition, which an aggregate on the stored side would prevent."""
     from newsflow.operators.load import new_rows
 
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
+    old = {k: spark.conf.get(k, None) for k in SKEW}
     try:
-        for k, v in conf.items():
+        for k, v in SKEW.items():
             spark.conf.set(k, v)
         incoming = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("title"), F.sha2(F.col("id").cast("string"), 256).alias("body"))
         stored = spark.range(0, 20_000, 1, 4).select(F.col("id").cast("string").alias("title"))
