@@ -33,7 +33,8 @@ UNDETERMINED = "und"
 ORDER = 4
 SAMPLE_ROWS = 400
 MAX_CONTEXTS = 12_000
-_PIECE = 1 << 20
+_PIECE = 1 << 18
+_ROWS = 256
 
 
 @dataclass
@@ -101,7 +102,7 @@ def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
     """Tables from (lang, depth, context, symbol, n).  A context stays only if its suffixes and prefixes do."""
     languages = sorted(counts["lang"].unique().tolist())
     seen = np.unique(counts["symbol"].to_numpy(np.int64)) if len(counts) else np.empty(0, np.int64)
-    symbols = np.full(256, len(seen), np.int64)
+    symbols = np.full(256, len(seen), np.int32)  # a table has fewer than 2^31 cells, so numbers of cells fit 32 bits
     symbols[seen] = np.arange(len(seen))
     a, n_lang = len(seen) + 1, len(languages)
     known = {(0, 0): 0}
@@ -172,19 +173,18 @@ def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
 def _costs(model, step, cost, a, data, starts):
     """Code length of every byte; contexts don't reach over ``starts``."""
     s = model.symbols[np.frombuffer(data, np.uint8)]
-    into = np.arange(len(s)) - np.repeat(starts, np.diff(np.append(starts, len(s))))
-    state = np.zeros(len(s), np.int64)  # the context before byte i
+    into = np.arange(len(s), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(s))))
+    state = np.zeros(len(s), np.int32)  # the context before byte i
     for back in range(model.order, 0, -1):
         nxt = step[state[back:] * a + s[: len(s) - back]]
-        moved = np.zeros(len(s), np.int64)
-        moved[back:] = nxt
-        state = np.where(into >= back, moved, 0)
+        state[:back] = 0
+        state[back:] = np.where(into[back:] >= back, nxt, 0)
     return cost[state * a + s]
 
 
 def _score_batches(batches, shared):
     model = shared.value
-    for b in batches:
+    for b in (whole.slice(k, _ROWS) for whole in batches for k in range(0, whole.num_rows, _ROWS)):  # few texts at a time as Python objects
         cols = b.columns
         texts, letters = cols[-2].to_pylist(), cols[-1].to_numpy(zero_copy_only=False)
         lengths = code_lengths(model, [t if t and ok else b"" for t, ok in zip(texts, letters, strict=True)])
