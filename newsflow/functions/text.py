@@ -144,6 +144,14 @@ def contains_any(col: Column | str, markers: list[str]) -> Column:
     return out
 
 
+def matches_keywords(columns: list[Column | str], keywords: list[str]) -> Column:
+    """Whether any column holds any keyword, case-insensitively: a search API's keyword predicate on landed rows."""
+    out = F.lit(False)
+    for c in columns:
+        out = out | contains_any(F.lower(_c(c)), [k.lower() for k in keywords])
+    return out
+
+
 def regexp_extract_or_null(col: Column | str, pattern: str, idx: int = 1) -> Column:
     """pandas ``str.extract`` semantics: null when there is no match."""
     c = _c(col)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from newsflow.functions import deals as DF
 from newsflow.functions.dates import any_date
@@ -13,13 +14,17 @@ DEAL_COLUMNS = ["pubDate", "company", "investors", "deal_size", "type", "series_
 DEAL_KEY = ["company", "pubDate", "deal_size"]
 
 
-def parse_deals(raw: DataFrame, compat: bool = False) -> DataFrame:
-    """Rename the CSV headers, parse the date, derive currency and value."""
+def parse_deals(raw: DataFrame, compat: bool = False, fill_missing: bool = False) -> DataFrame:
+    """Rename the CSV headers, parse the date, derive currency and value.
+
+    ``fill_missing`` stores a missing size as the text ``None``, as tables filled that way need for the load's key to match.
+    """
     df = raw.withColumnsRenamed({k: v for k, v in DEALS_RENAME.items() if k in raw.columns})
     if dict(df.dtypes).get("pubDate") == "string":
         df = df.withColumn("pubDate", any_date("pubDate"))
     value = DF.deal_value_compat("deal_size") if compat else DF.deal_value("deal_size")
-    return df.withColumns({"deal_currency": DF.deal_currency("deal_size"), "deal_value": value})
+    df = df.withColumns({"deal_currency": DF.deal_currency("deal_size"), "deal_value": value})
+    return df.withColumn("deal_size", F.coalesce("deal_size", F.lit("None"))) if fill_missing else df
 
 
 def new_deals(incoming: DataFrame, existing: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from newsflow.operators.metrics import observed
 from newsflow.plans.daily import union_sources
 from newsflow.plans.selection import Selection, select_programme
 from newsflow.sources import readers as R
+from newsflow.sources.json_sources import explode_records, guardian_articles, scopus_articles, springer_articles
 from newsflow.sources.profiles import PROFILES, normalise, rss_items
 
 
@@ -25,20 +26,34 @@ def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.read.parquet(path) if R.path_exists(spark, path) else spark.createDataFrame([], ddl)
 
 
-def extract_feeds(spark: SparkSession, landed: dict[str, str], extract_path: str) -> DataFrame:
-    """Landed RSS files per profile → one article extract partitioned by source (K1).
+def _landed_articles(spark: SparkSession, family: str, folder: str, before: str | None) -> DataFrame:
+    if family == "records":
+        return springer_articles(explode_records(R.read_records_payloads(spark, folder), ["_file"]), ["_file", "rec_pos"])
+    if family == "guardian":
+        return guardian_articles(R.read_guardian_items(spark, folder))
+    if family == "scopus":
+        if before is None:
+            raise ValueError("scopus payloads need the day before which they count")
+        return scopus_articles(R.read_scopus_items(spark, folder), ["_file", "item_seq"], before)
+    return normalise(rss_items(R.read_feeds(spark, folder)), PROFILES[family], order=["feed_file", "item_seq"])
 
-    ``landed`` maps a profile name to the folder of that family's feed files.
+
+def extract_feeds(spark: SparkSession, landed: dict[str, str], extract_path: str, before: str | None = None) -> DataFrame:
+    """Landed files per family → one article extract partitioned by source (K1).
+
+    ``landed`` maps a feed profile's name to the folder of its RSS or Atom
+    files, or ``records``, ``guardian`` and ``scopus`` to their JSON payloads.
+    The first of equal titles is the first by file name and place in the file.
     """
-    frames = [normalise(rss_items(R.read_rss(spark, folder)), PROFILES[name]) for name, folder in landed.items()]
+    frames = [_landed_articles(spark, family, folder, before) for family, folder in landed.items()]
     articles = union_sources(frames)
     write_snapshot(articles, extract_path, partition_by=["source"])
     return spark.read.parquet(extract_path)
 
 
-def load_deals(spark: SparkSession, csv_dir: str, deals_path: str, compat: bool = False) -> int:
+def load_deals(spark: SparkSession, csv_dir: str, deals_path: str, compat: bool = False, fill_missing: bool = False) -> int:
     """Deal exports → rows not stored yet (company, date, size; nulls match) appended (K3)."""
-    incoming = parse_deals(R.read_deals_csv(spark, csv_dir), compat=compat).select(*DEAL_COLUMNS)
+    incoming = parse_deals(R.read_deals_csv(spark, csv_dir), compat=compat, fill_missing=fill_missing).select(*DEAL_COLUMNS)
     existing = _read_or_empty(
         spark, deals_path,
         "pubDate date, company string, investors string, deal_size string, type string, series_round string, "

@@ -125,3 +125,19 @@ def q_new_deals(spark, sf_dir):
     parsed = parse_deals(deals_raw(spark, sf_dir))
     existing = parsed.where(F.col("o_orderkey") % 4 == 0)
     return new_deals(parsed, existing)
+
+
+@query(
+    "new_deals_filled",
+    f"""WITH {PARSED_SQL},
+filled AS (SELECT * REPLACE (coalesce(deal_size, 'None') AS deal_size) FROM parsed),
+existing AS (SELECT company, pubDate, deal_size FROM filled WHERE o_orderkey % 4 = 0)
+SELECT {", ".join(DEAL_COLUMNS)} FROM filled p
+WHERE NOT EXISTS (
+  SELECT 1 FROM existing e
+  WHERE e.company = p.company AND e.pubDate = p.pubDate AND e.deal_size = p.deal_size)""",
+)
+def q_new_deals_filled(spark, sf_dir):
+    """Against a table that stores missing sizes as text."""
+    parsed = parse_deals(deals_raw(spark, sf_dir), fill_missing=True)
+    return new_deals(parsed, parsed.where(F.col("o_orderkey") % 4 == 0))

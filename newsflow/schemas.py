@@ -54,6 +54,7 @@ RSS_ITEM = T.StructType(
         T.StructField("link", T.StringType()),
         T.StructField("author", T.StringType()),
         T.StructField("dc:creator", T.StringType()),
+        T.StructField("dc:date", T.StringType()),
         T.StructField("pubDate", T.StringType()),
         T.StructField("updated", T.StringType()),
         T.StructField("description", T.StringType()),

@@ -147,16 +147,20 @@ def normalise(items: DataFrame, profile: SourceProfile, order: list[str] | None
 def rss_items(raw: DataFrame) -> DataFrame:
     """Columns of the XML reader → the item columns ``normalise`` expects.
 
-    The author falls back to ``dc:creator``; the feed key is the landed
-    file's name without extension.
+    The author falls back to ``dc:creator``, the update date to ``dc:date`` and
+    then ``pubDate``; the feed key is the landed file's name without extension.
+    ``feed_file`` and ``item_seq`` give the order of items where the reader has it.
     """
+    where = [F.col("feed").alias("feed_file"), F.col("item_seq")] if "item_seq" in raw.columns else []
+    updated = F.coalesce(F.col("updated"), *([F.col("`dc:date`")] if "dc:date" in raw.columns else []), F.col("pubDate"))
     author = F.coalesce(F.col("author"), F.col("`dc:creator`")) if "dc:creator" in raw.columns else F.col("author")
     return raw.select(
+        *where,
         "title",
         "link",
         author.alias("author"),
         F.col("pubDate").alias("published"),
-        "updated",
+        updated.alias("updated"),
         F.col("description").alias("summary"),
         F.regexp_extract(F.col("feed"), r"([^/]+?)(\.[A-Za-z]+)?$", 1).alias("feed"),
     )

@@ -25,7 +25,7 @@ def read_guardian_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scopus_items(spark: SparkSession, path: str) -> DataFrame:
-    return read_json(spark, path, SC.SCOPUS_ITEM)
+    return read_json(spark, path, SC.SCOPUS_ITEM).withColumns({"_file": F.col("_metadata.file_path"), "item_seq": F.monotonically_increasing_id()})
 
 
 def read_crossref_items(spark: SparkSession, path: str) -> DataFrame:
@@ -37,13 +37,16 @@ def read_card_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
-    """RSS/XML feeds (Spark's built-in XML source); the file path identifies the feed."""
+    """RSS/XML feeds (Spark's built-in XML source); the file path identifies the feed.
+
+    One task reads a whole file, so ``item_seq`` grows with an item's position in its file.
+    """
     return (
         spark.read.format("xml")
         .option("rowTag", "item")
         .schema(SC.RSS_ITEM)
         .load(path)
-        .withColumn("feed", F.col("_metadata.file_path"))
+        .withColumns({"feed": F.col("_metadata.file_path"), "item_seq": F.monotonically_increasing_id()})
     )
 
 
@@ -58,7 +61,7 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
         .option("rowTag", "entry")
         .schema(SC.ATOM_ENTRY)
         .load(path)
-        .withColumn("feed", F.col("_metadata.file_path"))
+        .withColumns({"feed": F.col("_metadata.file_path"), "item_seq": F.monotonically_increasing_id()})
     )
     alternate = F.filter("link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
     href = F.coalesce(F.get(alternate, 0)["_href"], F.get(F.col("link"), 0)["_href"])
@@ -70,9 +73,15 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
         "updated",
         F.col("summary").alias("description"),
         "feed",
+        "item_seq",
     )
 
 
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """RSS items and Atom entries of one landing folder; a file of the other kind gives no rows."""
+    return read_rss(spark, path).unionByName(read_atom(spark, path), allowMissingColumns=True)
+
+
 def read_deals_csv(spark: SparkSession, directory: str, prefix: str = "AxiosPro") -> DataFrame:
     """All ``<prefix>*.csv`` deal exports of a directory, unioned by the reader."""
     return spark.read.csv(f"{directory}/{prefix}*.csv", header=True, schema=SC.DEALS_RAW)

@@ -19,6 +19,21 @@ def test_extract_feeds(spark, tmp_path):
     assert got == [("LA Times", "A", "x", None), ("Wall St. Journal", "B", "<p>z</p>", "")]
 
 
+def test_extract_feeds_atom_and_payloads(spark, tmp_path):
+    (tmp_path / "wsj").mkdir()
+    (tmp_path / "wsj" / "a.xml").write_text('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>T</title><link href="u"/><updated>2024-03-05T00:00:00Z</updated></entry></feed>')
+    (tmp_path / "records").mkdir()
+    (tmp_path / "records" / "p.json").write_text(json.dumps({"records": [{"title": "R", "doi": "d1", "publisher": "P", "publicationDate": "2024-01-02"}, {"title": "S", "doi": "d1", "publisher": "P"}]}))
+    (tmp_path / "guardian").mkdir()
+    (tmp_path / "guardian" / "g.json").write_text(json.dumps([{"webTitle": "G", "webUrl": "w", "webPublicationDate": "2024-01-03T00:00:00Z", "fields": {"bodyText": "b"}}]))
+    (tmp_path / "scopus").mkdir()
+    (tmp_path / "scopus" / "s.json").write_text(json.dumps([{"prism:doi": "d", "dc:title": "E", "prism:coverDate": d} for d in ("2024-01-04", "2024-01-05")]))
+    landed = {f: str(tmp_path / f) for f in ("wsj", "records", "guardian", "scopus")}
+    out = jobs.extract_feeds(spark, landed, str(tmp_path / "extract"), before="2024-02-01")
+    got = sorted((r.title, str(r.pubDate)) for r in out.collect())
+    assert got == [("E", "2024-01-04"), ("G", "2024-01-03"), ("R", "2024-01-02"), ("T", "2024-03-05")]
+
+
 def test_load_deals_twice(spark, tmp_path):
     (tmp_path / "csv").mkdir()
     header = "Publish Date,Company Name,Investors,Deal Size,Type,Series/Round\n"
