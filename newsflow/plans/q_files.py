@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
 from newsflow.operators.deals import DEAL_COLUMNS
+from newsflow.operators.tagging import tag_articles
 from newsflow.plans import fixtures as fx
 from newsflow.plans import jobs
 from newsflow.plans import sql_text as S
+from newsflow.plans.daily import assign_ids, compile_new_articles, run_daily
+from newsflow.plans.q_daily import _OUT, daily_incoming
 from newsflow.plans.q_deals import PARSED_SQL, deals_raw
 from newsflow.plans.q_feeds import _rss_fixture_sql, rss_fixture
-from newsflow.plans.registry import query
+from newsflow.plans.registry import ORACLE, query
 from newsflow.schemas import DEALS_RAW, DEALS_RENAME
 from newsflow.session import checkpoint_dir
 from newsflow.sources import html as H
@@ -89,6 +92,27 @@ def q_deal_files_load(spark, sf_dir):
     return spark.read.parquet(f"{base}/deals")
 
 
+# ---------------------------------------------------------------- the daily job's tables (K2, K5)
+
+
+@query("daily_job_tables", ORACLE["daily_compile"])
+def q_daily_job_tables(spark, sf_dir):
+    """What two runs of the job over the same union leave in the content table beyond what was there."""
+    base = _scratch(spark)
+    incoming, _ = daily_incoming(spark, sf_dir)
+    order = ["src_rank", "src_id"]
+    even = tag_articles(fx.articles(spark, sf_dir).where(F.col("id") % 2 == 0), fx.ref_tags(spark))
+    shape = assign_ids(compile_new_articles(incoming, even, fx.ref_tags(spark), order), even).schema
+    stored = even.select(*[(F.col(f.name) if f.name in even.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape])
+    stored.write.parquet(f"{base}/content")
+    tags = "content_id bigint, tag_cat string, tag string, tag_guid string, cost_center string"
+    spark.createDataFrame([], tags).write.parquet(f"{base}/tags")
+    for _ in range(2):
+        run_daily(incoming, f"{base}/content", f"{base}/tags", f"{base}/staging", fx.ref_tags(spark), fx.profiles(spark), order, fx.EXCLUDED_PROGRAMMES)
+    before = stored.agg(F.max("id")).scalar()
+    return spark.read.parquet(f"{base}/content").where(F.col("id") > before).select(*_OUT)
+
+
 # ---------------------------------------------------------------- result cards
 
 CARDS_AS_OF = "2024-03-05 01:00:00"
