@@ -143,6 +143,22 @@ def q_result_cards(spark, sf_dir):
     return H.result_cards(cards.select("page_id", html.alias("html")), CARDS_AS_OF)
 
 
+@query(
+    "article_cards",
+    f"""SELECT CAST(floor(doc_id / 2) AS BIGINT) AS page_id, CAST(doc_id % 2 AS INTEGER) AS card_pos,
+  {S.strip(f"'No. ' || {_LINE}")} AS title, CASE WHEN doc_id % 5 <> 0 THEN {S.strip("text")} END AS description FROM documents""",
+)
+def q_article_cards(spark, sf_dir):
+    """Two documents a page, every fifth card without an excerpt; the page has a title outside any card."""
+    doc = F.col("doc_id")
+    excerpt = F.when(doc % 5 != 0, F.concat(F.lit('<p class="article-card__excerpt">'), _xml(F.col("text")), F.lit("\n</p>"))).otherwise("")
+    card = F.concat(F.lit('<article class="big card_gallery"><div><h3 class=\'article-card__title\'> <b>No.</b> '), _xml(F.get(F.split("text", "\n"), 0)), F.lit("</h3>"), excerpt, F.lit("</div></article>"))
+    docs = fx.table(spark, sf_dir, "documents", spread=True).select("doc_id", F.floor(doc / 2).alias("page_id"), card.alias("card"))
+    cards = docs.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "card"))).alias("c"))  # at most two a page
+    html = F.concat(F.lit('<html><h3 class="article-card__title">All</h3>'), F.array_join(F.transform("c", lambda x: x["card"]), "<hr>"), F.lit("</html>"))
+    return H.article_cards(cards.select("page_id", html.alias("html")))
+
+
 # ---------------------------------------------------------------- keyword predicate
 
 KEYWORDS = ["Tionaux", "moron", "query"]

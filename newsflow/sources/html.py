@@ -43,6 +43,8 @@ TEASER_URL = "https://www.ft.com/news-feed"
 # Search-result card page classes.
 # a card runs from its marker class to the next card's marker (or the page end)
 CARD_BLOCK = r'(?s)class="SoaBEf"((?:(?!class="SoaBEf").)*)'
+ARTICLE_CARD = "card_gallery"
+ARTICLE_CARD_FIELDS = {"title": "article-card__title", "description": "article-card__excerpt"}
 CARD_FIELDS = {"title": "MBeuO", "snippet": "GI74Re", "date": "LfVVr", "source": "NUnG9d"}
 
 
@@ -182,3 +184,11 @@ def result_cards(pages: DataFrame, as_of: str, block: str = CARD_BLOCK, fields:
         "source",
     )
     return keep_first(df, ["title"], ["page_id", "card_pos"]).select("title", "url", "pubDate", "description", "source")
+
+
+def article_cards(pages: DataFrame, card: str = ARTICLE_CARD, fields: dict | None = None) -> DataFrame:
+    """(page_id, card_pos, title, description): the stripped text of the first element of each class in every card."""
+    split = pages.select("page_id", pieces(F.col("html")).alias("_p"))
+    cards = posexplode_rows(split, elements(F.col("_p"), card), ["page_id"], "card_pos", "card").select("page_id", "card_pos", pieces(F.col("card")).alias("_c"))
+    texts = [X.strip(text_of(F.get(elements(F.col("_c"), c), F.lit(0)))).alias(k) for k, c in (fields or ARTICLE_CARD_FIELDS).items()]
+    return cards.select("page_id", "card_pos", *texts)
