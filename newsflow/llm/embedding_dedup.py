@@ -1,13 +1,15 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by exact comparison within a label, in tiles of bounded size.
 
-In every pass a vector gets a key of 64 random hyperplane signs; the vectors of a label are ordered by the key and each is
-compared with its next ``window`` neighbours by exact cosine; pairs at the threshold or above are united over all passes.
-Where links are still found at the far half of a window, the window is extended for these vectors until none are, so dense
-groups are covered, too.  Order is made by a range sort of (pass, label, key) over all passes at once; numbered places are
-cut into blocks of ``block`` rows with a margin of one window, so every task compares a bounded number of rows whatever the
-label sizes are.  Keys travel without vectors; each vector is sent to its blocks once per pass.
+The vectors of a label and length are put in order by a key of 64 random hyperplane signs and cut into blocks of at most
+``block`` rows; every block is compared with itself and with every other block of its label and length, ``window`` rows at
+a time, by exact cosine.  The key only puts close vectors together: a pair of blocks is left out when the angle between
+their centres is larger than both radii and the threshold's angle together, so that no pair in it can reach the threshold.
+All links are found, whatever the density; the work grows with the square of the largest label where nothing is left out.
 
-Equal vectors of a label are one class with a count; links between different vectors are found by the passes, those within
+A task holds one tile, that is two blocks, at a time.  A tile doesn't give its links but, for each of its vectors, their
+number and one edge of a spanning forest, so a dense group of n vectors makes about n * n / block rows, not n * n.
+
+Equal vectors of a label are one class with a count; links between different vectors are found by the tiles, those within
 a class follow.  Defined results: a vector that is null, empty, zero or has null or non-finite components, a null label or
 a null id links with nothing (n_links 0, component_id its own id, kept true); vectors of unequal length don't link; rows
 that repeat an id and its vector are copies of each other; an empty table gives an empty result; other columns are ignored.
@@ -16,6 +18,8 @@ that repeat an id and its vector are copies of each other; an empty table gives
 from __future__ import annotations
 
 from functools import partial
+from itertools import groupby
+from math import acos
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +28,12 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.common import cut, map_batches
 from newsflow.llm.components import connected_components
+from newsflow.llm.simhash_dedup import _forest
 
-THRESHOLD, PASSES, WINDOW, BLOCK, BITS = 0.98, 10, 64, 4096, 64
+THRESHOLD, WINDOW, BLOCK, BITS = 0.98, 256, 4096, 64
+#: Components a block at most, and tiles a task on average.
+BLOCK_VALUES, TASK_TILES = 1 << 20, 16
+PACKED = "block long, label int, dim int, centre array<double>, radius double, ids binary, copies binary, data binary"
 
 
 def _vectors(column) -> list[np.ndarray]:
@@ -33,106 +41,110 @@ def _vectors(column) -> list[np.ndarray]:
     return [values[a:b] - 0.0 for a, b in zip(offsets[:-1] - offsets[0], offsets[1:] - offsets[0], strict=True)]
 
 
-def _key_batches(batches, passes, seed):
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    x = vectors.astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _key_batches(batches, seed):
     planes: dict[int, np.ndarray] = {}
     for b in batches:
         vectors = _vectors(b.column("v"))
-        dims = np.array([len(v) for v in vectors])
-        keys = np.zeros((len(vectors), passes), np.uint64)
+        dims = np.array([len(v) for v in vectors], np.int32)
+        keys = np.zeros(len(vectors), np.uint64)
         for d in np.unique(dims).tolist():
             if d not in planes:
-                planes[d] = np.random.default_rng([seed, d]).standard_normal((d, passes * BITS))
+                planes[d] = np.random.default_rng([seed, d]).standard_normal((d, BITS))
             at = np.nonzero(dims == d)[0]
             signs = (np.stack([vectors[i] for i in at]).astype(np.float64) @ planes[d]) > 0
-            keys[at] = np.packbits(signs.reshape(len(at), passes, BITS), axis=2).view(">u8")[:, :, 0]
+            keys[at] = np.packbits(signs, axis=1).view(">u8")[:, 0]
         flipped = (keys ^ np.uint64(1 << 63)).view(np.int64)  # signed order is that of the bits
-        n = len(vectors)
-        yield pa.RecordBatch.from_pydict({
-            "pass": pa.array(np.tile(np.arange(passes, dtype=np.int32), n)), "label": b.column("label").take(pa.array(np.repeat(np.arange(n), passes))),
-            "key": pa.array(flipped.reshape(-1)), "class_id": pa.array(np.repeat(b.column("class_id").to_numpy(), passes))})
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dims), pa.array(flipped)], names=[*b.schema.names, "dim", "key"])
 
 
-def _numbered_batches(batches):
+def _pack_batches(batches, block):
+    """Blocks of rows of one label and length, one row a block, from rows in order."""
     from pyspark import TaskContext
 
-    part, at = TaskContext.get().partitionId(), 0
+    number = TaskContext.get().partitionId() << 33
+
+    def packed():
+        data = np.stack([v for _, _, v in rows]).astype(np.float32)
+        x = _unit(data)
+        centre = x.sum(axis=0)
+        centre = centre / np.linalg.norm(centre) if np.linalg.norm(centre) > 1e-6 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        ids, copies = (np.array([r[k] for r in rows], np.int64).tobytes() for k in (0, 1))
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([number]), "label": pa.array([group[0]], pa.int32()), "dim": pa.array([group[1]], pa.int32()), "centre": pa.array([centre.tolist()], pa.list_(pa.float64())),
+            "radius": pa.array([radius]), "ids": pa.array([ids], pa.binary()), "copies": pa.array([copies], pa.binary()), "data": pa.array([data.tobytes()], pa.binary())})
+
+    rows, group = [], None
     for b in batches:
-        n = b.num_rows
-        yield pa.RecordBatch.from_pydict({"pass": b.column("pass"), "class_id": b.column("class_id"), "part": pa.array(np.full(n, part, np.int32)), "at": pa.array(np.arange(at, at + n))})
-        at += n
+        for label, class_id, copies, v in zip(b.column("label").to_pylist(), b.column("class_id").to_pylist(), b.column("copies").to_pylist(), _vectors(b.column("v")), strict=True):
+            if rows and ((label, len(v)) != group or len(rows) >= min(block, max(1, BLOCK_VALUES // len(v)))):
+                yield packed()
+                rows, number = [], number + 1
+            group = (label, len(v))
+            rows.append((class_id, copies, v))
+    if rows:
+        yield packed()
+
+
+def tile_links(x: np.ndarray, y: np.ndarray, threshold: float, window: int):
+    """Pairs of row numbers (of x, of y) with cosine at the threshold or above, ``window`` rows of x at a time; rows are of unit length."""
+    for at in range(0, len(x), window):
+        i, j = np.nonzero(x[at : at + window] @ y.T >= threshold)
+        yield i + at, j
 
 
 def block_links(x: np.ndarray, label: np.ndarray, threshold: float, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of row numbers (i < j) with equal label and cosine at the threshold or above; rows are in order and unit length."""
-    n, found, step = len(x), [], 256
-    for at in range(0, n, step):
-        rows = np.arange(at, min(n, at + step))
-        lo = 1
-        while len(rows) and lo < n:
-            first, last = rows[0] + lo, min(n, rows[-1] + lo + window)
-            if first >= n:
-                break
-            near = x[rows] @ x[first:last].T >= threshold
-            ahead = np.arange(first, last)[None, :] - rows[:, None]
-            near &= (ahead >= lo) & (ahead < lo + window) & (label[rows][:, None] == label[first:last][None, :])
-            i, j = np.nonzero(near)
-            found.append((rows[i], first + j))
-            far = (near & (ahead >= lo + window // 2)).any(axis=1)  # still linking: look further
-            rows, lo = rows[far], lo + window
-    return tuple(np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found, strict=True) if found else ((), ())))
-
-
-def _block_batches(batches, threshold, window):
-    """Links between classes from rows sorted by block and place."""
-    def links(block, label, ids, vectors):
-        dims = np.array([len(v) for v in vectors])
-        out = []
-        for d in np.unique(dims):
-            at = np.nonzero(dims == d)[0]
-            x = np.stack([vectors[i] for i in at]).astype(np.float64)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            i, j = block_links(x, label[at], threshold, window)
-            out.append(np.sort(np.stack([ids[at[i]], ids[at[j]]], axis=1), axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0)
-        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-    held = None
-    for b in batches:
-        new = (b.column("block").to_numpy(), b.column("label").to_numpy(), b.column("class_id").to_numpy(), _vectors(b.column("v")))
-        held = new if held is None else (*(np.concatenate([h, x]) for h, x in zip(held[:3], new[:3], strict=True)), held[3] + new[3])
-        cuts = np.nonzero(np.diff(held[0]))[0] + 1
-        for a, e in zip(np.append(0, cuts[:-1]), cuts, strict=True) if len(cuts) else ():
-            yield links(*(h[a:e] for h in held))
-        held = tuple(h[cuts[-1] if len(cuts) else 0 :] for h in held)
-    if held is not None and len(held[0]):
-        yield links(*held)
-
-
-def class_links(classes: DataFrame, threshold: float, passes: int, window: int, block: int, seed: int) -> DataFrame:
-    """(a, b) distinct links between classes (class_id, label, v) that the passes find."""
-    keys = map_batches(classes.select("class_id", "label", "v"), partial(_key_batches, passes=passes, seed=seed), "pass int, label int, key long, class_id long")
-    order = ["pass", "label", "key", "class_id"]
-    numbered = cut(map_batches(keys.repartitionByRange(*order).sortWithinPartitions(*order), _numbered_batches, "pass int, class_id long, part int, at long"))
-    sizes = sorted((r["part"], r["count"]) for r in numbered.groupBy("part").count().collect())  # one row a partition
-    if not sizes:
-        return numbered.select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
-    before, total = {}, 0
-    for part, n in sizes:
-        before[part], total = total, total + n
-    offsets = F.broadcast(classes.sparkSession.createDataFrame(list(before.items()), "part int, before long"))
-    place = (F.col("before") + F.col("at")).alias("place")
-    shift = F.pmod(F.col("pass") * 1597, F.lit(block))  # block limits fall elsewhere in each pass
-    placed = numbered.join(offsets, "part").select("pass", "class_id", place, shift.alias("shift"))
-    own = F.shiftleft(F.col("pass").cast("long"), 40) + F.floor((F.col("place") + F.col("shift")) / block)  # never shared by passes
-    margin = F.when((F.col("place") + F.col("shift")) % block < window, own - 1)
-    blocks = placed.select("class_id", "place", F.explode(F.array_compact(F.array(own, margin))).alias("block"))
-    rows = blocks.join(classes.select("class_id", "label", "v"), "class_id").select("block", "place", "label", "class_id", "v")
-    found = map_batches(rows.repartition("block").sortWithinPartitions("block", "place"), partial(_block_batches, threshold=threshold, window=window), "a long, b long")
-    return found.distinct()
+    """Pairs of row numbers (i < j) with equal label and cosine at the threshold or above, all at once; rows are of unit length."""
+    pairs = [p for i, j in tile_links(x, x, threshold, window) for p in [np.stack([i, j])[:, (i < j) & (label[i] == label[j])]]]
+    return tuple(np.concatenate(pairs, axis=1)) if pairs else (np.empty(0, np.int64),) * 2
+
+
+def _tile_batches(batches, threshold, window):
+    """(class_id, linked, other): copies of the vectors linked to a class within a tile, and an edge of the tile's spanning forest."""
+    rows = (r for b in batches for k in range(b.num_rows) for r in b.slice(k, 1).to_pylist())
+    for _, sides in groupby(rows, key=lambda r: r["tile"]):
+        sides = [(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["copies"], np.int64), _unit(np.frombuffer(r["data"], np.float32).reshape(-1, r["dim"]))) for r in sides]
+        ids, copies = (np.concatenate([s[k] for s in sides]) for k in (0, 1))
+        n, x, y = len(ids), sides[0][2], sides[-1][2]
+        linked, edges = np.zeros(n, np.int64), []
+        for i, j in tile_links(x, y, threshold, window):
+            i, j = (i[i < j], j[i < j]) if len(sides) == 1 else (i, j + len(x))  # each pair once
+            if len(i):
+                linked += (np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)).astype(np.int64)
+                root = _forest(n, i, j)
+                at = np.nonzero(root != np.arange(n))[0]
+                edges.append((at, root[at]))
+        if edges:
+            at = np.nonzero(linked)[0]
+            root = _forest(n, *map(np.concatenate, zip(*edges, strict=True)))
+            yield pa.RecordBatch.from_pydict({"class_id": pa.array(ids[at]), "linked": pa.array(linked[at]), "other": pa.array(ids[root[at]])})
+
+
+def class_links(classes: DataFrame, threshold: float, window: int, block: int, seed: int) -> DataFrame:
+    """(class_id, linked, other) of every tile of classes (class_id, label, v, copies): links counted, and edges that connect what is linked."""
+    keyed = map_batches(classes.select("class_id", "label", "copies", "v"), partial(_key_batches, seed=seed), "class_id long, label int, copies long, v array<float>, dim int, key long")
+    order = ["label", "dim", "key", "class_id"]
+    blocks = cut(map_batches(keyed.repartitionByRange(*order).sortWithinPartitions(*order), partial(_pack_batches, block=block), PACKED))
+    one = blocks.select("label", "dim", "block", "centre", "radius")
+    two = one.select("label", "dim", F.col("block").alias("other"), F.col("centre").alias("o_centre"), F.col("radius").alias("o_radius"))
+    cosine = F.aggregate(F.zip_with("centre", "o_centre", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
+    reach = F.col("radius") + F.col("o_radius") + F.lit(acos(min(1.0, max(-1.0, threshold))) + 1e-5)  # beyond rounding
+    pairs = one.join(two, ["label", "dim"]).where((F.col("block") == F.col("other")) | ((F.col("block") < F.col("other")) & (angle <= reach)))
+    tiles = cut(pairs.select("block", "other").withColumn("tile", F.monotonically_increasing_id()))
+    n_tasks = max(-(-tiles.count() // TASK_TILES), 4 * classes.sparkSession.sparkContext.defaultParallelism)
+    sides = tiles.select("tile", F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    rows = sides.join(blocks.select("block", "dim", "ids", "copies", "data"), "block").repartition(n_tasks, "tile").sortWithinPartitions("tile", "block")
+    return map_batches(rows, partial(_tile_batches, threshold=threshold, window=window), "class_id long, linked long, other long")
 
 
 def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD,
-                         passes: int = PASSES, window: int = WINDOW, block: int = BLOCK, seed: int = 7) -> DataFrame:
+                         window: int = WINDOW, block: int = BLOCK, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row a vector."""
     v = F.col(vector_col).cast("array<float>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -140,11 +152,9 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     usable = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite, F.lit(False))
     grouped = rows.where(usable).groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id"))
     classes = cut(grouped.withColumn("class_id", F.monotonically_increasing_id()))  # the ids are fixed by the checkpoint
-    links = cut(class_links(classes, threshold, passes, window, block, seed))
-    size = classes.select(F.col("class_id").alias("b"), "copies")
-    both = links.union(links.select("b", "a"))
-    n_links = both.join(size, "b").groupBy(F.col("a").alias("class_id")).agg(F.sum("copies").alias("linked"))
-    roots = connected_components(links, "a", "b")
+    links = cut(class_links(classes, threshold, window, block, seed))
+    n_links = links.groupBy("class_id").agg(F.sum("linked").alias("linked"))
+    roots = connected_components(links, "class_id", "other")
     named = classes.join(roots, classes.class_id == roots.node, "left").select("class_id", "label", "v", "copies", "first_id", F.coalesce("root", "class_id").alias("root"))
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = cut(named.join(first, "root").join(n_links, "class_id", "left").select(

@@ -61,3 +61,14 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert E.embedding_components(frame(spark, [(1, [1.0], 0)]).where("false")).count() == 0
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_a_dense_run_of_several_blocks_is_counted_in_full(spark):
+    x = unit(1 + 0.02 * np.random.default_rng(2).standard_normal((3000, 16)))  # any two are linked, in about 12 blocks
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(x)]
+    got = E.embedding_components(frame(spark, rows), block=256, window=16).collect()
+    assert len(got) == 3000 and {r.n_links for r in got} == {2999} and {r.component_id for r in got} == {0}
