@@ -72,3 +72,15 @@ def test_a_dense_run_of_several_blocks_is_counted_in_full(spark):
     rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(x)]
     got = E.embedding_components(frame(spark, rows), block=256, window=16).collect()
     assert len(got) == 3000 and {r.n_links for r in got} == {2999} and {r.component_id for r in got} == {0}
+
+
+def test_every_link_of_a_dense_skewed_label(spark):
+    rng = np.random.default_rng(3)
+    noise = lambda n, size: size * rng.standard_normal((n, 64)) / 8
+    topic = unit(unit(rng.standard_normal((1, 64))) + noise(3000, 0.23))  # cosine about 0.95 to each other
+    near = unit(topic[:300] + noise(300, 0.17))  # about 0.985 to their partners
+    x = np.concatenate([topic, near, unit(rng.standard_normal((100, 64)))])
+    rows = [(i, v.astype(np.float32).tolist(), int(i >= 3300)) for i, v in enumerate(x)]
+    want = brute(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_components(frame(spark, rows), block=256, window=16).collect()}
+    assert got == want and sum(n for n, _ in want.values()) >= 500
