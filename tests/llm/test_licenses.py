@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -60,3 +61,44 @@ def test_awkward_rows(spark):
     by = {r.id: r for r in got}
     assert by[1].n_words == 0 and by[1].first_word is None and by[7].n_words == 30_000 and by[6].n_words == 1
     assert Q.scan_licenses(docs(spark, AWKWARD).where("false")).count() == 0
+
+
+def written(tree, pick):
+    """A text that matches a parsed pattern; ``pick`` chooses among characters, branches and counts."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kinds = [k for k, _ in arg]
+            assert "NEGATE" not in map(str, kinds)
+            out += pick([c for k, x in arg for c in ([chr(x)] if str(k) == "LITERAL" else map(chr, range(x[0], x[1] + 1)) if str(k) == "RANGE" else "\n\t " if str(x) == "CATEGORY_SPACE" else "0123456789")])
+        elif op == "BRANCH":
+            out += written(pick(arg[1]), pick)
+        elif op == "SUBPATTERN":
+            out += written(arg[-1], pick)
+        elif op == "MAX_REPEAT":
+            out += "".join(written(arg[2], pick) for _ in range(pick(range(arg[0], min(int(arg[1]), arg[0] + 3) + 1))))
+        else:
+            assert op == "ASSERT_NOT"
+    return out
+
+
+def test_every_match_of_every_rule_passes_its_gate():
+    draw = random.Random(1)
+    for r in rules():
+        tree = re._parser.parse(r.pattern.pattern.decode("latin-1"))
+        for k in range(20):
+            text = written(tree, draw.choice if k else lambda x: list(x)[0]).encode("latin-1")
+            if r.pattern.search(text):  # an optional part may run into the end of a word
+                assert all(w in text for w in r.keywords) and r.keywords and any(t.encode() in text for t in TRIGGERS), (r, text)
+                assert Q.detections(text)
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("licensed under the GNU Free Documentation License", "gfdl"), ("Creative Commons Zero", "cc0-1.0"), ("Microsoft Public License", "ms-pl"), ("Microsoft Reciprocal License", "ms-rl"),
+    ("Open Database License", "odbl-1.0"), ("Permission is\nhereby granted, free of charge, to any person obtaining a copy", "mit"), ("Redistribution and\n# use in source and binary forms", "bsd"),
+    ("All rights\nreserved", "all-rights-reserved"), ("in the public\ndomain", "public-domain"), ("CC\nBY", "cc-by"), ("cc_by", "cc-by"), ("permission to\nuse, copy, modify, and distribute this software", "isc")])
+def test_alternatives_and_separators_are_found(text, label):
+    assert label in {d[1] for d in Q.detections(text.lower().encode())}
