@@ -2,7 +2,8 @@
 
 Rules (see ``license_rules``) are gated by a keyword prefilter: a text without any trigger word isn't looked at, and a
 pattern is only tried when all its keywords occur.  Detections are taken by priority, then length, then place; one whose
-interval lies inside that of an earlier one is suppressed, and rules of last resort only count where nothing else was found.  Beside the rules, three base phrases are counted at every
+interval lies inside that of an earlier one is suppressed, and rules of last resort only count where no
+other rule was kept, then at all their places.  Beside the rules, three base phrases are counted at every
 place where their words stand consecutively; their labels always stay.
 
 Texts are scanned as lower-cased UTF-8 bytes (A-Z only), a map over the rows without any shuffle.  Defined results: null
@@ -63,7 +64,7 @@ def detections(low: bytes) -> list[tuple[str, str, int, int, float]]:
     reach = np.zeros(0, np.int64)
     for _, length, start, r in sorted(found, key=lambda x: (x[0], x[1], x[2], x[3].rule_id)):
         end = start - length
-        if kept and r.priority >= LAST_RESORT:
+        if kept and r.priority >= LAST_RESORT > kept[0][2].priority:  # kept in the order of priority
             break
         # of the kept intervals starting at or before this one, does one reach its end?
         at = int(np.searchsorted(starts, start, side="right"))

@@ -102,3 +102,8 @@ def test_every_match_of_every_rule_passes_its_gate():
     ("All rights\nreserved", "all-rights-reserved"), ("in the public\ndomain", "public-domain"), ("CC\nBY", "cc-by"), ("cc_by", "cc-by"), ("permission to\nuse, copy, modify, and distribute this software", "isc")])
 def test_alternatives_and_separators_are_found(text, label):
     assert label in {d[1] for d in Q.detections(text.lower().encode())}
+
+
+def test_all_places_of_last_resort_rules_are_kept():
+    assert [d[1:4] for d in Q.detections(b"licensed under terms a, distributed under terms b")] == [("unknown-licence", 0, 14), ("unknown-licence", 24, 41)]
+    assert [d[1] for d in Q.detections(b"licensed under terms a, mit license")] == ["mit"]
