@@ -3,14 +3,14 @@
 Each language has a variable-order byte context tree, its statistics frozen after training.  A symbol not seen in a
 context is reached by an escape (method C: probability ``distinct / (total + distinct)``) to the next shorter context,
 down to 1/256 for every byte.  A text's exact code length under each language's tree is the sum over all its bytes;
-the shortest wins.  For scoring, the trees of all languages are compiled into one automaton over the union of their
-contexts: from a context and a byte to the longest known context, and from a context and a byte to one code length per
-language.  That is the same arithmetic done beforehand, so the scores are exact and whole texts are scored at array
-speed.
+the shortest wins.  For scoring, the tree of each language is compiled into an automaton over its contexts: from a
+context and a byte to the longest known context, and from a context and a byte to a code length.  That is the same
+arithmetic done beforehand, so the scores are exact and whole texts are scored at array speed.
 
 Training takes a bounded sample of labelled rows, a documented parameter: ``sample_rows`` rows a language at most, those
-with the smallest hash of id and text; whole texts, counted in the tasks and summed by Spark.  The model that reaches the
-driver has at most ``max_contexts`` contexts and as many rows of counts as these have successors.
+with the smallest hash of id and text; whole texts, counted in the tasks and summed by Spark.  All contexts of the sample
+are kept, so the tree of a language doesn't depend on the others; what reaches the driver are the sample's counts, and the
+model grows with the number of languages.
 
 Defined results: null text, and text without any letter, gives ``und`` with score 0; ties go to the smallest language
 code; without any labelled row every text is ``und``; repeated rows are scored alike; other columns aren't read.
@@ -27,24 +27,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import cut, map_batches
+from newsflow.llm.common import map_batches
 
 UNDETERMINED = "und"
 ORDER = 4
 SAMPLE_ROWS = 400
-MAX_CONTEXTS = 12_000
 _PIECE = 1 << 18
 _ROWS = 256
 
 
 @dataclass
-class PpmModel:
-    """Compiled trees: ``step[context, symbol]`` and ``cost[context, symbol, language]`` in bits."""
+class Tree:
+    """The compiled tree of a language: ``step[context, symbol]`` and ``cost[context, symbol]`` in bits."""
 
-    languages: list[str]
     symbols: np.ndarray  # byte -> symbol; bytes never seen share the last symbol
     step: np.ndarray
     cost: np.ndarray
+
+
+@dataclass
+class PpmModel:
+    """Languages in order and their trees."""
+
+    languages: list[str]
+    trees: list[Tree]
     order: int
 
 
@@ -88,25 +94,27 @@ def _count_batches(batches, order):
                         "context": pa.array(key >> 8), "symbol": pa.array((key & 255).astype(np.int32)), "n": pa.array(n.astype(np.int64))})
 
 
-def train(sample: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> PpmModel:
-    """Count the contexts of (lang, text) rows in Spark and compile the ``max_contexts`` most frequent ones."""
+def train(sample: DataFrame, order: int = ORDER) -> PpmModel:
+    """Count the contexts of (lang, text) rows in Spark and compile all of them."""
     rows = sample.select("lang", F.col("text").cast("binary").alias("text"))
-    counts = cut(map_batches(rows, partial(_count_batches, order=order), "lang string, depth int, context long, symbol int, n long")
-                 .groupBy("lang", "depth", "context", "symbol").agg(F.sum("n").alias("n")))
-    frequent = counts.groupBy("depth", "context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "depth", "context").limit(max_contexts)
-    kept = counts.join(frequent, ["depth", "context"], "left_semi").toArrow().to_pandas()  # at most max_contexts x 256 x languages rows
-    return compile_model(kept, order)
+    counts = (map_batches(rows, partial(_count_batches, order=order), "lang string, depth int, context long, symbol int, n long")
+              .groupBy("lang", "depth", "context", "symbol").agg(F.sum("n").alias("n")))
+    return compile_model(counts.toArrow().to_pandas(), order)  # bounded by the sample
 
 
 def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
-    """Tables from (lang, depth, context, symbol, n).  A context stays only if its suffixes and prefixes do."""
-    languages = sorted(counts["lang"].unique().tolist())
-    seen = np.unique(counts["symbol"].to_numpy(np.int64)) if len(counts) else np.empty(0, np.int64)
+    """A tree for every language from (lang, depth, context, symbol, n)."""
+    by_lang = {lang: _compile_tree(c, order) for lang, c in counts.groupby("lang")}
+    return PpmModel(list(by_lang), list(by_lang.values()), order)  # grouped in order
+
+
+def _compile_tree(counts: pd.DataFrame, order: int) -> Tree:
+    seen = np.unique(counts["symbol"].to_numpy(np.int64))
     symbols = np.full(256, len(seen), np.int32)  # a table has fewer than 2^31 cells, so numbers of cells fit 32 bits
     symbols[seen] = np.arange(len(seen))
-    a, n_lang = len(seen) + 1, len(languages)
+    a = len(seen) + 1
     known = {(0, 0): 0}
-    by_depth = {int(d): np.unique(g["context"].to_numpy(np.int64)) for d, g in counts.groupby("depth")} if len(counts) else {}
+    by_depth = {int(d): np.unique(g["context"].to_numpy(np.int64)) for d, g in counts.groupby("depth")}
     suffix = [0]
     for d in range(1, order + 1):
         for c in by_depth.get(d, np.empty(0, np.int64)).tolist():
@@ -117,19 +125,16 @@ def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
     suffix = np.array(suffix)
     depth_of = np.array([d for d, _ in known])
     rows = np.array([known.get(k, -1) for k in zip(counts["depth"].tolist(), counts["context"].tolist(), strict=True)], np.int64)
-    cost = np.empty((len(known), a, n_lang), np.float32)
-    for k, lang in enumerate(languages):
-        n = np.zeros((len(known), a), np.float32)
-        ok = (rows >= 0) & (counts["lang"] == lang).to_numpy()
-        n[rows[ok], symbols[counts["symbol"].to_numpy(np.int64)[ok]]] = counts["n"].to_numpy(np.float32)[ok]
-        total, kinds = n.sum(axis=1, keepdims=True, dtype=np.float64), (n > 0).sum(axis=1, keepdims=True)
-        p = np.full(n.shape, 1 / 256)
-        for d in range(order + 1):
-            at = np.nonzero(depth_of == d)[0]
-            below = p[suffix[at]] if d else p[at]
-            seen_here = np.maximum(total[at] + kinds[at], 1)
-            p[at] = np.where(kinds[at] == 0, below, np.where(n[at] > 0, n[at] / seen_here, kinds[at] / seen_here * below))
-        cost[:, :, k] = -np.log2(p)
+    n, ok = np.zeros((len(known), a), np.float32), rows >= 0
+    n[rows[ok], symbols[counts["symbol"].to_numpy(np.int64)[ok]]] = counts["n"].to_numpy(np.float32)[ok]
+    total, kinds = n.sum(axis=1, keepdims=True, dtype=np.float64), (n > 0).sum(axis=1, keepdims=True)
+    p = np.full(n.shape, 1 / 256)
+    for d in range(order + 1):
+        at = np.nonzero(depth_of == d)[0]
+        below = p[suffix[at]] if d else p[at]
+        seen_here = np.maximum(total[at] + kinds[at], 1)
+        p[at] = np.where(kinds[at] == 0, below, np.where(n[at] > 0, n[at] / seen_here, kinds[at] / seen_here * below))
+    cost = (-np.log2(p)).astype(np.float32)
     # by depth: a successor that isn't a known context is that of the suffix
     step = np.zeros((len(known), a), np.int32)
     children = {}
@@ -141,7 +146,7 @@ def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
             step[i] = step[suffix[i]]
         for s, child in children.get(i, []):
             step[i, s] = child
-    return PpmModel(languages, symbols, step, cost, order)
+    return Tree(symbols, step, cost)
 
 
 def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
@@ -149,8 +154,6 @@ def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
     out = np.zeros((len(texts), len(model.languages)))
     if not model.languages:
         return out
-    a = model.step.shape[1]
-    step, cost = model.step.reshape(-1), model.cost.reshape(-1, len(model.languages))
     at = 0
     while at < len(texts):
         end, size = at, 0
@@ -158,28 +161,30 @@ def code_lengths(model: PpmModel, texts: list[bytes]) -> np.ndarray:
             size += len(texts[end])
             end += 1
         joined, lengths = b"".join(texts[at:end]), np.array([len(t) for t in texts[at:end]])
-        if end == at + 1 and size > _PIECE:  # a very long text, in pieces that know the bytes before them
-            for k in range(0, size, _PIECE):
-                lead = min(k, model.order)
-                out[at] += _costs(model, step, cost, a, joined[k - lead : k + _PIECE], np.array([0]))[lead:].sum(axis=0, dtype=np.float64)
-        elif size:
-            starts = np.cumsum(lengths) - lengths
-            some = lengths > 0
-            out[at:end][some] = np.add.reduceat(_costs(model, step, cost, a, joined, starts[some]), starts[some], axis=0, dtype=np.float64)
+        for j, tree in enumerate(model.trees):
+            if end == at + 1 and size > _PIECE:  # a very long text, in pieces that know the bytes before them
+                for k in range(0, size, _PIECE):
+                    lead = min(k, model.order)
+                    out[at, j] += _costs(tree, model.order, joined[k - lead : k + _PIECE], np.array([0]))[lead:].sum(dtype=np.float64)
+            elif size:
+                starts = np.cumsum(lengths) - lengths
+                some = lengths > 0
+                out[at:end, j][some] = np.add.reduceat(_costs(tree, model.order, joined, starts[some]), starts[some], dtype=np.float64)
         at = end
     return out
 
 
-def _costs(model, step, cost, a, data, starts):
+def _costs(tree, order, data, starts):
     """Code length of every byte; contexts don't reach over ``starts``."""
-    s = model.symbols[np.frombuffer(data, np.uint8)]
+    a, step = tree.step.shape[1], tree.step.reshape(-1)
+    s = tree.symbols[np.frombuffer(data, np.uint8)]
     into = np.arange(len(s), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(s))))
     state = np.zeros(len(s), np.int32)  # the context before byte i
-    for back in range(model.order, 0, -1):
+    for back in range(order, 0, -1):
         nxt = step[state[back:] * a + s[: len(s) - back]]
         state[:back] = 0
         state[back:] = np.where(into[back:] >= back, nxt, 0)
-    return cost[state * a + s]
+    return tree.cost.reshape(-1)[state * a + s]
 
 
 def _score_batches(batches, shared):
@@ -204,7 +209,7 @@ def predict(docs: DataFrame, model: PpmModel, text_col: str = "text", keep: list
     keep = [F.col(f"`{c}`") for c in docs.columns] if keep is None else keep
     text = F.col(text_col).cast("string")
     rows = docs.select(*keep, text.cast("binary").alias("__bytes"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_contexts
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
     return map_batches(rows, partial(_score_batches, shared=shared), f"{fields}, __lang_pred string, __lang_score double")
 

@@ -92,3 +92,13 @@ def test_training_leaves_out_held_rows_and_bounds_the_rest(spark):
     import zlib
 
     assert len(sample) == 10 and all(zlib.crc32(r.text.split()[1].encode()) % 3 != 1 for r in sample)
+
+
+def test_a_rare_language_keeps_its_whole_tree(spark):
+    rng = np.random.default_rng(5)
+    large = bytes(rng.choice(np.frombuffer(b"abcdefghijklmnopqrst", np.uint8), 60_000)).decode()  # over 12,000 contexts, often seen
+    rare = "the quick brown fox jumps over the lazy dog and the lazy dog sleeps"
+    model = L.train(spark.createDataFrame([("big", large), ("big", large), ("rare", rare)], "lang string, text string"))
+    texts = [b"the lazy fox jumps", rare.encode()]
+    want = [plain_length(t, [rare.encode()], L.ORDER) for t in texts]
+    np.testing.assert_allclose(L.code_lengths(model, texts)[:, model.languages.index("rare")], want, rtol=1e-5)
