@@ -19,8 +19,10 @@ SHINGLE, MAX_BITS = 3, 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any text in a known language go."""
+    """Documents without any text in a known language go; without any labelled one, those without letters."""
     model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     found = language_id.predict(docs, model)
     return found.where(F.col("__lang_pred") != language_id.UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -59,3 +59,9 @@ def test_empty_documents(spark, tmp_path):
 def test_run_gives_the_mix(spark):
     got = queries.pipeline(spark, SF)
     assert got.count() > 100 and "taken" in got.columns
+
+
+def test_language_stage_without_any_label(spark):
+    rows = docs(spark, [(*r, None) for r in AWKWARD]).select("doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.identify_language(spark, rows, SF).collect()
+    assert sorted((r.text or "")[:20] for r in kept) == sorted(t[:20] for _, t in AWKWARD if any(c.isalpha() for c in t or ""))
