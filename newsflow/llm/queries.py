@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import chat_format, decontaminate, embedding_dedup, language_id, license_scan, mixing, pii, simhash_dedup, suffix_dedup, token_counts
+from newsflow.llm import (
+    byte_bpe, chat_format, decontaminate, embedding_dedup, language_id, license_scan, mixing, periodic_runs, pii, simhash_dedup, suffix_dedup, token_alignment, token_counts,
+)
 from newsflow.llm.common import table
 
 
@@ -80,6 +82,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in range(pii.N_BASE)], F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), plant=True)
+    best = F.col("best")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+                        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +105,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op2_decontaminate, op3_embedding_dedup, op4_license_scan, op5_token_counts, op6_language_id, op7_chat_format, op8_mix_sources,
-                                   op9_suffix_dedup, op10_pii, pipeline)}
+                                   op9_suffix_dedup, op10_pii, op11_token_alignment, op12_byte_bpe, op13_periodic_runs, pipeline)}
 
 # a window of a benchmark item with most of its words in place, found by comparing every word with every word
 _OP2 = """
