@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import map_batches
+from newsflow.llm.common import map_batches, stored
 
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: How far a decision of the pattern looks beyond the end of its match.
@@ -197,35 +197,49 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(doc_id, key, key2, copies, from, n_pieces, n_tokens, ids): the pieces of every document, ids as little-endian 32-bit.
-
-    Documents of several pieces come once for all rows of equal id and text, ``copies`` says for how many.
-    """
-    if not 0 < overlap <= chunk:
-        raise ValueError("the overlap must be positive and at most a chunk")
-    changes = class_changes()
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(text, F.col(id_col), F.lit(1)).alias("key2"), text.alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(text, F.col(id_col), F.lit(1)).alias("key2"), text.alias("text"))
+
+
+def _encoded(pieces: DataFrame, vocabulary: str | None) -> DataFrame:
+    return map_batches(pieces, partial(_encode_batches, vocabulary=vocabulary, changes=class_changes()), _fields(pieces.drop("text")) + ", n_tokens long, ids binary")
+
+
+def encode_short(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, chunk: int = CHUNK) -> DataFrame:
+    """The documents of at most ``chunk`` characters, a piece each; a map without a shuffle."""
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    pieces = rows.where(F.length("text") <= chunk).select("doc_id", "key", "key2", one.alias("copies"), zero.alias("from"), one.alias("n_pieces"), "text")
+    rows = _rows(docs, id_col, text_col).where(F.length("text") <= chunk)
+    return _encoded(rows.select("doc_id", "key", "key2", one.alias("copies"), zero.alias("from"), one.alias("n_pieces"), "text"), vocabulary)
+
 
-    long_rows = rows.where(F.length("text") > chunk)
-    chunks = map_batches(long_rows.select("key", "key2", "text"), partial(_chunk_batches, chunk=chunk, overlap=overlap), "key long, key2 long, k long, text string, last boolean")
-    seams = map_batches(chunks.repartition("key", "key2", "k"), partial(_seam_batches, chunk=chunk, overlap=overlap, changes=changes), "key long, key2 long, k long, head array<long>, tail array<long>")
-    seams = seams.dropDuplicates(["key", "key2", "k"])
+def encode_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """The documents of over ``chunk`` characters, cut where the scans of overlapping chunks agree."""
+    if not 0 < overlap <= chunk:
+        raise ValueError("the overlap must be positive and at most a chunk")
+    rows = _rows(docs, id_col, text_col).where(F.length("text") > chunk)
+    chunks = map_batches(rows.select("key", "key2", "text"), partial(_chunk_batches, chunk=chunk, overlap=overlap), "key long, key2 long, k long, text string, last boolean")
+    seams = map_batches(chunks.repartition("key", "key2", "k"), partial(_seam_batches, chunk=chunk, overlap=overlap, changes=class_changes()),
+                        "key long, key2 long, k long, head array<long>, tail array<long>")
+    seams = stored(seams.dropDuplicates(["key", "key2", "k"]), "seams")  # read for both sides of a seam
     left = seams.select("key", "key2", (F.col("k") + 1).alias("k"), "tail")
     stitch = F.array_min(F.array_intersect("tail", "head"))
     found = left.join(seams.select("key", "key2", "k", "head"), ["key", "key2", "k"]).groupBy("key", "key2").agg(
         F.count(F.lit(1)).alias("n"), F.collect_list(stitch).alias("cuts"))  # one number a chunk
     cuts = found.select("key", "key2", F.when(F.size("cuts") == F.col("n"), F.col("cuts")).alias("cuts"))
-    copies = long_rows.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("copies"))
-    whole = long_rows.dropDuplicates(["key", "key2"]).join(copies.join(cuts, ["key", "key2"], "left"), ["key", "key2"])
-    cut = map_batches(whole.select("doc_id", "key", "key2", "copies", "cuts", "text"), _piece_batches, _fields(pieces))
-    cut = cut.repartition("key", "key2", "from")
+    copies = rows.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("copies"))
+    whole = rows.dropDuplicates(["key", "key2"]).join(copies.join(cuts, ["key", "key2"], "left"), ["key", "key2"])
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    pieces = map_batches(whole.select("doc_id", "key", "key2", "copies", "cuts", "text"), _piece_batches, f"doc_id {kind}, key long, key2 long, copies long, from long, n_pieces long, text string")
+    return _encoded(pieces.repartition("key", "key2", "from"), vocabulary)
+
 
-    out = _fields(pieces.drop("text")) + ", n_tokens long, ids binary"
-    return map_batches(pieces.union(cut), partial(_encode_batches, vocabulary=vocabulary, changes=changes), out)
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """(doc_id, key, key2, copies, from, n_pieces, n_tokens, ids): the pieces of every document, ids as little-endian 32-bit.
+
+    A document over ``chunk`` characters comes once for all rows of equal id and text, ``copies`` says for how many.
+    """
+    return encode_short(docs, id_col, text_col, vocabulary, chunk).union(encode_long(docs, id_col, text_col, vocabulary, chunk, overlap))
 
 
 def decode(pieces: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -255,9 +269,19 @@ def _digest_batches(batches):
         yield done()
 
 
+_DIGESTS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
 def digests(pieces: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), one row a document, from decoded pieces; streams in order of ``from``."""
-    single = pieces.where("n_pieces = 1").select("doc_id", "copies", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-    several = pieces.where("n_pieces > 1").repartition("key", "key2").sortWithinPartitions("key", "key2", "from")
-    joined = map_batches(several, _digest_batches, _fields(single))
-    return single.union(joined).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
+    rows = pieces.select("doc_id", "key", "key2", "copies", "from", "n_tokens", "ids", "decoded").repartition("key", "key2").sortWithinPartitions("key", "key2", "from")
+    kind = pieces.schema["doc_id"].dataType.simpleString()
+    joined = map_batches(rows, _digest_batches, f"doc_id {kind}, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return joined.select(*_DIGESTS, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
+
+
+def document_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``digests`` of all documents, encoded and decoded; only those of several pieces are shuffled."""
+    short = decode(encode_short(docs, id_col, text_col, vocabulary, chunk), vocabulary)
+    short = short.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return short.union(digests(decode(encode_long(docs, id_col, text_col, vocabulary, chunk, overlap), vocabulary)))

@@ -87,7 +87,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
+    return byte_bpe.document_digests(table(spark, sf_dir, "documents"))
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

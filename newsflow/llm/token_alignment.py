@@ -6,8 +6,7 @@ into groups; every token of A is linked with every token of B of its group.
 All texts of a batch are merged at once: one state vector holds, for every lane, the next token of A and of B and the
 bytes that each has covered; a step advances, in every lane, the side that is behind (both where they are level, which
 cuts a group and emits its links), and lanes that are done leave the vector.  A lane is a text, or a stretch of a long one
-between places where neither tokenizer can have a token across (a space between two letters or digits), so long texts
-don't run alone.  Words between such places are encoded once while they are remembered.
+between places where neither tokenizer can have a token across (before a single space), so long texts don't run alone.  Words between such places are encoded once while they are remembered.
 
 How many documents hold a pair of ids linked is counted over the whole corpus: each document's distinct pairs, partial
 sums in the tasks, sums in a shuffle.  The table of pairs is broadcast if it has at most ``max_broadcast_pairs`` rows, else
@@ -34,8 +33,11 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.common import map_batches, stored
 
-#: A space that no token of either tokenizer reaches over; checked for the vocabularies at hand by ``check_boundary``.
-_BOUNDARY = re.compile(r"(?<=[^\W_])(?= [^\W_])")
+#: Before a space between two characters that aren't white space: no token of either tokenizer reaches over it (pre-tokens
+#: hold no space but in front, and ``check_boundary`` looks at the pieces).
+_BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
+_JOINABLE = re.compile(r" \S(?:.*\S)?", re.S)
+_JOINED = 64
 LANE_CHARS = 512
 MAX_BROADCAST_PAIRS = 4_000_000
 _BATCH_CHARS, _BATCH_ROWS = 1 << 20, 1024
@@ -50,6 +52,11 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    count = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(count.sum())), count
+
+
 class TokenizerA:
     """Byte-level BPE of a tokenizer file; special tokens are plain text."""
 
@@ -64,9 +71,25 @@ class TokenizerA:
         self.token = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for token, i in vocabulary.items():
             self.token[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.size = np.array([len(t) for t in self.token], np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after another, and how many each has.
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        Units that begin with a space and end without are cut at boundaries, so many are encoded as one text and cut again.
+        """
+        if not all(map(_JOINABLE.fullmatch, units)):
+            return self._ids(units)
+        ids, _ = self._ids(["".join(units[k : k + _JOINED]) for k in range(0, len(units), _JOINED)])
+        covered = np.cumsum(self.size[ids])
+        end = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        at = np.searchsorted(covered, end)
+        if at[-1] >= len(covered) or (covered[at] != end).any():
+            return self._ids(units)
+        return ids, np.diff(at + 1, prepend=0)
 
 
 class TokenizerB:
@@ -81,9 +104,10 @@ class TokenizerB:
         for i in range(self.tokenizer.vocab_size()):
             piece = self.tokenizer.id_to_piece(i)
             self.token.append(bytes([int(piece[1:-1], 16)]) if self.tokenizer.is_byte(i) else piece.replace("▁", " ").encode())
+        self.size = np.array([len(t) for t in self.token], np.int64)
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return self.tokenizer.encode([u[1:] for u in units], num_threads=1)
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(self.tokenizer.encode([u[1:] for u in units], num_threads=1))
 
     def check_boundary(self) -> None:
         """No piece holds a space after another character, so none reaches over a boundary."""
@@ -92,40 +116,45 @@ class TokenizerB:
 
 
 class _Side:
-    """One tokenizer: ids and bytes of units, those of frequent units remembered as places in two growing arrays."""
+    """One tokenizer, and the ids of the units that it has seen."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.size = np.array([len(t) for t in tokenizer.token], np.int64)
+        self.size = tokenizer.size
         self.clear()
 
     def clear(self):
         self.known: dict[str, int] = {}  # unit -> number
-        self.ids: list[list[int]] = []
-        self.exact = np.empty(0, bool)
+        self.ids, self.count, self.exact = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def _exact(self, units, ids, count) -> np.ndarray:
+        """Which units' tokens give back their bytes."""
+        token = self.tokenizer.token.__getitem__
+        written = [u.encode() for u in units]
+        end = np.append(0, np.cumsum(count))
+        covered = np.append(0, np.cumsum(self.size[ids]))[end]
+        if np.array_equal(np.diff(covered), np.fromiter(map(len, written), np.int64, len(written))) and b"".join(map(token, ids.tolist())) == b"".join(written):
+            return np.ones(len(units), bool)
+        return np.array([b"".join(map(token, ids[s:e].tolist())) == w for w, s, e in zip(written, end.tolist(), end[1:].tolist(), strict=False)])
 
     def look_up(self, units: list[str]) -> np.ndarray:
         if len(self.known) > _MEMO:
             self.clear()
-        new = list(set(units).difference(self.known))
-        if new:
-            token = self.tokenizer.token.__getitem__
-            found = self.tokenizer.encode(new)
-            self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
-            self.ids += found
-            self.exact = np.append(self.exact, [b"".join(map(token, ids)) == u.encode() for u, ids in zip(new, found, strict=True)])
+        new = set(units).difference(self.known)
+        for some in ([u for u in new if _JOINABLE.fullmatch(u)], [u for u in new if not _JOINABLE.fullmatch(u)]):
+            if some:
+                ids, count = self.tokenizer.encode(some)
+                self.known.update(zip(some, range(len(self.count), len(self.count) + len(some)), strict=True))
+                self.ids, self.count = np.append(self.ids, ids), np.append(self.count, count)
+                self.exact = np.append(self.exact, self._exact(some, ids, count))
         return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
 
     def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units one after another, and how many each has."""
-        distinct, inverse = np.unique(numbers, return_inverse=True)
-        lists = [self.ids[k] for k in distinct.tolist()]
-        n = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
-        start = np.cumsum(n) - n
-        count = n[inverse]
-        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - start[inverse], count)
-        return flat[at], count
+        count = self.count[numbers]
+        start = (np.cumsum(self.count) - self.count)[numbers]
+        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - start, count)
+        return self.ids[at], count
 
 
 def lockstep(size_a: np.ndarray, start_a: np.ndarray, end_a: np.ndarray, size_b: np.ndarray, start_b: np.ndarray, end_b: np.ndarray):

@@ -55,8 +55,11 @@ def test_chunks_give_what_whole_texts_give(spark, reference, chunk, overlap):
     alphabet = ["the", " the", "'re", "'", "'ll", " ", "  ", "\n", " \n", "x" * 30, "y" * 90, "12", "漢字", "é", "　", ".", "...", "'s", "re"]
     rows = [(k, "".join(r.choice(alphabet) for _ in range(r.randint(0, 400)))) for k in range(60)]
     rows += [(60, " " * 500), (61, "a" * 700), (62, "'re" * 300), (63, "a b " * 200), (3, rows[3][1]), (3, rows[3][1])]
-    found = B.digests(B.decode(B.encode(docs(spark, rows), chunk=chunk, overlap=overlap)))
-    assert rows_of(found) == sorted((i, *expected(reference, t)) for i, t in rows)
+    want = sorted((i, *expected(reference, t)) for i, t in rows)
+    assert rows_of(B.document_digests(docs(spark, rows), chunk=chunk, overlap=overlap)) == want
+    if chunk < 300:  # copies of short texts are pieces of one document to a stream of all pieces
+        rows = dict(rows).items()
+        assert rows_of(B.digests(B.decode(B.encode(docs(spark, rows), chunk=chunk, overlap=overlap)))) == sorted((i, *expected(reference, t)) for i, t in rows)
 
 
 def test_long_texts_are_dealt_in_pieces(spark):
@@ -72,8 +75,8 @@ def test_table(spark, reference):
 
 def test_awkward_rows(spark, reference):
     rows = docs(spark, AWKWARD)
-    found = B.digests(B.decode(B.encode(rows, chunk=1000, overlap=100)))
+    found = B.document_digests(rows, chunk=1000, overlap=100)
     assert rows_of(found) == sorted((-1 if i is None else i, *expected(reference, t)) for i, t in AWKWARD)
-    assert B.digests(B.decode(B.encode(rows.where("false")))).count() == 0
+    assert B.document_digests(rows.where("false")).count() == 0
     with pytest.raises(ValueError):
-        B.encode(rows, chunk=10, overlap=11)
+        B.encode_long(rows, chunk=10, overlap=11)
