@@ -36,12 +36,11 @@ from newsflow.llm.common import map_batches, stored
 #: Before a space between two characters that aren't white space: no token of either tokenizer reaches over it (pre-tokens
 #: hold no space but in front, and ``check_boundary`` looks at the pieces).
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
-_JOINABLE = re.compile(r" \S(?:.*\S)?", re.S)
 _JOINED = 64
 LANE_CHARS = 512
 MAX_BROADCAST_PAIRS = 4_000_000
 _BATCH_CHARS, _BATCH_ROWS = 1 << 20, 1024
-_MEMO = 1 << 18
+_MEMO = 1 << 19
 _ID_BITS = 20
 
 
@@ -79,10 +78,8 @@ class TokenizerA:
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units one after another, and how many each has.
 
-        Units that begin with a space and end without are cut at boundaries, so many are encoded as one text and cut again.
+        Many units are encoded as one text and cut again; units that can't be cut there are encoded one by one.
         """
-        if not all(map(_JOINABLE.fullmatch, units)):
-            return self._ids(units)
         ids, _ = self._ids(["".join(units[k : k + _JOINED]) for k in range(0, len(units), _JOINED)])
         covered = np.cumsum(self.size[ids])
         end = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
@@ -116,7 +113,7 @@ class TokenizerB:
 
 
 class _Side:
-    """One tokenizer, and the ids of the units that it has seen."""
+    """One tokenizer, and the ids of the units that were seen, by their numbers."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
@@ -124,7 +121,6 @@ class _Side:
         self.clear()
 
     def clear(self):
-        self.known: dict[str, int] = {}  # unit -> number
         self.ids, self.count, self.exact = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
 
     def _exact(self, units, ids, count) -> np.ndarray:
@@ -137,17 +133,10 @@ class _Side:
             return np.ones(len(units), bool)
         return np.array([b"".join(map(token, ids[s:e].tolist())) == w for w, s, e in zip(written, end.tolist(), end[1:].tolist(), strict=False)])
 
-    def look_up(self, units: list[str]) -> np.ndarray:
-        if len(self.known) > _MEMO:
-            self.clear()
-        new = set(units).difference(self.known)
-        for some in ([u for u in new if _JOINABLE.fullmatch(u)], [u for u in new if not _JOINABLE.fullmatch(u)]):
-            if some:
-                ids, count = self.tokenizer.encode(some)
-                self.known.update(zip(some, range(len(self.count), len(self.count) + len(some)), strict=True))
-                self.ids, self.count = np.append(self.ids, ids), np.append(self.count, count)
-                self.exact = np.append(self.exact, self._exact(some, ids, count))
-        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+    def add(self, units: list[str]) -> None:
+        ids, count = self.tokenizer.encode(units)
+        self.ids, self.count = np.append(self.ids, ids), np.append(self.count, count)
+        self.exact = np.append(self.exact, self._exact(units, ids, count))
 
     def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units one after another, and how many each has."""
@@ -157,6 +146,11 @@ class _Side:
         return self.ids[at], count
 
 
+def _joinable(unit: str) -> bool:
+    """One space in front and none behind, so that the next unit begins at a boundary."""
+    return not (unit[-1].isspace() or unit[1:2].isspace())
+
+
 def lockstep(size_a: np.ndarray, start_a: np.ndarray, end_a: np.ndarray, size_b: np.ndarray, start_b: np.ndarray, end_b: np.ndarray):
     """Groups (a0, a1, b0, b1) of all lanes; lane k has tokens [start, end) of either side, and equal bytes on both.
 
@@ -220,6 +214,7 @@ class Aligner:
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None, lane_chars: int = LANE_CHARS):
         self.a, self.b = _Side(TokenizerA(path_a)), _Side(TokenizerB(path_b))
+        self.known: dict[str, int] = {}  # unit -> its number on both sides
         self.b.tokenizer.check_boundary()
         self.lane_chars = lane_chars
         n_a, n_b = len(self.a.size), len(self.b.size)
@@ -227,6 +222,20 @@ class Aligner:
             raise ValueError("a vocabulary has too many ids")
         self.written = [f"{i}{end}" for end in ",|" for i in range(n_a)] + [f"{i}{end}" for end in ",;" for i in range(n_b)]
 
+    def look_up(self, units: list[str]) -> np.ndarray:
+        """Numbers of units; new ones are encoded by both tokenizers."""
+        if len(self.known) > _MEMO:
+            self.known.clear()
+            self.a.clear()
+            self.b.clear()
+        new = set(units).difference(self.known)
+        for some in ([u for u in new if _joinable(u)], [u for u in new if not _joinable(u)]):
+            if some:
+                self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+                self.a.add(some)
+                self.b.add(some)
+        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+
     def align(self, texts: list[str | None]) -> list[dict]:
         """Per text n_a, n_b, n_groups, n_links, groups (text), pairs and their numbers of links."""
         none = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "pairs": np.empty(0, np.int64), "times": np.empty(0, np.int64)}
@@ -248,11 +257,11 @@ class Aligner:
             units += words
         if not units:
             return out
-        number_a, number_b = self.a.look_up(units), self.b.look_up(units)
-        exact = self.a.exact[number_a] & self.b.exact[number_b]
+        number = self.look_up(units)
+        exact = self.a.exact[number] & self.b.exact[number]
         good = np.logical_and.reduceat(exact, first_unit)
-        ids_a, count_a = self.a.tokens(number_a)
-        ids_b, count_b = self.b.tokens(number_b)
+        ids_a, count_a = self.a.tokens(number)
+        ids_b, count_b = self.b.tokens(number)
         place_a, place_b = np.append(0, np.cumsum(count_a)), np.append(0, np.cumsum(count_b))
         good_of = np.zeros(len(texts), bool)
         for i, first, last, ok in zip(where, first_unit, [*first_unit[1:], len(units)], good.tolist(), strict=True):
