@@ -3,14 +3,14 @@
 Each language has a variable-order byte context tree, its statistics frozen after training.  A symbol not seen in a
 context is reached by an escape (method C: probability ``distinct / (total + distinct)``) to the next shorter context,
 down to 1/256 for every byte.  A text's exact code length under each language's tree is the sum over all its bytes;
-the shortest wins.  For scoring, the tree of each language is compiled into an automaton over its contexts: from a
+the shortest wins.  For scoring, the tasks compile the tree of each language into an automaton over its contexts: from a
 context and a byte to the longest known context, and from a context and a byte to a code length.  That is the same
 arithmetic done beforehand, so the scores are exact and whole texts are scored at array speed.
 
 Training takes a bounded sample of labelled rows, a documented parameter: ``sample_rows`` rows a language at most, those
 with the smallest hash of id and text; whole texts, counted in the tasks and summed by Spark.  All contexts of the sample
-are kept, so the tree of a language doesn't depend on the others; what reaches the driver are the sample's counts, and the
-model grows with the number of languages.
+are kept, so the tree of a language doesn't depend on the others; what reaches the driver and is broadcast are the sample's
+sparse counts (a few bytes a count), and the model grows with the number of languages.
 
 Defined results: null text, and text without any letter, gives ``und`` with score 0; ties go to the smallest language
 code; without any labelled row every text is ``und``; repeated rows are scored alike; other columns aren't read.
@@ -19,11 +19,11 @@ code; without any labelled row every text is ``und``; repeated rows are scored a
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +47,19 @@ class Tree:
 
 @dataclass
 class PpmModel:
-    """Languages in order and their trees."""
+    """Languages in order and the counts of their contexts, sparse; the trees are compiled where texts are scored."""
 
     languages: list[str]
-    trees: list[Tree]
+    counts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # depth, context, symbol, n
     order: int
 
+    @cached_property
+    def trees(self) -> list[Tree]:
+        return [_compile_tree(*c, self.order) for c in self.counts]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "trees"}
+
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, where: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(lang, text): at most ``sample_rows`` labelled rows a language, by hash of id and text.
@@ -99,53 +106,61 @@ def train(sample: DataFrame, order: int = ORDER) -> PpmModel:
     rows = sample.select("lang", F.col("text").cast("binary").alias("text"))
     counts = (map_batches(rows, partial(_count_batches, order=order), "lang string, depth int, context long, symbol int, n long")
               .groupBy("lang", "depth", "context", "symbol").agg(F.sum("n").alias("n")))
-    return compile_model(counts.toArrow().to_pandas(), order)  # bounded by the sample
+    return compile_model(counts.toArrow(), order)  # bounded by the sample
 
 
-def compile_model(counts: pd.DataFrame, order: int) -> PpmModel:
-    """A tree for every language from (lang, depth, context, symbol, n)."""
-    by_lang = {lang: _compile_tree(c, order) for lang, c in counts.groupby("lang")}
-    return PpmModel(list(by_lang), list(by_lang.values()), order)  # grouped in order
+def compile_model(counts: pa.Table, order: int) -> PpmModel:
+    """The model of (lang, depth, context, symbol, n); counts stay sparse."""
+    table = counts if isinstance(counts, pa.Table) else pa.Table.from_pandas(counts)
+    languages = sorted(table.column("lang").unique().to_pylist())
+    kinds = {"depth": np.uint8, "context": np.uint64 if order > 4 else np.uint32, "symbol": np.uint8, "n": np.int64}
+    packed = []
+    for lang in languages:
+        own = table.filter(pc.equal(table.column("lang"), lang))
+        packed.append(tuple(own.column(c).to_numpy().astype(k) for c, k in kinds.items()))
+    return PpmModel(languages, packed, order)
 
 
-def _compile_tree(counts: pd.DataFrame, order: int) -> Tree:
-    seen = np.unique(counts["symbol"].to_numpy(np.int64))
+def _compile_tree(depth, context, symbol, n, order: int) -> Tree:
+    context, symbol = context.astype(np.int64), symbol.astype(np.int64)
+    seen = np.unique(symbol)
     symbols = np.full(256, len(seen), np.int32)  # a table has fewer than 2^31 cells, so numbers of cells fit 32 bits
     symbols[seen] = np.arange(len(seen))
     a = len(seen) + 1
-    known = {(0, 0): 0}
-    by_depth = {int(d): np.unique(g["context"].to_numpy(np.int64)) for d, g in counts.groupby("depth")}
-    suffix = [0]
+    # contexts of a depth in order, numbered after those of lower depths; only ones whose suffix and parent are known
+    known, first, suffix, parent = [np.zeros(1, np.int64)], [0], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
     for d in range(1, order + 1):
-        for c in by_depth.get(d, np.empty(0, np.int64)).tolist():
-            short = (d - 1, c & ((1 << 8 * (d - 1)) - 1))
-            if short in known and (d - 1, c >> 8) in known:
-                known[(d, c)] = len(known)
-                suffix.append(known[short])
-    suffix = np.array(suffix)
-    depth_of = np.array([d for d, _ in known])
-    rows = np.array([known.get(k, -1) for k in zip(counts["depth"].tolist(), counts["context"].tolist(), strict=True)], np.int64)
-    n, ok = np.zeros((len(known), a), np.float32), rows >= 0
-    n[rows[ok], symbols[counts["symbol"].to_numpy(np.int64)[ok]]] = counts["n"].to_numpy(np.float32)[ok]
-    total, kinds = n.sum(axis=1, keepdims=True, dtype=np.float64), (n > 0).sum(axis=1, keepdims=True)
-    p = np.full(n.shape, 1 / 256)
+        c = np.unique(context[depth == d])
+        short, whole = c & ((1 << 8 * (d - 1)) - 1), c >> 8
+        at = np.minimum(np.searchsorted(known[-1], np.stack([short, whole])), len(known[-1]) - 1)
+        ok = ((known[-1][at] == np.stack([short, whole])).all(axis=0) if len(known[-1]) else np.zeros(len(c), bool))
+        suffix.append(first[-1] + at[0][ok])
+        parent.append(first[-1] + at[1][ok])
+        first.append(first[-1] + len(known[-1]))
+        known.append(c[ok])
+    size = first[-1] + len(known[-1])
+    counts = np.zeros((size, a), np.float32)
+    for d in range(order + 1):
+        here = np.nonzero(depth == d)[0]
+        if len(known[d]):
+            at = np.minimum(np.searchsorted(known[d], context[here]), len(known[d]) - 1)
+            ok = known[d][at] == context[here]
+            counts[first[d] + at[ok], symbols[symbol[here[ok]]]] = n[here[ok]]
+    total, kinds = counts.sum(axis=1, keepdims=True, dtype=np.float64), (counts > 0).sum(axis=1, keepdims=True)
+    cost, step = np.empty((size, a), np.float32), np.zeros((size, a), np.int32)
+    below = np.full((1, a), 1 / 256)
     for d in range(order + 1):
-        at = np.nonzero(depth_of == d)[0]
-        below = p[suffix[at]] if d else p[at]
+        at = slice(first[d], first[d] + len(known[d]))
+        p = below[suffix[d] - (first[d - 1] if d else 0)]
         seen_here = np.maximum(total[at] + kinds[at], 1)
-        p[at] = np.where(kinds[at] == 0, below, np.where(n[at] > 0, n[at] / seen_here, kinds[at] / seen_here * below))
-    cost = (-np.log2(p)).astype(np.float32)
-    # by depth: a successor that isn't a known context is that of the suffix
-    step = np.zeros((len(known), a), np.int32)
-    children = {}
-    for (d, c), i in known.items():
+        p = np.where(kinds[at] == 0, p, np.where(counts[at] > 0, counts[at] / seen_here, kinds[at] / seen_here * p))
+        cost[at] = -np.log2(p)
+        below = p
+        # a successor that isn't a known context is that of the suffix
         if d:
-            children.setdefault(known[(d - 1, c >> 8)], []).append((symbols[c & 255], i))
-    for i in np.argsort(depth_of, kind="stable").tolist():
-        if i:
-            step[i] = step[suffix[i]]
-        for s, child in children.get(i, []):
-            step[i, s] = child
+            step[at] = step[suffix[d]]
+        if d < order:
+            step[parent[d + 1], symbols[known[d + 1] & 255]] = first[d + 1] + np.arange(len(known[d + 1]))
     return Tree(symbols, step, cost)
 
 
