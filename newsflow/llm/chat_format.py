@@ -12,7 +12,8 @@ length is never held in one place; consumers stream the sorted segments.
 
 Defined results: null text is empty; a null role is the empty role; rows of a conversation are ordered by turn (nulls
 first), then role, then text, so ties and repeated rows have a fixed order; rows with a null conversation id form one
-conversation; unknown part types raise; other columns are ignored.
+conversation; a part of an unknown type becomes a placeholder that names the type and expands to no tokens; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +41,13 @@ def escape(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("["), F.lit("&#91;"))
 
 
+def escape_role(c: Column) -> Column:
+    """Roles stand before the mark ``|>``, so their bars are escaped too."""
+    return F.replace(escape(c), F.lit("|"), F.lit("&#124;"))
+
+
 def unescape(s: str) -> str:
-    return s.replace("&#91;", "[").replace("&lt;", "<").replace("&amp;", "&")
+    return s.replace("&#124;", "|").replace("&#91;", "[").replace("&lt;", "<").replace("&amp;", "&")
 
 
 def text_part(text: Column) -> Column:
@@ -61,7 +67,7 @@ def expanded_tokens(p: Column) -> Column:
 def _visit(p: Column) -> Column:
     placeholder = F.concat(F.lit("<"), p["type"], F.lit("|"), escape(F.coalesce(p["ref"], F.lit(""))), F.lit("|"), expanded_tokens(p).cast("string"), F.lit(">"))
     return (F.when(p["type"] == "text", escape(F.coalesce(p["text"], F.lit("")))).when(p["type"].isin("image", "audio", "document"), placeholder)
-            .otherwise(F.raise_error(F.concat(F.lit("unknown content part: "), F.coalesce(p["type"], F.lit("null")))).cast("string")))
+            .otherwise(F.concat(F.lit("<unknown|"), escape(F.coalesce(p["type"], F.lit(""))), F.lit("|"), escape(F.coalesce(p["ref"], F.lit(""))), F.lit(">"))))
 
 
 def format_messages(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts") -> DataFrame:
@@ -73,7 +79,7 @@ def format_messages(messages: DataFrame, conv: str = "conv_id", turn: str = "tur
     name = F.coalesce(F.col(role).cast("string"), F.lit(""))
     body = F.array_join(F.transform(p, _visit), "")
     rows = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), name.alias("role"), p.alias("parts"), body.alias("body"),
-                           F.concat(F.lit(TURN), escape(name), F.lit(MIDDLE)).alias("head"))
+                           F.concat(F.lit(TURN), escape_role(name), F.lit(MIDDLE)).alias("head"))
     loss = F.col("role") == "assistant"
     placed = F.filter(F.transform("parts", lambda x, i: F.struct(x["type"].alias("kind"), x["ref"].alias("ref"), i.cast("long").alias("position"), expanded_tokens(x).alias("tokens"))), lambda x: x["kind"] != "text")
     return rows.select("conv", "turn", "role", F.concat("head", "body", F.lit(END)).alias("segment"),

@@ -223,10 +223,11 @@ def predict(docs: DataFrame, model: PpmModel, text_col: str = "text", keep: list
     """The ``keep`` columns and __lang_pred, __lang_score for every row; the score is the posterior of the language."""
     keep = [F.col(f"`{c}`") for c in docs.columns] if keep is None else keep
     text = F.col(text_col).cast("string")
-    rows = docs.select(*keep, text.cast("binary").alias("__bytes"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    kept = docs.select(*keep)
+    rows = docs.select(*[c.alias(f"kept{i}") for i, c in enumerate(keep)], text.cast("binary").alias("bytes"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
-    return map_batches(rows, partial(_score_batches, shared=shared), f"{fields}, __lang_pred string, __lang_score double")
+    return map_batches(rows, partial(_score_batches, shared=shared), f"{fields}, __lang_pred string, __lang_score double").toDF(*kept.columns, "__lang_pred", "__lang_score")
 
 
 def learnable(id_col: str = "doc_id") -> Column:

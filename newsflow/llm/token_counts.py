@@ -132,7 +132,8 @@ def _build_batches(batches, text, leaf_chars, vocabulary):
 
 
 def build_trees(docs: DataFrame, text_col: str = "text", leaf_chars: int = LEAF_CHARS, vocabulary: str | None = None) -> DataFrame:
-    """Adds leaf_chars, leaf_tokens (the leaves of the trees, in order) and n_tokens to the rows."""
+    """Adds leaf_chars, leaf_tokens (the leaves of the trees, in order) and n_tokens to the rows, in place of columns so named."""
+    docs = docs.drop(*[c for c in ("leaf_chars", "leaf_tokens", "n_tokens") if c in docs.columns and c != text_col])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return map_batches(docs, partial(_build_batches, text=docs.columns.index(text_col), leaf_chars=leaf_chars, vocabulary=vocabulary),
                            f"{fields}, leaf_chars array<int>, leaf_tokens array<int>, n_tokens long")

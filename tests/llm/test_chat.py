@@ -1,6 +1,7 @@
 import hashlib
 
-import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from newsflow.llm import chat_format as C
@@ -45,11 +46,27 @@ def test_typed_parts(spark):
     assert got[0].segment == "<turn|user|>see <image|a&lt;1>.png|6> and <audio|b.wav|63><document|c.pdf|1536><end>"
     assert [(a.kind, a.ref, a.position, a.tokens) for a in got[0].attachments] == [("image", "a<1>.png", 1, 6), ("audio", "b.wav", 3, 63), ("document", "c.pdf", 4, 1536)]
     assert got[0].loss_start is None and got[1].segment[got[1].loss_start : got[1].loss_end] == "ok"
-    bad = spark.createDataFrame([(1, 0, "user", [part("video")])], schema)
-    with pytest.raises(Exception, match="unknown content part"):
-        C.format_messages(bad).collect()
+    odd = spark.createDataFrame([(1, 0, "user", [part("vid<eo", "t", "r[1]"), part(None)])], schema)
+    assert C.format_messages(odd).first().segment == "<turn|user|><unknown|vid&lt;eo|r&#91;1]><unknown||><end>"
 
 
 def test_empty_table(spark):
     none = frame(spark, ROWS).where("false").withColumn("parts", C.text_part(F.col("text")))
     assert C.digests(C.format_messages(none)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ax|>&<[#124;amp\n", max_size=20), st.text(alphabet="ax|>&<[#124;amp\n", max_size=20))
+def test_roles_and_texts_are_read_back(role, text):
+    """The escapes as plain string replacement, for any role and text."""
+    def escaped(s):
+        return s.replace("&", "&amp;").replace("<", "&lt;").replace("[", "&#91;")
+
+    segment = C.TURN + escaped(role).replace("|", "&#124;") + C.MIDDLE + escaped(text) + C.END
+    assert C.parse_segment(segment) == (role, text)
+
+
+def test_roles_with_marks(spark):
+    rows = [(1, 0, "x|>y", "hello"), (1, 1, "a|b&#124;<|>", "|>"), (2, 0, "|>", "z")]
+    segments = C.format_messages(frame(spark, rows).withColumn("parts", C.text_part(F.col("text")))).collect()
+    assert sorted(C.parse_segment(r.segment) for r in segments) == sorted((r[2], r[3]) for r in rows)
