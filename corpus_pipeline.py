@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import decontaminate, language_id, mixing, pii, simhash_dedup
@@ -18,13 +18,18 @@ from newsflow.llm.common import ensure_checkpoint_dir, table
 SHINGLE, MAX_BITS = 3, 2
 
 
+def _row(docs: DataFrame) -> Column:
+    """All columns as one, so that none can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any text in a known language go; without any labelled one, those without letters."""
     model = language_id.fit(docs)
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = language_id.predict(docs, model)
-    return found.where(F.col("__lang_pred") != language_id.UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = language_id.predict(docs, model, keep=[_row(docs)])
+    return found.where(F.col("__lang_pred") != language_id.UNDETERMINED).select("__row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +44,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; n_chars follows the text."""
-    found = pii.find_pii(docs, [F.col(f"`{c}`") for c in docs.columns])
-    text = F.when(F.col("text").isNotNull(), pii.masked(F.col("text"), F.col("spans")))
-    out = found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = pii.find_pii(docs, [_row(docs)])
+    text = F.col("__row.text")
+    masked = F.when(text.isNotNull(), pii.masked(text.cast("string"), F.col("spans")))
+    out = found.select(*[masked.alias(c) if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
