@@ -16,13 +16,15 @@ Semantics
 Plan
 ----
 The phrase table is a dimension table.  Its size is checked; up to
-``MAX_INLINE_PHRASES`` entries it is compiled into the projection itself –
+``AUTO_INLINE_PHRASES`` entries it is compiled into the projection itself –
 per tag one short-circuiting ``OR`` of ``contains`` tests, all inside
-whole-stage codegen – so tagging is a narrow map over the articles: no
-shuffle, no join, partitioning preserved.  Larger dictionaries use an exact
-rarest-k-gram prefilter join (``strategy="kgram"``); a size-checked broadcast
-nested-loop join (``strategy="broadcast"``) is available in between.  The
-join-based strategies aggregate hits per distinct text and join them back by its hash.
+whole-stage codegen.  Beyond that, and up to ``MAX_AUTOMATON_BYTES`` of phrases,
+the dictionary becomes one multi-pattern automaton that scans each text once
+(``operators.phrase_automaton``); only the text goes to Python, in Arrow batches.
+Either way tagging is a narrow map over the articles: no shuffle, no join,
+partitioning preserved.  Larger dictionaries use an exact rarest-k-gram
+prefilter join (``strategy="kgram"``), which aggregates hits per distinct text
+and joins them back by its hash.  All give the same rows.
 """
 
 from __future__ import annotations
@@ -30,18 +32,21 @@ from __future__ import annotations
 import weakref
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.operators.joins import broadcast_if_small
 from newsflow.operators.partitioning import posexplode_rows
+from newsflow.operators.phrase_automaton import PhraseMatcher
 from newsflow.schemas import ALL_CATEGORIES, SCORED_CATEGORIES
+from newsflow.session import ship_package
 
-# Inline matching costs (texts × phrases); measured at sf0.1 it beats the k-gram
-# join up to ~500 phrases (2.6 s vs 4.2 s) and loses from ~1 000 (6.5 s vs 3.6 s);
-# far larger inline expressions also strain the driver when compiled.
+# Inline matching costs (texts × phrases), the automaton costs texts only; far
+# larger inline expressions also strain the driver when compiled.
+AUTO_INLINE_PHRASES = 60
 MAX_INLINE_PHRASES = 600
-MAX_BROADCAST_PHRASES = 200_000
+MAX_AUTOMATON_BYTES = 32 << 20
 MAX_VOCABULARY = 200_000
 
 
@@ -144,7 +149,7 @@ def _collect_dictionary(ref_tags: DataFrame, newsroom_only: bool) -> dict[str, l
     seq = F.col("ref_seq") if "ref_seq" in r.columns else F.lit(0)
     rows = r.select("tag_cat", "tag", F.lower("phrase").alias("phrase"), seq.alias("seq")).limit(MAX_INLINE_PHRASES + 1).collect()
     if len(rows) > MAX_INLINE_PHRASES:
-        raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases; use strategy='broadcast'")
+        raise ValueError(f"more than {MAX_INLINE_PHRASES} phrases; use strategy='automaton' or 'kgram'")
     last: dict[tuple[str, str], tuple] = {}
     for row in rows:
         key = (row.tag_cat, row.phrase)
@@ -187,31 +192,50 @@ def tag_articles(
 ) -> DataFrame:
     """Append the fifteen category columns, ``tag_concat`` and ``tag_score``.
 
-    ``strategy``: ``inline`` (chosen by ``auto`` when the dictionary has at
-    most ``MAX_INLINE_PHRASES`` entries), ``kgram`` (exact prefilter join,
-    chosen beyond) or ``broadcast`` (nested-loop join, bounded dictionaries).
-    All give the same rows: the join-based ones find the tags of each distinct
-    text and join them back by a hash of the text, so no row id is needed and
-    copies of a text are matched once.  Null phrases match nothing.
+    ``strategy``: ``inline`` (chosen by ``auto`` up to ``AUTO_INLINE_PHRASES``
+    entries), ``automaton`` (chosen up to ``MAX_AUTOMATON_BYTES`` of phrases) or
+    ``kgram`` (exact prefilter join, chosen beyond).  All give the same rows:
+    ``kgram`` finds the tags of each distinct text and joins them back by a hash
+    of the text, so no row id is needed.  Null phrases match nothing.
     """
     cap_col = char_limit(with_description_fallback(articles)) if cap is None else (F.lit(cap) if isinstance(cap, int) else cap)
     arts = with_description_fallback(articles)
     desc_match = F.lower(F.substring(F.col("description"), F.lit(1), cap_col))
-    if strategy in ("auto", "inline"):
-        try:
-            by_cat = inline_dictionary(ref_tags, newsroom_only)
-        except ValueError:
-            if strategy == "inline":
-                raise
-            strategy = "kgram"
-        else:
-            return tag_columns(arts, desc_match, by_cat)
+    if strategy not in ("auto", "inline", "automaton", "kgram"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "auto":
+        strategy = _strategy_for(ref_tags, newsroom_only)
+    if strategy == "inline":
+        return tag_columns(arts, desc_match, inline_dictionary(ref_tags, newsroom_only))
     dictionary = prepare_dictionary(ref_tags, newsroom_only)
-    if strategy == "broadcast":
-        return _finish(_join_back(arts, _hits_by_broadcast(_distinct_texts(arts, desc_match), dictionary), desc_match))
-    if strategy == "kgram":
-        return _finish(_join_back(arts, _hits_by_kgram(_distinct_texts(arts, desc_match), dictionary, kgram), desc_match))
-    raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "automaton":
+        return _finish(_automaton_columns(arts, desc_match, dictionary))
+    return _finish(_join_back(arts, _hits_by_kgram(_distinct_texts(arts, desc_match), dictionary, kgram), desc_match))
+
+
+def _strategy_for(ref_tags: DataFrame, newsroom_only: bool) -> str:
+    """The plan for a dictionary, by its number of entries and their bytes (one aggregated row)."""
+    r = ref_tags.where(F.col("phrase").isNotNull())
+    r = r.where(F.col("newsroom") == F.lit("Yes")) if newsroom_only else r
+    size = r.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length(F.coalesce("tag", F.lit(""))) + 64), F.lit(0)).alias("b")).first()
+    if size.n <= min(AUTO_INLINE_PHRASES, MAX_INLINE_PHRASES):
+        return "inline"
+    return "automaton" if size.b <= MAX_AUTOMATON_BYTES else "kgram"
+
+
+def _automaton_columns(arts: DataFrame, desc_match: Column, dictionary: DataFrame) -> DataFrame:
+    """The category columns by one scan of each text; the dictionary's size was checked, it travels in a broadcast."""
+    ship_package(arts.sparkSession)
+    entries = [(r.tag_cat, r.phrase, r.tag) for r in dictionary.where(F.col("tag").isNotNull()).collect()]
+    shared = arts.sparkSession.sparkContext.broadcast(PhraseMatcher(entries, [c for c, _ in ALL_CATEGORIES]))
+    fields = ", ".join(f"c{k} string" for k in range(len(ALL_CATEGORIES)))
+
+    @F.arrow_udf(returnType=f"struct<{fields}>")
+    def cells(texts: pa.Array) -> pa.Array:
+        return shared.value.cells(texts)
+
+    found = arts.withColumn("_cells", cells(desc_match))
+    return found.select(*[F.col(f"`{c}`") for c in arts.columns], *[F.col(f"_cells.c{k}").alias(col) for k, (_, col) in enumerate(ALL_CATEGORIES)])
 
 
 def _text_key(desc_match: Column) -> Column:
@@ -223,15 +247,6 @@ def _distinct_texts(arts: DataFrame, desc_match: Column) -> DataFrame:
     return arts.select(_text_key(desc_match).alias("_id"), desc_match.alias("_dm")).where(F.col("_dm").isNotNull()).distinct()
 
 
-def _hits_by_broadcast(keys: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(_id, tag_cat, tag) hits from a nested-loop join against a size-checked broadcast dictionary."""
-    n = dictionary.limit(MAX_BROADCAST_PHRASES + 1).count()
-    if n > MAX_BROADCAST_PHRASES:
-        raise ValueError(f"more than {MAX_BROADCAST_PHRASES} phrases; use strategy='kgram'")
-    hits = keys.join(F.broadcast(dictionary), F.col("_dm").contains(F.col("phrase")), "inner")
-    return hits.select("_id", "tag_cat", "tag")
-
-
 def _hits_by_kgram(keys: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
     """Exact hits for dictionaries of any size: rarest-k-gram prefilter equi-join, then ``contains``.
 

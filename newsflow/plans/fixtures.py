@@ -69,7 +69,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread=True)
     title = "substring(split(text, '\\n')[0], 1, 120)"
     return d.selectExpr(
         "doc_id AS id",

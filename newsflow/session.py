@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -47,3 +49,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors' Python, once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_newsflow_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    if top.is_dir():  # otherwise it came from an archive already
+        archive = os.path.join(tempfile.mkdtemp(prefix="newsflow-py-"), "newsflow_modules.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(top.rglob("*.py")):
+                z.write(p, p.relative_to(top.parent))
+        sc.addPyFile(archive)
+    sc._newsflow_shipped = True

@@ -45,7 +45,7 @@ def test_strategies_agree(spark):
     arts = spark.createDataFrame([(1, "t", "abcd", "s"), (2, "t", "zz", "s"), (3, "t", "cd b", None)], ART)
     cols = tag_articles(arts, ref).columns
     a = sorted(map(tuple, tag_articles(arts, ref, strategy="inline").collect()))
-    b = sorted(map(tuple, tag_articles(arts, ref, strategy="broadcast").select(*cols).collect()))
+    b = sorted(map(tuple, tag_articles(arts, ref, strategy="automaton").select(*cols).collect()))
     c = sorted(map(tuple, tag_articles(arts, ref, strategy="kgram", kgram=2).select(*cols).collect()))
     assert a == b == c
 
