@@ -19,6 +19,7 @@ from newsflow.operators.dedup import keep_first
 from newsflow.operators.load import new_rows
 from newsflow.operators.tagging import char_limit, tag_articles, with_description_fallback
 from newsflow.operators.tags_long import tag_transform
+from newsflow.operators.versioned import VersionedTable
 from newsflow.schemas import ARTICLE, ARTICLE_COLUMNS
 
 
@@ -81,6 +82,14 @@ def compile_new_articles(
     return clean_articles(tagged, keep=keep, excluded_sources=excluded_sources, dedup=False).drop("_raw_title")
 
 
+def write_back_profiles(table: VersionedTable, rollup: DataFrame) -> int:
+    """Merge (content_id, profiles) into the table of the contents' profiles: one version, touched buckets only."""
+    rows = rollup.select(F.col("content_id").alias(table.key), "profiles")
+    if not table.versions():
+        return table.overwrite(rows)
+    return table.upsert(rows)
+
+
 def run_daily(
     incoming: DataFrame,
     content_path: str,
@@ -90,6 +99,7 @@ def run_daily(
     profiles: DataFrame,
     order: list[str | Column],
     excluded_programmes: Sequence[str] = (),
+    profile_table: VersionedTable | None = None,
 ) -> DailyResult:
     """The daily job with its stage boundaries written out.
 
@@ -100,7 +110,10 @@ def run_daily(
     3. content tags and programme updates are derived for every tagged article
        of the content table that has no content tags yet (an anti join on ids),
        and appended / returned.  A run that stopped after step 2 is therefore
-       made up for by the next one.
+       made up for by the next one;
+    4. with a ``profile_table`` the programme roll-up is merged into it by id
+       before the content tags are appended, so no day's updates are lost: a
+       run that stopped in between repeats a merge that changes nothing.
     Each write is a whole-stage action on a deterministic input, so a lost
     executor only recomputes its tasks.
     """
@@ -113,5 +126,7 @@ def run_daily(
     staged.write.mode("append").parquet(content_path)
     tag_rows, rollup = tag_transform(spark.read.parquet(content_path), stored_tags, ref_tags, profiles, excluded_programmes)
     rollup.write.mode("overwrite").parquet(f"{staging_path}-profiles")  # before the tags: they decide what is new
+    if profile_table is not None:
+        write_back_profiles(profile_table, spark.read.parquet(f"{staging_path}-profiles"))
     tag_rows.write.mode("append").parquet(content_tags_path)
     return DailyResult(spark.read.parquet(staging_path), spark.read.parquet(content_tags_path), spark.read.parquet(f"{staging_path}-profiles"))
