@@ -159,6 +159,44 @@ def q_article_cards(spark, sf_dir):
     return H.article_cards(cards.select("page_id", html.alias("html")))
 
 
+# ---------------------------------------------------------------- teasers by the shipped classes
+
+_TEASER_TITLE = f"""CASE doc_id % 11 WHEN 0 THEN 'FT Crossword ' || {_LINE} WHEN 1 THEN 'Letter: ' || {_LINE} WHEN 2 THEN ' Premium content'
+  WHEN 3 THEN ' Premium Content' ELSE {_LINE} END"""
+
+
+@query(
+    "html_teasers_by_class",
+    f"""WITH t AS (
+  SELECT CAST(floor(doc_id / 4) AS BIGINT) AS page_id, doc_id, {_TEASER_TITLE} AS title,
+         CASE WHEN doc_id % 7 = 0 THEN 'A Quiz on ' || {_LINE} ELSE text END AS standfirst FROM documents WHERE doc_id % 9 <> 4),
+p AS (SELECT page_id, list(title ORDER BY doc_id) AS h, list(standfirst ORDER BY doc_id) FILTER (WHERE doc_id % 13 <> 5) AS s FROM t GROUP BY page_id),
+z AS (SELECT page_id, i AS item_pos, h[i] AS title, s[i] AS description FROM p, range(1, len(h) + 1) AS r(i)),
+b AS (SELECT page_id, item_pos, nullif(CASE WHEN title IN (' Premium content', ' Premium Content') THEN '' ELSE title END, '') AS title,
+             nullif(description, '') AS description FROM z),
+k AS (SELECT * FROM b WHERE title IS NOT NULL AND NOT (contains(title, 'FT Crossword') OR contains(title, 'Quiz')
+        OR coalesce(contains(description, 'FT Crossword') OR contains(description, 'Quiz'), false))),
+f AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id, item_pos) AS rn FROM k)
+SELECT title, description, DATE '{fx.AS_OF}' AS pubDate, 'Financial Times' AS source, 'https://www.ft.com/news-feed' AS url
+FROM f WHERE rn = 1 AND NOT contains(title, 'Letter: ')""",
+)
+def q_html_teasers_by_class(spark, sf_dir):
+    """Four documents a page, some inside a live block that goes, some without a standfirst, so that later ones move up."""
+    doc = F.col("doc_id")
+    line = _xml(F.get(F.split("text", "\n"), 0))
+    kind = doc % 11
+    title = (F.when(kind == 0, F.concat(F.lit("FT Crossword "), line)).when(kind == 1, F.concat(F.lit("<b>Letter</b>: "), line))
+             .when(kind == 2, F.lit(" Premium content")).when(kind == 3, F.lit(" <i>Premium</i> Content")).otherwise(line))
+    stand = F.when(doc % 7 == 0, F.concat(F.lit("A <em>Quiz</em> on "), line)).otherwise(_xml(F.col("text")))
+    teaser = F.concat(F.lit('<div class="o-teaser"><div class="x o-teaser__heading"><a href="#"><div>'), title, F.lit("</div></a></div>"),
+                      F.when(doc % 13 == 5, F.lit("")).otherwise(F.concat(F.lit("<p class='o-teaser__standfirst'><span>"), stand, F.lit("</span></p>"))), F.lit("</div>"))
+    live = F.when(doc % 9 == 4, F.concat(F.lit('<div class="o-teaser--live-blog-package"><div>Live</div>'), teaser, F.lit("</div>"))).otherwise(teaser)
+    docs = fx.table(spark, sf_dir, "documents", spread=True).select("doc_id", F.floor(doc / 4).alias("page_id"), live.alias("t"))
+    pages = docs.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("doc_id", "t"))).alias("c"))  # at most four a page
+    html = F.concat(F.lit("<html><br>"), F.array_join(F.transform("c", lambda x: x["t"]), "<hr>"), F.lit("</html>"))
+    return H.teasers(pages.select("page_id", html.alias("html")), fx.AS_OF)
+
+
 # ---------------------------------------------------------------- keyword predicate
 
 KEYWORDS = ["Tionaux", "moron", "query"]

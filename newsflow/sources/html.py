@@ -1,12 +1,9 @@
 """HTML extraction over a ``pages(page_id, url, html)`` table.
 
-A page is split in front of every ``<`` into pieces, each a tag and the text
-after it.  An element runs from its opening tag to the piece where the tags of
-its name balance, however deep they are nested, or to the end of the page if
-they never do.  Patterns use ``[^<]*`` / ``[^"]*`` classes rather than ``.`` so
-that Java and RE2 agree on pages containing line breaks.  Extraction is per
-page (narrow); positional pairing happens inside each page with ``arrays_zip``
-(Q15).
+Elements are found by class in one pass over a page (``html_tree``).  Patterns
+use ``[^<]*`` / ``[^"]*`` classes rather than ``.`` so that Java and RE2 agree on
+pages containing line breaks.  Extraction is per page (narrow); positional
+pairing happens inside each page with ``arrays_zip`` (Q15).
 """
 
 from __future__ import annotations
@@ -21,15 +18,13 @@ from newsflow.functions import dates as D
 from newsflow.functions import text as X
 from newsflow.operators.dedup import keep_first
 from newsflow.operators.partitioning import posexplode_rows
+from newsflow.sources.html_tree import elements_of
 
 HREF_PATTERN = r'<a[^>]*href="([^"]*)"'
 TAG_PATTERN = r"<[^>]+>"
 # The HTML entities decoded in extracted text.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
-# Elements without an end tag.
-VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
-
 # Teaser page (class names, filters, constants).
 TEASER_HEADING = "o-teaser__heading"
 TEASER_STANDFIRST = "o-teaser__standfirst"
@@ -42,65 +37,12 @@ TEASER_URL = "https://www.ft.com/news-feed"
 
 # Search-result card page classes.
 # a card runs from its marker class to the next card's marker (or the page end)
-CARD_BLOCK = r'(?s)class="SoaBEf"((?:(?!class="SoaBEf").)*)'
+CARD_MARKER = 'class="SoaBEf"'
 ARTICLE_CARD = "card_gallery"
 ARTICLE_CARD_FIELDS = {"title": "article-card__title", "description": "article-card__excerpt"}
 CARD_FIELDS = {"title": "MBeuO", "snippet": "GI74Re", "date": "LfVVr", "source": "NUnG9d"}
 
 
-def pieces(html: Column) -> Column:
-    """The page split in front of every ``<``: (s, name, step) with step 1 for an opening and -1 for a closing tag.
-
-    Make it a column of its own before passing it on, so that a page is split once.
-    """
-
-    def piece(s: Column) -> Column:
-        name = F.lower(F.regexp_extract(s, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
-        alone = (name == "") | name.isin(VOID) | s.rlike(r"^<[^>]*/>")
-        return F.struct(s.alias("s"), name.alias("name"), F.when(alone, 0).when(s.startswith("</"), -1).otherwise(1).alias("step"))
-
-    return F.transform(F.split(html, "(?=<)"), piece)
-
-
-def spans(p: Column, class_name: str) -> Column:
-    """(start, end) of every element with the class token: the pieces of its opening and its closing tag."""
-    token = rf"""^<[^>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?{re.escape(class_name)}(?:\s[^"'>]*)?["']"""
-    opening = F.transform(p, lambda x, k: F.when((x["step"] == 1) & x["s"].rlike(token), k))
-
-    def end(start: Column) -> Column:
-        name = F.get(p, start)["name"]
-        zero = F.struct(F.lit(0).alias("depth"), start.alias("at"), F.lit(-1).alias("end"))
-
-        def step(a: Column, x: Column) -> Column:
-            depth = F.when(x["name"] == name, a["depth"] + x["step"]).otherwise(a["depth"])
-            found = F.when((a["end"] < 0) & (depth == 0), a["at"]).otherwise(a["end"])
-            return F.struct(depth.alias("depth"), (a["at"] + 1).alias("at"), found.alias("end"))
-
-        return F.aggregate(F.slice(p, start + 1, F.size(p)), zero, step, lambda a: F.when(a["end"] < 0, a["at"]).otherwise(a["end"]))
-
-    return F.transform(F.array_compact(opening), lambda start: F.struct(start.alias("start"), end(start).alias("end")))
-
-
-def elements(p: Column, class_name: str) -> Column:
-    """The inner HTML of every element with the class token, in page order."""
-
-    def inner(e: Column) -> Column:
-        run = F.slice(p, e["start"] + 1, e["end"] - e["start"])
-        return F.regexp_replace(F.array_join(F.transform(run, lambda x: x["s"]), ""), "^<[^>]*>", "")
-
-    return F.transform(spans(p, class_name), inner)
-
-
-def without(p: Column, cut: Column) -> Column:
-    """The pieces outside the given spans; the text behind a span stays."""
-
-    def last(x: Column, k: Column) -> Column:
-        rest = F.struct(F.regexp_replace(x["s"], "^<[^>]*>", "").alias("s"), F.lit("").alias("name"), F.lit(0).alias("step"))
-        return F.when(F.exists(cut, lambda e: e["end"] == k), rest).otherwise(x)
-
-    return F.filter(F.transform(p, last), lambda x, k: ~F.exists(cut, lambda e: (k >= e["start"]) & (k < e["end"])))
-
-
 def text_of(col: Column) -> Column:
     """``get_text()``: drop tags, decode common entities."""
     out = F.regexp_replace(col, TAG_PATTERN, "")
@@ -127,10 +69,9 @@ def zipped_extract(
 
 def zipped_elements(pages: DataFrame, first_class: str, second_class: str, drop_class: str | None = None) -> DataFrame:
     """(page_id, item_pos, first, second): the elements of two classes paired by position per page."""
-    df = pages.select("page_id", pieces(F.col("html")).alias("_p"))
-    if drop_class:
-        df = df.withColumn("_cut", spans(F.col("_p"), drop_class)).select("page_id", without(F.col("_p"), F.col("_cut")).alias("_p"))
-    return _paired(df, F.arrays_zip(elements(F.col("_p"), first_class).alias("first"), elements(F.col("_p"), second_class).alias("second")))
+    found = elements_of(pages.sparkSession, F.col("html"), [first_class, second_class], drop_class)
+    df = pages.select("page_id", found.alias("_e"))
+    return _paired(df, F.arrays_zip(F.col("_e.c0").alias("first"), F.col("_e.c1").alias("second")))
 
 
 def _paired(pages: DataFrame, pairs: Column) -> DataFrame:
@@ -169,11 +110,14 @@ def teasers(
     )
 
 
-def result_cards(pages: DataFrame, as_of: str, block: str = CARD_BLOCK, fields: dict | None = None) -> DataFrame:
+def result_cards(pages: DataFrame, as_of: str, marker: str = CARD_MARKER, fields: dict | None = None) -> DataFrame:
     """Search-result pages → one article per card; dates like '2 hours ago' resolved at ``as_of``."""
-    cards = posexplode_rows(pages, F.regexp_extract_all("html", F.lit(block), 1), ["page_id"], "card_pos", "card")
-    cards = cards.select("page_id", "card_pos", X.regexp_extract_or_null(F.col("card"), HREF_PATTERN).alias("link"), pieces(F.col("card")).alias("_p"))
-    texts = [text_of(F.get(elements(F.col("_p"), c), F.lit(0))).alias(k) for k, c in (fields or CARD_FIELDS).items()]
+    blocks = F.split("html", re.escape(marker))
+    cards = posexplode_rows(pages, F.slice(blocks, 2, F.size(blocks)), ["page_id"], "card_pos", "card")
+    fields = fields or CARD_FIELDS
+    found = elements_of(pages.sparkSession, F.col("card"), list(fields.values()))
+    cards = cards.select("page_id", "card_pos", X.regexp_extract_or_null(F.col("card"), HREF_PATTERN).alias("link"), found.alias("_e"))
+    texts = [text_of(F.get(F.col(f"_e.c{k}"), F.lit(0))).alias(name) for k, name in enumerate(fields)]
     df = cards.select("page_id", "card_pos", "link", *texts).select(
         "page_id",
         "card_pos",
@@ -188,7 +132,9 @@ def result_cards(pages: DataFrame, as_of: str, block: str = CARD_BLOCK, fields:
 
 def article_cards(pages: DataFrame, card: str = ARTICLE_CARD, fields: dict | None = None) -> DataFrame:
     """(page_id, card_pos, title, description): the stripped text of the first element of each class in every card."""
-    split = pages.select("page_id", pieces(F.col("html")).alias("_p"))
-    cards = posexplode_rows(split, elements(F.col("_p"), card), ["page_id"], "card_pos", "card").select("page_id", "card_pos", pieces(F.col("card")).alias("_c"))
-    texts = [X.strip(text_of(F.get(elements(F.col("_c"), c), F.lit(0)))).alias(k) for k, c in (fields or ARTICLE_CARD_FIELDS).items()]
-    return cards.select("page_id", "card_pos", *texts)
+    fields = fields or ARTICLE_CARD_FIELDS
+    found = pages.select("page_id", elements_of(pages.sparkSession, F.col("html"), [card]).alias("_e"))
+    cards = posexplode_rows(found, F.col("_e.c0"), ["page_id"], "card_pos", "card")
+    parts = cards.select("page_id", "card_pos", elements_of(pages.sparkSession, F.col("card"), list(fields.values())).alias("_e"))
+    texts = [X.strip(text_of(F.get(F.col(f"_e.c{k}"), F.lit(0)))).alias(name) for k, name in enumerate(fields)]
+    return parts.select("page_id", "card_pos", *texts)
