@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from newsflow.llm.common import cut, map_batches
 
 MIN_BYTES, GRAM, MAX_REGIONS = 400, 48, 4096
+#: Shorter repeats that are noted, not removed: about fifty words.
+NOTE_BYTES = 250
 _PIECE = 1 << 17
 _BATCH_BYTES = 800_000
 _BASE = 0x9E3779B97F4A7C15
@@ -173,9 +175,11 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
         reach *= 2
 
 
-def prefix_classes(t: np.ndarray, depth: int, wide: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def prefix_classes(t: np.ndarray, depth: int, wide: int = 512, shorter: int | None = None):
     """(order, class): suffixes in order, and numbers that are equal for neighbours with ``depth`` equal first symbols.
 
+    With ``shorter`` also the classes of that many equal symbols, as they stand when the extension passes that value.
+
     Interval [lo, hi) of a string w is extended backward by every symbol c before its suffixes to the interval of cw.  The
     end of that interval gets |w| as its common prefix unless it has a value; only then is the interval extended further.
     """
@@ -192,7 +196,10 @@ def prefix_classes(t: np.ndarray, depth: int, wide: int = 512) -> tuple[np.ndarr
     known = np.zeros(n + 1, bool)  # ends with a common prefix under the current value
     known[n] = True
     lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for _ in range(depth):
+    early = None
+    for value in range(depth):
+        if value == shorter:
+            early = known.copy()
         size = hi - lo
         parts = []
         one = size == 1
@@ -232,13 +239,17 @@ def prefix_classes(t: np.ndarray, depth: int, wide: int = 512) -> tuple[np.ndarr
         # several intervals of one length end at different places, so no end comes twice
         known[b] = True
         lo, hi = a, b
-    return order, np.cumsum(np.append(0, known[1:n]))
+    classes = order, np.cumsum(np.append(0, known[1:n]))
+    if shorter is None:
+        return classes
+    return *classes, np.cumsum(np.append(0, (known if early is None else early)[1:n]))
 
 
-def repeated_windows(regions: list[bytes], counts: list[int], min_bytes: int) -> list[list[tuple[int, int]]]:
+def repeated_windows(regions: list[bytes], counts: list[int], min_bytes: int, groups: list[int] | None = None, note_bytes: int = NOTE_BYTES) -> list[list[tuple[int, int]]]:
     """Per region the byte intervals covered by windows that occur again, in another region or in this one.
 
-    ``counts`` says how often a region as a whole occurs.
+    ``counts`` says how often a region as a whole occurs.  With ``groups`` (the anchors), a region without such a window that
+    shares a string of ``note_bytes`` with another region of its group gets the empty interval (0, 0).
     """
     lengths = np.array([len(r) for r in regions])
     first = np.cumsum(lengths + 1) - lengths - 1
@@ -250,15 +261,31 @@ def repeated_windows(regions: list[bytes], counts: list[int], min_bytes: int) ->
     owner = np.repeat(np.arange(len(regions)), lengths + 1)
     start = np.arange(len(owner)) - first[owner]
     valid = np.append(start <= lengths[owner] - min_bytes, False)
-    order, cls = prefix_classes(t, min_bytes)
+    order, cls, near = prefix_classes(t, min_bytes, shorter=min(note_bytes, min_bytes))
     weight = np.where(valid[:-1], np.minimum(np.array(counts), 2)[owner], 0)
     weight = np.append(weight, 0)[order]
     total = np.bincount(cls, weight)
     hit = np.zeros(len(t), bool)
     hit[order] = (total[cls] >= 2) & (weight > 0)
+    noted = _shares_with_group(order, near, owner, start <= lengths[owner] - note_bytes, groups) if groups is not None and note_bytes < min_bytes else np.zeros(len(regions), bool)
     out = []
-    for f, n in zip(first.tolist(), lengths.tolist(), strict=True):
-        out.append(_runs(hit[f : f + max(0, n - min_bytes + 1)], min_bytes))
+    for k, (f, n) in enumerate(zip(first.tolist(), lengths.tolist(), strict=True)):
+        out.append(_runs(hit[f : f + max(0, n - min_bytes + 1)], min_bytes) or ([(0, 0)] if noted[k] else []))
+    return out
+
+
+def _shares_with_group(order, near, owner, fits, groups) -> np.ndarray:
+    """Regions with a suffix in one class with a suffix of another region of their group."""
+    group = np.unique(np.array(groups, np.int64), return_inverse=True)[1]
+    inside = order < len(owner)
+    place, cls = order[inside], near[inside]
+    ok = fits[place]
+    region = owner[place[ok]]
+    pair = np.unique((cls[ok].astype(np.int64) * (int(group.max(initial=0)) + 1) + group[region]) * len(groups) + region)
+    key = pair // len(groups)
+    _, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
+    out = np.zeros(len(groups), bool)
+    out[(pair % len(groups))[n[inverse] > 1]] = True
     return out
 
 
@@ -273,7 +300,7 @@ def _batch_intervals(batches, min_bytes):
     held: list = []
 
     def done(rows):
-        found = repeated_windows([r[2] for r in rows], [r[3] for r in rows], min_bytes)
+        found = repeated_windows([r[2] for r in rows], [r[3] for r in rows], min_bytes, [r[0] for r in rows])
         out = [(r[0], r[1], s, e) for r, spans in zip(rows, found, strict=True) for s, e in spans]
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64() if i < 2 else pa.int32()) for i in range(4)], names=schema)
 
@@ -310,7 +337,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, max_regions: int = MAX_REGIONS) -> DataFrame:
-    """(key, key2, from, to): byte intervals of documents covered by repeated strings; they may overlap."""
+    """(key, key2, from, to): byte intervals of documents covered by repeated strings; they may overlap.
+
+    An empty interval notes a region that shares a shorter string with another region of its anchor.
+    """
     keyed = _keyed(docs, id_col, text_col)
     region = "key long, key2 long, anchor long, content long, start int, end int"
     regions = map_batches(keyed.select("key", "key2", "bytes").where(F.octet_length("bytes") >= min_bytes), partial(_region_batches, min_bytes=min_bytes, gram=gram), f"slot long, {region}")
@@ -343,12 +373,13 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _kept_batches(batches):
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_sha256"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_sha256", "repeat_level"]
     for b in batches:
-        n_bytes, removed, n_spans, kept = [], [], [], []
+        n_bytes, removed, n_spans, kept, level = [], [], [], [], []
         for data, spans in zip(b.column("bytes").to_pylist(), b.column("spans").to_pylist(), strict=True):
             parts, at, gone, runs = [], 0, 0, 0
-            for start, end in sorted((s["from"], s["to"]) for s in spans or []):
+            level.append(0 if not spans else 2 if any(s["to"] > s["from"] for s in spans) else 1)
+            for start, end in sorted((s["from"], s["to"]) for s in spans or [] if s["to"] > s["from"]):
                 if start > at or not runs:
                     parts.append(data[at:start])
                     runs += 1
@@ -362,13 +393,17 @@ def _kept_batches(batches):
             n_spans.append(runs)
             kept.append(b"".join(parts))
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()),
-                                          pa.array([hashlib.sha256(k).hexdigest() for k in kept])], names=names)
+                                          pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array(level, pa.int64())], names=names)
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, gram: int = GRAM, max_regions: int = MAX_REGIONS) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_bytes, kept_sha256), one row a document."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_bytes, kept_sha256, repeat_level), one row a document.
+
+    ``repeat_level``: 2 if bytes were removed; 1 if only a shorter repeat, of ``NOTE_BYTES`` at least, was met while the common
+    prefixes grew (a note, not a promise: only strings under one anchor are compared); else 0.
+    """
     found = repeated_intervals(docs, id_col, text_col, min_bytes, gram, max_regions)
     spans = found.groupBy("key", "key2").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     rows = _keyed(docs, id_col, text_col).join(spans, ["key", "key2"], "left").select("doc_id", "bytes", "spans")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_batches(rows, _kept_batches, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_bytes binary, kept_sha256 string")
+    return map_batches(rows, _kept_batches, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_bytes binary, kept_sha256 string, repeat_level long")

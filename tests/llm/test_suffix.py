@@ -85,3 +85,26 @@ def test_passages_and_awkward_rows(spark, max_regions):
 
 def test_empty_table(spark):
     assert S.remove_repeated(docs(spark, AWKWARD).where("false")).count() == 0
+
+
+def test_shorter_repeats_are_noted_and_stay(spark):
+    """Passages of over fifty words under 400 bytes: nothing goes, most documents that share one are noted, others never."""
+    import random
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, shares = [], set()
+    for k in range(60):
+        passage = text(58)[:340]
+        for j in range(2):
+            rows.append((2 * k + j, f"{text(150)} {passage} {text(150)}"))
+            shares.add(2 * k + j)
+    rows += [(1000 + k, text(360)) for k in range(60)]
+    long_ = text(120)
+    rows += [(2000, f"{text(90)} {long_} {text(90)}"), (2001, f"{text(50)} {long_}")]
+    got = {x.doc_id: x for x in S.remove_repeated(docs(spark, rows)).collect()}
+    assert all(got[i].n_removed == 0 for i in got if i < 2000)
+    assert {i for i, x in got.items() if x.repeat_level == 2} == {2000, 2001}
+    noted = {i for i, x in got.items() if x.repeat_level == 1}
+    assert noted <= shares and len(noted) >= 0.75 * len(shares)
