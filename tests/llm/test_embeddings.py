@@ -41,10 +41,22 @@ def test_recall_against_brute_force(spark):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
-def test_blocks_find_all_of_a_dense_group():
-    x = np.ones((1000, 4)) / 2
-    i, j = E.block_links(x, np.zeros(1000, int), 0.98, 16)
-    assert len(i) == 1000 * 999 // 2 and (i < j).all()
+def test_rows_of_a_dense_run_are_marked():
+    x = np.append(np.ones((1000, 4)) / 2, np.eye(4) - 0.0, axis=0)
+    i, j, dense = E.window_links(x, np.zeros(len(x), int), 0.98, 16)
+    assert dense[:990].all() and not dense[1000:].any() and (i < j).all() and not (dense[i] | dense[j]).any()
+    i, j, dense = E.window_links(x, np.arange(len(x)), 0.98, 16)  # labels of their own
+    assert not len(i) and not dense.any()
+
+
+def test_passes_alone_find_pairs_of_a_sparse_table(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, 24))
+    x = np.concatenate([x, x[:400] + 0.02 * rng.standard_normal((400, 24))])
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(x)]
+    classes = spark.createDataFrame([(i, v, label) for i, v, label in rows], "class_id long, v array<float>, label int")
+    got = {(r.a, r.b) for r in E.pass_links(classes, list(range(8)), 0.98, 16, 256, 7).collect()}
+    assert got <= {(i, 2000 + i) for i in range(400)} and len(got) >= 392  # none is dense
 
 
 def test_awkward_rows(spark):
