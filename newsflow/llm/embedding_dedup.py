@@ -7,8 +7,8 @@ that adds at most ``tolerance`` of what was found.  The work is passes x rows x
 label, length, key); numbered places are cut into blocks of ``block`` rows with a margin of one window, so a task compares
 a bounded number of rows whatever the label sizes are.  Keys travel without vectors; a vector is sent to its blocks once a pass.
 
-Runs that are denser than a window have an exact way: a vector that in any pass links with a quarter of its window, the far half
-included, is dense, also one with more links than half a window holds, and dense vectors are compared with all vectors of their label in tiles of two blocks, whose centres and radii
+Runs that are denser than a window have an exact way: a vector with more links than half a window holds, within a pass or
+over all of them, is dense, and dense vectors are compared with all vectors of their label in tiles of two blocks, whose centres and radii
 leave out pairs of blocks that can't reach the threshold.  A tile doesn't give its links but, for each of its vectors,
 their number and one edge of a spanning forest, so a dense group of n vectors makes about n * n / block rows, not n * n.
 Links between two vectors that aren't dense come from the passes, all others from the tiles: each is counted once.
@@ -92,7 +92,7 @@ def window_links(x: np.ndarray, label: np.ndarray, threshold: float, window: int
         rows, cols = slice(at, min(n, at + STEP)), slice(at + 1, min(n, at + STEP + window))
         ahead = np.arange(cols.start, cols.stop)[None, :] - np.arange(rows.start, rows.stop)[:, None]
         near = (x[rows] @ x[cols].T >= threshold) & (ahead >= 1) & (ahead <= window) & (label[rows][:, None] == label[cols][None, :])
-        dense[rows] = (near.sum(axis=1) >= max(2, window // 4)) & (near & (ahead > window // 2)).any(axis=1)
+        dense[rows] = near.sum(axis=1) > window // 2
         i, j = np.nonzero(near)
         found.append((i + at, j + at + 1))
     i, j = map(np.concatenate, zip(*found, strict=True))
