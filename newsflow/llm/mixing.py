@@ -1,11 +1,16 @@
 """Mixing sources to target weights by a low-discrepancy schedule (DataFrame functions only).
 
 Sizes are counted in words.  Sources get weights and targets (water filling: no target above ``max_repeats`` times its
-source, the excess reshared by weight).  The mix is a line of slots, each as long as a block of ``block_words`` words.
-Slot j is mapped to a source by the point ``frac(j * golden ratio)`` on the cumulative target weights, computed exactly
-in integers as a rank-1 lattice of 2**31 points.  The documents of a source, shuffled by a hash, stand one after another
-on the source's line, which is cut into equal-word blocks (the last may be shorter); the r-th slot of a source takes its
-block ``r mod blocks``.  A document takes what the chosen blocks overlap of it, repeats counted.
+source, the excess reshared by weight).  The documents of a source, shuffled by a hash, stand one after another on the
+source's line, which is cut into blocks of equal numbers of words (up to a word): of ``block_words`` at most, and small
+sources into ``MIN_BLOCKS`` or as many as they have words.  A source is due as many slots as its target holds of its own
+blocks, rounded; so what is taken of it is within half of one of its blocks, and a word, of its target.
+
+The mix is a line of all slots.  Slot j is mapped to a source by the point ``j * g mod n`` on the cumulative slots of the
+sources, g next to n over the golden ratio without a common divisor: a rank-1 lattice, so that every stretch of slots
+holds the sources in about their shares, and the whole line meets each point once, so that every source gets exactly its
+slots, however small its share.  The r-th slot of a source takes its block ``r mod blocks``.  A document takes what the
+chosen blocks overlap of it, repeats counted.
 
 Nothing is windowed over a whole source: ranks of slots and places of documents come from two levels, sums over chunks
 or hash buckets (one small row each) and a running number within a chunk or bucket.  Documents of size zero take
@@ -15,6 +20,8 @@ empty result; equal ids and repeated rows are documents of their own; other colu
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +33,10 @@ BLOCK_WORDS = 32
 SLOT_CHUNK = 1 << 14
 BUCKET_HEX = 3
 GRID = 4096
-#: Rank-1 lattice nearest to the golden ratio: 2**31 / 1.6180339887, odd.
-LATTICE, STEP = 1 << 31, 1327217885
+MIN_BLOCKS = 64
+GOLDEN = 0.6180339887498949
+#: Products of two numbers below 2**42 are taken modulo n in two halves of a slot's bits; 2**42 slots hold 1.4e14 words.
+HALF_BITS, MOST_SLOTS = 21, 1 << 42
 
 
 def word_count(text: Column) -> Column:
@@ -53,22 +62,42 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     return s.withColumn("target", target).select("source", "source_no", "source_size", "weight", "target")
 
 
-def slot_schedule(spark, targets: DataFrame, total_words: int, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(slot, source_no, rank): the source of every slot and the slot's number among those of its source."""
-    order = Window.orderBy("source_no")
-    share = F.col("target") / F.sum("target").over(Window.partitionBy())
-    up_to = F.sum(share).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bounds = targets.where("target > 0").select("source_no", share.alias("share"), up_to.alias("_hi"))
-    last = F.lead("source_no").over(order).isNull()
-    point = F.floor(F.col("_hi") * LATTICE).cast("long")
-    bounds = bounds.withColumn("hi", F.when(last, F.lit(LATTICE)).otherwise(point))
-    bounds = bounds.withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0).cast("long"))).where("hi > lo")
+def source_blocks(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Adds ``n_blocks``, their ``words`` (the first ``longer`` ones have one more) and ``n_slots``, the blocks due.
+
+    A target is so many whole rounds over the source, and then as many first blocks as come nearest to the rest.
+    """
+    size, longer, words = F.col("source_size"), F.col("longer"), F.col("words")
+    n = F.greatest(F.ceil(size / block_words), F.least(size, F.lit(MIN_BLOCKS).cast("long"))).cast("long")
+    t = targets.where("source_size > 0").withColumn("n_blocks", n)
+    t = t.withColumn("longer", size % F.col("n_blocks")).withColumn("words", F.expr("source_size div n_blocks"))
+    rounds = F.floor(F.col("target") / size)
+    rest, in_longer = F.col("target") - rounds * size, longer * (words + 1)
+    blocks = F.when(rest <= in_longer, F.floor(rest / (words + 1) + 0.5)).otherwise(longer + F.floor((rest - in_longer) / words + 0.5))
+    return t.withColumn("n_slots", (rounds * F.col("n_blocks") + blocks).cast("long"))
+
+
+def lattice_step(n: int) -> int:
+    """The number next to n over the golden ratio that has no divisor in common with n."""
+    near = round(n * GOLDEN)
+    return next(g for d in range(n + 1) for g in (near + d, near - d) if g > 0 and gcd(g, n) == 1)
+
+
+def slot_schedule(spark, blocks: DataFrame, n_slots: int) -> DataFrame:
+    """(slot, source_no, rank): the source of every slot and the slot's number among those of its source.
+
+    ``blocks`` has (source_no, n_slots), ``n_slots`` is their sum.
+    """
+    if n_slots >= MOST_SLOTS:
+        raise ValueError("the mix has too many slots; use larger blocks")
+    up_to = F.sum("n_slots").over(Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bounds = blocks.select("source_no", "n_slots", up_to.alias("hi")).withColumn("lo", F.col("hi") - F.col("n_slots")).where("n_slots > 0")
     # an equi-join on the cells of a grid over the points finds the interval; a source covers as many cells as its share
-    width = LATTICE // GRID
-    cells = bounds.select("source_no", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("cell"))
-    n_slots = -(-total_words // block_words)
-    slots = spark.range(n_slots).select(F.col("id").alias("slot"), ((F.col("id") % LATTICE) * STEP % LATTICE).alias("point"))
-    slots = slots.withColumn("cell", F.floor(F.col("point") / width))
+    n, width = max(n_slots, 1), -(-max(n_slots, 1) // GRID)
+    cells = bounds.select("source_no", "lo", "hi", F.explode(F.expr(f"sequence(lo div {width}, (hi - 1) div {width})")).alias("cell"))
+    step, half = lattice_step(n), 1 << HALF_BITS
+    point = f"((((slot div {half}) * {step}L) % {n}L * {half}L) % {n}L + ((slot % {half}) * {step}L) % {n}L) % {n}L"
+    slots = spark.range(n_slots).select(F.col("id").alias("slot")).withColumn("point", F.expr(point)).withColumn("cell", F.expr(f"point div {width}"))
     at = slots.join(cells, "cell").where("point >= lo and point < hi").select("slot", "source_no", F.floor(F.col("slot") / SLOT_CHUNK).alias("chunk"))
     at = cut(at)
     counts = at.groupBy("source_no", "chunk").agg(F.count(F.lit(1)).alias("n"))
@@ -94,18 +123,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(doc_id, source, size, source_size, target, taken), one row a document.  Reruns give the same rows."""
     sized = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")))
     targets = cut(source_targets(sized, weights, max_repeats))
-    total = targets.agg(F.sum("source_size")).first()[0] or 0
+    blocks = cut(source_blocks(targets, block_words))
+    n_slots = blocks.agg(F.sum("n_slots")).first()[0] or 0
     shuffle = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
-    known = F.broadcast(targets) if targets.limit(100_001).count() <= 100_000 else targets  # one row a source
+    small = targets.limit(100_001).count() <= 100_000  # one row a source
+    known = F.broadcast(targets) if small else targets
     rows = sized.withColumnRenamed("source", "doc_source").join(known, F.col("doc_source").eqNullSafe(F.col("source"))).drop("doc_source")
     placed = cut(place_documents(rows.withColumn("shuffle", shuffle)).drop("shuffle", "weight"))
-    n_blocks = F.ceil(F.col("source_size") / block_words)
-    slots = slot_schedule(docs.sparkSession, targets, total, block_words).join(known.select("source_no", "source_size"), "source_no")
-    # a source is repeated max_repeats times at most, so a slot beyond that stays empty
-    taken = slots.where(F.col("rank") < n_blocks * max_repeats).select("source_no", (F.col("rank") % n_blocks).alias("block"))
-    times = taken.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
-    parts = placed.where("size > 0").select("source_no", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words))).alias("block"))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
+    cuts = F.broadcast(blocks) if small else blocks
+    slots = slot_schedule(docs.sparkSession, blocks, n_slots).join(cuts.select("source_no", "n_blocks"), "source_no")
+    times = slots.groupBy("source_no", (F.col("rank") % F.col("n_blocks")).alias("block")).agg(F.count(F.lit(1)).alias("times"))
+    placed_in = placed.where("size > 0").select("source_no", "start", "size").join(cuts.select("source_no", "longer", "words"), "source_no")
+
+    def block_of(word):
+        return f"IF({word} < longer * (words + 1), {word} div (words + 1), longer + ({word} - longer * (words + 1)) div words)"
+
+    parts = placed_in.withColumn("block", F.explode(F.expr(f"sequence({block_of('start')}, {block_of('(start + size - 1)')})")))
+    begin, end = F.expr("block * words + least(block, longer)"), F.expr("(block + 1) * words + least(block + 1, longer)")
+    overlap = F.least(F.col("start") + F.col("size"), end) - F.greatest(F.col("start"), begin)
     words = parts.join(times, ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(overlap * F.col("times")).alias("taken"))
     # a start belongs to one document with words; those without words may share it
     with_words = placed.where("size > 0").join(words, ["source_no", "start"], "left")

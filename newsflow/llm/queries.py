@@ -132,7 +132,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
   sum(size)::BIGINT AS formatted_chars FROM e GROUP BY conv_id
 """
 
-# the schedule slot by slot: the same lattice, cumulative weights, shuffle and blocks
+# no schedule: a source takes all its equal blocks as often as its slots go round, and the first of them once more
 _OP8 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS no FROM d GROUP BY source),
@@ -141,17 +141,14 @@ s2 AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE - coalesce(sum(most) OVER (
          / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER (ORDER BY most / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lvl FROM s1),
 s3 AS (SELECT *, min(CASE WHEN lvl * weight <= most THEN row_no END) OVER () AS open_at FROM (SELECT *, row_number() OVER (ORDER BY most / weight, no) AS row_no FROM s2)),
 s4 AS (SELECT *, CASE WHEN open_at IS NULL OR row_no < open_at THEN most ELSE (SELECT max(x.lvl) FROM s3 x WHERE x.row_no = s3.open_at) * weight END AS target FROM s3),
-b0 AS (SELECT no, target / sum(target) OVER () AS share, row_number() OVER (ORDER BY no DESC) = 1 AS is_last FROM s4 WHERE target > 0),
-b1 AS (SELECT no, CASE WHEN is_last THEN 2147483648 ELSE floor(sum(share) OVER (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 2147483648)::BIGINT END AS hi FROM b0),
-b2 AS (SELECT no, coalesce(lag(hi) OVER (ORDER BY no), 0) AS lo, hi FROM b1),
-slots AS (SELECT slot, ((slot % 2147483648) * 1327217885) % 2147483648 AS point FROM range(0, (SELECT ceil(sum(size) / 32.0)::BIGINT FROM d)) t(slot)),
-ranked AS (SELECT b2.no, row_number() OVER (PARTITION BY b2.no ORDER BY slot) - 1 AS rnk FROM slots JOIN b2 ON point >= lo AND point < hi),
-times AS (SELECT no, rnk % ceil(source_size / 32.0)::BIGINT AS block, count(*) AS times FROM ranked JOIN s4 USING (no) WHERE rnk < 3 * ceil(source_size / 32.0)::BIGINT GROUP BY ALL),
+s5 AS (SELECT *, greatest(ceil(source_size / 32.0)::HUGEINT, least(source_size, 64)) AS n FROM s4 WHERE source_size > 0),
+s6 AS (SELECT *, source_size % n AS longer, source_size // n AS words, floor(target / source_size) AS rounds, target - floor(target / source_size) * source_size AS rest FROM s5),
+s7 AS (SELECT *, CASE WHEN rest <= longer * (words + 1) THEN floor(rest / (words + 1) + 0.5) ELSE longer + floor((rest - longer * (words + 1)) / words + 0.5) END::HUGEINT AS blocks FROM s6),
+s8 AS (SELECT *, blocks * words + least(blocks, longer) AS more FROM s7),
 p AS (SELECT d.*, s4.no, s4.source_size, s4.target,
         coalesce(sum(d.size) OVER (PARTITION BY s4.no ORDER BY md5('42:' || d.doc_id), d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
       FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source),
-x AS (SELECT r, no, start, size, unnest(range(start // 32, (start + size - 1) // 32 + 1)) AS block FROM p WHERE size > 0),
-w AS (SELECT r, sum((least(start + size, (block + 1) * 32) - greatest(start, block * 32)) * times) AS taken FROM x JOIN times USING (no, block) GROUP BY r)
+w AS (SELECT r, p.size * rounds::HUGEINT + greatest(least(start + p.size, more) - start, 0) AS taken FROM p JOIN s8 USING (no))
 SELECT p.doc_id, p.source, p.size, p.source_size, p.target, coalesce(w.taken, 0)::BIGINT AS taken FROM p LEFT JOIN w USING (r)
 """
 
