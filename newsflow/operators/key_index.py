@@ -48,6 +48,7 @@ class KeyIndex:
         writer.mode("append").option("path", self.path).format("parquet").saveAsTable(self.table)
 
     def stored(self, before_epoch: int | None = None) -> DataFrame:
+        self.spark.catalog.refreshTable(self.table)  # another session, as a stream's, may have appended
         found = self.spark.table(self.table)
         return found if before_epoch is None else found.where(F.col("epoch") < before_epoch)
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.operators.clean import clean_articles, stored_title
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.key_index import KeyIndex
 from newsflow.operators.load import new_rows
 from newsflow.operators.tagging import char_limit, tag_articles, with_description_fallback
 from newsflow.operators.tags_long import tag_transform
@@ -64,6 +65,8 @@ def compile_new_articles(
     excluded_sources: list[str] | None = None,
     keep: list[str] | None = None,
     cap: int | Column | None = None,
+    index: KeyIndex | None = None,
+    before_epoch: int | None = None,
 ) -> DataFrame:
     """Stages 3–7: of the day's union, the titles not stored yet (case-insensitive), tagged and cleaned.
 
@@ -72,16 +75,31 @@ def compile_new_articles(
     join comes first, then the dedup, and only what survives is tagged.  The
     dedup groups by the raw title, not by the key of the join: its own
     exchange, behind a map-side combine, leaves AQE free to split a hot title
-    in the join.
+    in the join.  With an ``index`` of the stored titles (``stored_titles``)
+    only the new rows are exchanged for the join, and ``content`` isn't read.
     """
     rows = with_description_fallback(incoming).where(F.col("title").isNotNull())
     cap = char_limit(with_description_fallback(incoming)) if cap is None else cap
-    stored = content.select(F.col("title").alias("_stored_title"))
-    fresh = new_rows(rows.withColumn("_stored_title", stored_title("title")), stored, ["_stored_title"], case_insensitive=True)
+    rows = rows.withColumn("_stored_title", stored_title("title"))
+    if index is None:
+        stored = content.select(F.col("title").alias("_stored_title"))
+        fresh = new_rows(rows, stored, ["_stored_title"], case_insensitive=True)
+    else:
+        fresh = index.new_rows(rows, before_epoch)
     tagged = tag_articles(keep_first(fresh.drop("_stored_title"), ["title"], order), ref_tags, cap=cap)
     return clean_articles(tagged, keep=keep, excluded_sources=excluded_sources, dedup=False).drop("_raw_title")
 
 
+def stored_titles(spark: SparkSession, table: str, path: str, content: DataFrame | None = None, buckets: int | None = None) -> KeyIndex:
+    """The index of stored titles under ``path``; made from ``content``, or attached to where that is None."""
+    index = KeyIndex(spark, table, path, ["_stored_title"], case_insensitive=True, buckets=buckets)
+    if content is None:
+        index.attach()
+    else:
+        index.append(content.select(F.col("title").alias("_stored_title")))
+    return index
+
+
 def write_back_profiles(table: VersionedTable, rollup: DataFrame) -> int:
     """Merge (content_id, profiles) into the table of the contents' profiles: one version, touched buckets only."""
     rows = rollup.select(F.col("content_id").alias(table.key), "profiles")
