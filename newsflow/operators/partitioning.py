@@ -30,6 +30,30 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df if n >= target else df.repartition(target)
 
 
+def bound_task_rows(df: DataFrame, max_rows: int) -> DataFrame:
+    """Deal a scan over as many tasks as keep each at about ``max_rows`` rows, at least one a core.
+
+    A scan is split by file bytes, but a packed columnar file holds millions of
+    rows in one split: an operator that widens each row (builds and parses a
+    payload) and then sorts would hold memory in proportion to the split.  The
+    row count comes from the file footers.  Rows are dealt by hash of a row
+    number, so repeated or null values do not gather in one task and, unlike
+    round-robin, nothing is sorted on the way.  A scan that has enough
+    partitions is returned unchanged.
+    """
+    from pyspark.sql import functions as F
+
+    needed = -(-df.count() // max_rows)
+    try:
+        n = df.rdd.getNumPartitions()
+        needed = max(needed, df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: the row count alone decides
+        n = 0
+    if n >= needed:
+        return df
+    return df.withColumn("_row", F.monotonically_increasing_id()).repartition(needed, "_row").drop("_row")
+
+
 def posexplode_rows(df: DataFrame, array_col, keep: list, pos: str = "pos", value: str = "value") -> DataFrame:
     """``select(*keep, posexplode(array_col))`` without an inferred pre-filter.
 

@@ -10,7 +10,7 @@ import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.operators.partitioning import ensure_parallelism
+from newsflow.operators.partitioning import bound_task_rows, ensure_parallelism
 from newsflow.schemas import PROFILES, REF_TAGS
 
 # Reference tag rows (ref_seq, guid, tag_cat, tag, phrase, newsroom).
@@ -58,13 +58,17 @@ EXCLUDED_SOURCES = ["src0", "src1", "src2"]
 AS_OF = "2024-07-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False, max_rows: int | None = None) -> DataFrame:
     """A test table; ``spread`` stands in for a landing directory of many files.
 
     The test tables are single row-group files (one scan task); fixtures that
-    build and parse payloads row by row spread the scan over the cores.
+    build and parse payloads row by row spread the scan over the cores.  With
+    ``max_rows`` the number of tasks grows with the table, for fixtures whose
+    payloads are sorted in the same task.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if max_rows:
+        return bound_task_rows(df, max_rows)
     return ensure_parallelism(df) if spread else df
 
 

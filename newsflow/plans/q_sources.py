@@ -24,11 +24,15 @@ from newsflow.sources.json_sources import (
     springer_articles,
 )
 
+# Table rows of a task whose payloads are deduplicated: the map-side combine of
+# ``keep_first`` sorts the parsed records (some 400 bytes each) of its whole task.
+PAYLOAD_ROWS = 100_000
+
 # ---------------------------------------------------------------- records
 
 
 def _records_payloads(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders", spread=True)
+    o = fx.table(spark, sf_dir, "orders", max_rows=PAYLOAD_ROWS)
     key = F.col("o_orderkey").cast("string")
     publisher = F.when(F.col("o_orderstatus") == "F", "Springer").when(F.col("o_orderstatus") == "O", "Nature").otherwise("BMC")
     pub_date = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -126,7 +130,7 @@ SCOPUS_BEFORE = "2000-01-01"
 
 
 def _scopus_items(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders", spread=True)
+    o = fx.table(spark, sf_dir, "orders", max_rows=PAYLOAD_ROWS)
     item = F.struct(
         F.concat(F.lit("Paper "), F.col("o_orderkey").cast("string")).alias("dc:title"),
         F.concat(F.lit("Author "), F.col("o_custkey").cast("string")).alias("dc:creator"),

@@ -56,6 +56,48 @@ def test_ensure_parallelism_leaves_shuffled_inputs_alone(spark):
     assert list(sc.statusTracker().getJobIdsForGroup("ensure-par-check")) == []  # nothing executed
 
 
+def test_payload_tasks_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """The map-side combine sorts its task's records: a task gets a bounded number of rows, also of repeated and null ones."""
+    from newsflow.plans import q_sources as Q
+
+    n = F.col("id")
+    unlike = F.when(n >= 2000, n)  # half of the rows are alike
+    spark.range(4000).select(
+        F.when(n < 1000, F.lit(7)).otherwise(unlike).alias("o_orderkey"),
+        (unlike % 50).alias("o_custkey"),
+        F.when(n >= 2000, F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("P")), (n % 3 + 1).cast("int"))).alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"),
+        F.when(n % 40 != 39, F.to_timestamp_ntz(F.lit("1998-02-06 00:00:00"))).alias("o_orderdate"),
+        F.lit("5-LOW").alias("o_orderpriority"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def most(df) -> int:
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    def rows(df) -> list:
+        return sorted(map(repr, df.collect()))
+
+    got = {}
+    for bound in (100, 10**9):
+        monkeypatch.setattr(Q, "PAYLOAD_ROWS", bound, raising=False)
+        got[bound] = rows(Q.q_json_records(spark, str(tmp_path))), rows(Q.q_scopus_flatten(spark, str(tmp_path)))
+        if bound == 100:
+            assert most(Q._records_payloads(spark, str(tmp_path))) <= 200
+            assert most(Q._scopus_items(spark, str(tmp_path))) <= 200
+    assert got[100] == got[10**9] and all(got[100])
+
+
+def test_bound_task_rows_leaves_enough_tasks_alone(spark, tmp_path):
+    from newsflow.operators.partitioning import bound_task_rows
+
+    spark.range(1000).write.parquet(f"{tmp_path}/few")
+    dealt = bound_task_rows(spark.read.parquet(f"{tmp_path}/few"), 10)
+    assert dealt.columns == ["id"] and dealt.rdd.getNumPartitions() == 100
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+    enough = spark.range(1000, numPartitions=64)
+    assert bound_task_rows(enough, 100) is enough
+
+
 #: No side can be broadcast, and small partitions count as skewed: the shape of a large run.
 SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
