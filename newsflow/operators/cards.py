@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
 from newsflow.operators.dedup import keep_first
+from newsflow.operators.joins import broadcast_if_small
 from newsflow.operators.partitioning import posexplode_rows
 
 # Card columns as (output, column title, position, attribute).
@@ -62,10 +63,14 @@ def flatten_cards(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def card_tags(cards: DataFrame, ref_tags: DataFrame, order: list[str]) -> DataFrame:
-    """Split card tags, strip, attach guid, keep first per (title, guid)."""
+    """Split card tags, strip, attach guid, keep first per (title, guid).
+
+    A small reference is broadcast: dealt by tag, the rows of a few tags would
+    gather in as many tasks and be sorted there by ``keep_first``.
+    """
     split = cards.select(*order, "title", F.posexplode(F.split("content_tags", ",")).alias("tag_pos", "tag"))
     tags = split.where(F.col("tag").isNotNull() & (F.col("tag") != "")).withColumn("tag", X.strip("tag"))
-    ref = ref_tags.select(F.col("tag").alias("_rtag"), "guid").distinct()
+    ref = broadcast_if_small(ref_tags.select(F.col("tag").alias("_rtag"), "guid").distinct())
     joined = tags.join(ref, tags["tag"] == ref["_rtag"], "left").select(
         *order, "tag_pos", "title", "tag", F.col("guid").alias("tag_guid")
     )

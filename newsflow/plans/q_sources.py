@@ -213,8 +213,8 @@ def _card_raw_cols():
     return status, link, date, brief, tags
 
 
-def card_pages(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events", spread=True)
+def card_pages(spark, sf_dir, max_rows=None):
+    ev = fx.table(spark, sf_dir, "events", spread=True, max_rows=max_rows)
     status, link, date, brief, tags = _card_raw_cols()
 
     def cv(title, value=None, text=None):
@@ -283,7 +283,7 @@ SELECT title, tag, tag_guid FROM (
 WHERE rn = 1""",
 )
 def q_card_tags(spark, sf_dir):
-    cards = flatten_cards(card_pages(spark, sf_dir), keep=["event_id"])
+    cards = flatten_cards(card_pages(spark, sf_dir, max_rows=PAYLOAD_ROWS), keep=["event_id"])
     return card_tags(cards, fx.ref_tags(spark), ["event_id", "item_pos"])
 
 

@@ -98,6 +98,22 @@ def test_bound_task_rows_leaves_enough_tasks_alone(spark, tmp_path):
     assert bound_task_rows(enough, 100) is enough
 
 
+def test_card_tags_are_not_dealt_by_tag(spark, tmp_path):
+    """All rows have one tag: the join leaves them in their tasks, which hold a bounded number of pages."""
+    from newsflow.plans import q_sources as Q
+
+    n = F.col("id")
+    spark.range(3000).select(
+        n.alias("event_id"), (n % 9).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"),
+        F.to_timestamp_ntz(F.lit("2024-01-02 03:04:05")).alias("ts"), F.lit('{"k": 1}').alias("props"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert Q.card_pages(spark, str(tmp_path), max_rows=100).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 200
+    tags = Q.q_card_tags(spark, str(tmp_path))
+    assert "SortMergeJoin" not in plan(tags) and "BroadcastHashJoin" in plan(tags)
+    want = sorted([(f"Card {k}", "Water", "g05") for k in range(9)] + [(f"Brief {k}", "Water", "g05") for k in range(50)])
+    assert sorted(map(tuple, tags.collect())) == want
+
+
 #: No side can be broadcast, and small partitions count as skewed: the shape of a large run.
 SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
