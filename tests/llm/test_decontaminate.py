@@ -61,3 +61,24 @@ def test_no_python_and_no_cross_join(spark, capsys):
     D.contaminated(table(spark, "documents"), table(spark, "benchmark")).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("max_broadcast", [D.MAX_BROADCAST, 0])
+def test_long_document_full_of_passages(spark, max_broadcast):
+    """120 000 hits in a text of 40 000 words: with the whole text beside each of them they took 38 GB of a task."""
+    rows = [(1, f"{ITEM} " * 2_000), (2, "x " * 40_000), (3, "y " * 40_000 + ITEM)]
+    assert found(spark, rows, ITEM, max_broadcast=max_broadcast) == [(1, (0,)), (3, (0,))]
+
+
+@pytest.mark.parametrize("at", [0, 1, D.PIECE - 21, D.PIECE - 13, D.PIECE - 5, D.PIECE - 1, D.PIECE, D.PIECE + D.REACH, 2 * D.PIECE - 7, 3 * D.PIECE])
+def test_passages_across_pieces(spark, at):
+    words = ITEM.split()
+    passage = [*words[3:6], "x", *words[7:14], "y", words[15]]
+    rows = [(k, " ".join([f"w{i}" for i in range(at)] + passage[:13 - k] + [f"v{i}" for i in range(200)])) for k in range(3)]
+    got = D.contaminated(docs(spark, rows), bench(spark, ITEM)).collect()
+    assert [(r.doc_id, r.item_ids, r.best) for r in got] == [(0, [0], 11 / 13)]
+
+
+def test_items_of_one_text_are_compared_once_and_all_listed(spark):
+    rows = [(1, f"so {ITEM} it is"), (2, "clean")]
+    assert found(spark, rows, ITEM, "other words here", ITEM.upper(), ITEM) == [(1, (0, 2, 3))]
