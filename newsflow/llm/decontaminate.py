@@ -1,15 +1,18 @@
 """Benchmark decontamination by spaced seeds (DataFrame functions only).
 
 Fixed masks select five of five to eight consecutive words and ignore the rest; the hashes of the selected words of every
-benchmark item are joined with those of every document.  A hit names an alignment of document and item, on which the words
-are then compared one by one: a document is contaminated if some window of 13 words of the item (the whole item if it is
-shorter) has at least 80 % of its words at their places.  The three masks together hit every such window, wherever the
-substituted words are (checked for all patterns by a test), so the join loses none.  Items of under eight words get masks
-of their own: the whole item, and the item without each one of its words where the threshold admits a substitution.
+benchmark item are joined with those of every document.  A hit names a place of the document and one of the item, around
+which the words are then compared one by one: a document is contaminated if some window of 13 words of the item (the whole
+item if it is shorter) has at least 80 % of its words at their places.  The three masks together hit every such window,
+wherever the substituted words are (checked for all patterns by a test), so the join loses none, and it is enough to compare
+the windows that hold the hit: 21 words.  Items of under eight words get masks of their own: the whole item, and the item
+without each one of its words where the threshold admits a substitution.  Items of the same words are compared once.
+
+Documents are cut into overlapping pieces before their words are hashed, so a task never holds a whole text for each hit.
 
 Benchmark seeds are broadcast up to ``max_broadcast`` rows, counted beforehand (about 50 bytes each); beyond that both
-sides are shuffled by hash, only (document key, position, hash) travels, and the alignments are joined back.  Hits are
-reduced to distinct alignments before anything is compared.
+sides are shuffled by hash, only (document key, place, hash) travels, and the texts of documents with hits are joined back.
+Hits are reduced to the best window of each document and item in the task that found them.
 
 Defined results: null or empty texts and items without words are never contaminated and contaminate nothing; items with
 null id count, but aren't listed; rows with equal id and text share their result, other repeated ids are told apart; an

@@ -65,3 +65,11 @@ def test_language_stage_without_any_label(spark):
     rows = docs(spark, [(*r, None) for r in AWKWARD]).select("doc_id", "text", "lang", "source", "n_chars")
     kept = corpus_pipeline.identify_language(spark, rows, SF).collect()
     assert sorted((r.text or "")[:20] for r in kept) == sorted(t[:20] for _, t in AWKWARD if any(c.isalpha() for c in t or ""))
+
+
+def test_decontamination_stage_bears_a_long_document_full_of_passages(spark, tmp_path):
+    """The stage ran out of memory where one text held many passages: each hit took the whole text along."""
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = docs(spark, [(1, f"{passage} " * 3_000), (2, "a b " * 20_000), (3, f"so {passage} it is"), (4, "clean")])
+    spark.createDataFrame([(0, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["decontaminate"](spark, rows, str(tmp_path)).collect()) == [2, 4]
